@@ -2,37 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import model as M
-from tidemark.functions import images, jsontext
+from tidemark.functions import images, jsontext, rows
 
 # Reasons that mean the text could not be read at all; the others name a readable message that
 # lacks something a later step needs.
 UNREADABLE = ("empty", "bad_json", "unknown_key", "bad_number")
 
+FIELDS = ("scn", "tms", "xid", "op", "schema", "row", "rid", "before", "after", "sql")
+
 _SHAPE = (
     "payload struct<schema:struct<owner:string,table:string>,"
     "before:map<string,string>,after:map<string,string>>, _bad string"
 )
 
 
-def _passed(messages: DataFrame) -> list[str]:
-    return [c for c in messages.columns if c not in ("key", "value", "scn", "seq")]
-
-
-def _only(entries: Column, allowed: tuple[str, ...]) -> Column:
-    known = F.array(*[F.lit(k) for k in allowed])
-    return F.size(F.array_except(F.map_keys(entries), known)) == 0
-
-
-def _whole_number(text: Column, spark_type: str) -> Column:
-    # 5, "5" and 5.7 are all numbers here, the last one cut to 5.
-    cut = text.try_cast("decimal(38,18)").try_cast(spark_type)
-    return F.coalesce(text.try_cast(spark_type), cut)
-
-
 def parse_changes(
     messages: DataFrame, *, on_bad: str = "quarantine", strict_ops: bool = False
 ) -> DataFrame:
@@ -48,25 +37,25 @@ def parse_changes(
     ``strict_ops`` also rejects operation codes other than c, u, d and ddl. Parsing is narrow: no
     shuffle, and the same on batch and streaming frames.
     """
-    if on_bad not in ("flag", "quarantine", "dummy", "fail"):
-        raise ValueError(f"unknown on_bad: {on_bad}")
-    flagged = _flag(messages, _passed(messages), strict_ops)
+    read = _read(messages, strict_ops)
+    reason = F.col("reason")
+    columns = [F.col(c) for c in (*_passed(messages), *FIELDS)]
     if on_bad == "flag":
-        return flagged
-    if on_bad == "fail":
-        stop = F.raise_error(F.concat(F.lit("bad change message: "), F.col("reason")))
-        good = flagged.withColumn("reason", F.when(F.col("reason").isNotNull(), stop))
-        return good.filter(F.col("reason").isNull()).drop("reason", "value")
+        return rows.emit(read, [*columns, reason, F.col("value")])
     if on_bad == "quarantine":
-        return flagged.filter(F.col("reason").isNull()).drop("reason", "value")
-    return _with_dummies(flagged).drop("reason", "value")
+        return rows.emit(read, columns, reason.isNull())
+    if on_bad == "fail":
+        stop = F.raise_error(F.concat(F.lit("bad change message: "), reason)).cast("boolean")
+        return rows.emit(read, columns, F.when(reason.isNull(), True).otherwise(stop))
+    if on_bad == "dummy":
+        return _with_dummies(read, _passed(messages))
+    raise ValueError(f"unknown on_bad: {on_bad}")
 
 
 def quarantined(messages: DataFrame, *, strict_ops: bool = False) -> DataFrame:
     """Messages that ``on_bad="quarantine"`` leaves out: their text, cause and position."""
-    flagged = parse_changes(messages, on_bad="flag", strict_ops=strict_ops)
-    bad = flagged.filter(F.col("reason").isNotNull())
-    return bad.select(*_passed(messages), "value", "reason")
+    columns = [F.col(c) for c in (*_passed(messages), "value", "reason")]
+    return rows.emit(_read(messages, strict_ops), columns, F.col("reason").isNotNull())
 
 
 def drop_ddl(changes: DataFrame) -> DataFrame:
@@ -74,140 +63,155 @@ def drop_ddl(changes: DataFrame) -> DataFrame:
     return changes.filter(~F.col("op").eqNullSafe(M.DDL))
 
 
-def _flag(messages: DataFrame, passed: list[str], strict_ops: bool) -> DataFrame:
+def _passed(messages: DataFrame) -> list[str]:
+    return [c for c in messages.columns if c not in ("key", "value", "scn", "seq")]
+
+
+def _has_others(entries: Column, allowed: tuple[str, ...]) -> Column:
+    known = F.array(*[F.lit(k) for k in allowed])
+    return F.size(F.array_except(F.map_keys(entries), known)) > 0
+
+
+def _whole_number(text: Column, spark_type: str) -> Column:
+    # 5, "5" and 5.7 are all numbers here, the last one cut to 5.
+    cut = text.try_cast("decimal(38,18)").try_cast(spark_type)
+    return F.coalesce(text.try_cast(spark_type), cut)
+
+
+def _any(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
+    """All fields as columns, with ``reason``; every level of the text is parsed once."""
     value, top, payload, address = (F.col(c) for c in ("value", "_top", "_payload", "_address"))
     get = jsontext.last_value
-    is_object = lambda text: text.startswith("{")
 
-    # Three passes over the text in all: envelope, payload, address. A string that holds an object
-    # reads like the object itself, so such text (recognisable by a quote before the brace) is
-    # checked once more against the typed shape.
+    # A string that holds an object reads like the object itself. Such text, recognisable by a
+    # quote before the brace, is checked once more against the typed shape.
+    typed = F.from_json(value, _SHAPE, {**jsontext.STRICT, "columnNameOfCorruptRecord": "_bad"})
     opened = (
-        messages.select(*passed, "value", jsontext.as_map(value).alias("_top"))
+        messages.select(*_passed(messages), "value", jsontext.as_map(value).alias("_top"))
         .withColumn("_payload_text", get(top, "payload"))
         .withColumn("_payload", jsontext.as_map(F.col("_payload_text")))
         .withColumn("_address_text", get(payload, "schema"))
         .withColumn("_address", jsontext.as_map(F.col("_address_text")))
-        .withColumn(
-            "_typed",
-            F.when(
-                F.contains(value, F.lit('"{')),
-                F.from_json(value, _SHAPE, {**jsontext.STRICT, "columnNameOfCorruptRecord": "_bad"}),
-            ),
-        )
+        .withColumn("_typed", F.when(F.contains(value, F.lit('"{')), typed))
     )
-    fields = {
-        "_scn": get(top, "scn"),
-        "tms": get(top, "tms"),
-        "xid": get(top, "xid"),
-        "_outer_row": get(top, "row"),
-        "op": get(payload, "op"),
-        "_row": get(payload, "row"),
-        "rid": get(payload, "rid"),
-        "before": get(payload, "before"),
-        "after": get(payload, "after"),
-        "sql": get(payload, "sql"),
-        "_owner": get(address, "owner"),
-        "_table": get(address, "table"),
-    }
-    split = opened.withColumns(fields).withColumns(
+    texts = opened.withColumns(
         {
-            "scn": _whole_number(F.col("_scn"), "bigint"),
-            "row": _whole_number(F.col("_row"), "int"),
+            "_scn": get(top, "scn"),
+            "tms": get(top, "tms"),
+            "xid": get(top, "xid"),
+            "_outer_row": get(top, "row"),
+            "op": get(payload, "op"),
+            "_row": get(payload, "row"),
+            "rid": get(payload, "rid"),
+            "before": get(payload, "before"),
+            "after": get(payload, "after"),
+            "sql": get(payload, "sql"),
+            "_owner": get(address, "owner"),
+            "_table": get(address, "table"),
         }
     )
-
-    def number_is_bad(text: str, number: str) -> Column:
-        return (F.coalesce(F.col(text), F.lit("")) != "") & F.col(number).isNull()
-
-    def nested_text(name: str) -> Column:
-        # An object or list where text belongs; text that merely starts so follows a quote.
-        c = F.col(name)
-        return (c.startswith("{") | c.startswith("[")) & ~F.contains(
-            value, F.concat(F.lit('"'), c)
+    return (
+        texts.withColumns(
+            {
+                "_scn_number": _whole_number(F.col("_scn"), "bigint"),
+                "_row_number": _whole_number(F.col("_row"), "int"),
+            }
         )
+        .withColumn("reason", _reason(strict_ops))
+        .withColumns(
+            {
+                "scn": F.coalesce("_scn_number", F.lit(0)),
+                "row": F.coalesce("_row_number", F.lit(0)),
+                "schema": F.when(
+                    address.isNotNull(),
+                    F.struct(F.col("_owner").alias("owner"), F.col("_table").alias("table")),
+                ),
+            }
+        )
+    )
 
-    def shape_lost(name: str) -> Column:
-        return F.col("_typed").isNotNull() & F.col(f"_typed.payload.{name}").isNull()
 
-    op = F.lower("op")
-    needs_before, needs_after = op.isin(M.UPDATE, M.DELETE), op.isin(M.INSERT, M.UPDATE)
-    missing = (needs_before & F.col("before").isNull()) | (needs_after & F.col("after").isNull())
-
-    def not_object(name: str) -> Column:
-        return ~is_object(F.col(name)) | shape_lost(name)
-
-    wrong_text = [nested_text(c) for c in ("tms", "xid", "_outer_row", "op", "rid", "_owner", "_table")]
-    some_wrong_text = wrong_text[0]
-    for test in wrong_text[1:]:
-        some_wrong_text = some_wrong_text | test
-    lost_payload = F.col("_typed").isNotNull() & F.col("_typed.payload").isNull()
-    bad_shape = (
-        top.isNull()
-        | (F.col("_payload_text").isNotNull() & (payload.isNull() | ~is_object(F.col("_payload_text"))))
-        | (F.col("_payload_text").isNotNull() & lost_payload)
-        | (F.col("_address_text").isNotNull() & (address.isNull() | ~is_object(F.col("_address_text"))))
-        | (F.col("_address_text").isNotNull() & shape_lost("schema"))
-        | some_wrong_text
-    )
-    unknown = (
-        ~_only(top, M.ENVELOPE_KEYS) | ~_only(payload, M.PAYLOAD_KEYS) | ~_only(address, M.ADDRESS_KEYS)
+def _reason(strict_ops: bool) -> Column:
+    value, top, payload, address = (F.col(c) for c in ("value", "_top", "_payload", "_address"))
+    payload_text, address_text, typed = (F.col(c) for c in ("_payload_text", "_address_text", "_typed"))
+    before, after = F.col("before"), F.col("after")
+
+    def not_object(text: Column, part: Column) -> Column:
+        return text.isNotNull() & (~text.startswith("{") | (typed.isNotNull() & part.isNull()))
+
+    def nested(name: str) -> Column:
+        # An object or list where text belongs; a text that merely starts like one follows a quote.
+        text = F.col(name)
+        opens = text.startswith("{") | text.startswith("[")
+        return opens & ~F.contains(value, F.concat(F.lit('"'), text))
+
+    def not_number(text: str, number: str) -> Column:
+        return (F.coalesce(text, F.lit("")) != "") & F.col(number).isNull()
+
+    shape = _any(
+        [
+            top.isNull(),
+            payload_text.isNotNull() & payload.isNull(),
+            not_object(payload_text, F.col("_typed.payload")),
+            address_text.isNotNull() & address.isNull(),
+            not_object(address_text, F.col("_typed.payload.schema")),
+            *[nested(c) for c in ("tms", "xid", "_outer_row", "op", "rid", "_owner", "_table")],
+        ]
     )
-    inner_repeats = (needs_before & images.has_inner_repeats(F.col("before"))) | (
-        needs_after & images.has_inner_repeats(F.col("after"))
+    others = _any(
+        [
+            _has_others(top, M.ENVELOPE_KEYS),
+            _has_others(payload, M.PAYLOAD_KEYS),
+            _has_others(address, M.ADDRESS_KEYS),
+        ]
     )
+    op = F.lower("op")
+    needs_before, needs_after = op.isin(M.UPDATE, M.DELETE), op.isin(M.INSERT, M.UPDATE)
     reason = (
         F.when(F.coalesce(value, F.lit("")) == "", "empty")
-        .when(bad_shape, "bad_json")
-        .when(unknown, "unknown_key")
-        .when(number_is_bad("_scn", "scn") | number_is_bad("_row", "row"), "bad_number")
-        .when(F.col("_payload_text").isNull(), "missing_payload")
-        .when(F.col("op").isNull(), "missing_op")
-        .when(missing, "missing_image")
+        .when(shape, "bad_json")
+        .when(others, "unknown_key")
+        .when(not_number("_scn", "_scn_number") | not_number("_row", "_row_number"), "bad_number")
+        .when(payload_text.isNull(), "missing_payload")
+        .when(op.isNull(), "missing_op")
+        .when((needs_before & before.isNull()) | (needs_after & after.isNull()), "missing_image")
         .when(
-            (needs_before & not_object("before")) | (needs_after & not_object("after")),
+            (needs_before & not_object(before, F.col("_typed.payload.before")))
+            | (needs_after & not_object(after, F.col("_typed.payload.after"))),
             "image_not_object",
         )
-        .when(inner_repeats, "repeated_inner_key")
+        .when(
+            (needs_before & images.has_inner_repeats(before))
+            | (needs_after & images.has_inner_repeats(after)),
+            "repeated_inner_key",
+        )
     )
     if strict_ops:
-        known = (M.INSERT, M.UPDATE, M.DELETE, M.DDL)
-        reason = reason.when(~F.col("op").isin(*known), "unknown_op")
-
-    return split.select(
-        *passed,
-        F.coalesce("scn", F.lit(0)).alias("scn"),
-        "tms",
-        "xid",
-        "op",
-        F.when(address.isNotNull(), F.struct(F.col("_owner").alias("owner"), F.col("_table").alias("table"))).alias("schema"),
-        F.coalesce("row", F.lit(0)).alias("row"),
-        "rid",
-        "before",
-        "after",
-        "sql",
-        reason.alias("reason"),
-        "value",
-    )
+        reason = reason.when(~F.col("op").isin(M.INSERT, M.UPDATE, M.DELETE, M.DDL), "unknown_op")
+    return reason
 
 
-def _with_dummies(flagged: DataFrame) -> DataFrame:
-    is_dummy = F.col("reason").isin(*UNREADABLE)
+def _with_dummies(read: DataFrame, passed: list[str]) -> DataFrame:
+    is_dummy = F.coalesce(F.col("reason").isin(*UNREADABLE), F.lit(False))
+    nothing = F.lit(None).cast("string")
+    owner, table = F.lit(M.DUMMY_OWNER), F.lit(M.DUMMY_TABLE)
     stand_in = {
-        "scn": F.lit(0),
-        "tms": F.lit(None).cast("string"),
-        "xid": F.lit(None).cast("string"),
+        "scn": F.lit(0).cast("bigint"),
+        "tms": nothing,
+        "xid": nothing,
         "op": F.lit(M.INSERT),
-        "schema": F.struct(
-            F.lit(M.DUMMY_OWNER).alias("owner"), F.lit(M.DUMMY_TABLE).alias("table")
-        ),
+        "schema": F.struct(owner.alias("owner"), table.alias("table")),
         "row": F.lit(M.DUMMY_ROW),
         "rid": F.lit(M.DUMMY_RID),
-        "before": F.lit(None).cast("string"),
+        "before": nothing,
         "after": F.lit(M.DUMMY_IMAGE),
-        "sql": F.lit(None).cast("string"),
+        "sql": nothing,
     }
-    usable = flagged.filter(F.col("reason").isNull() | is_dummy)
-    replaced = {c: F.when(is_dummy, v).otherwise(F.col(c)) for c, v in stand_in.items()}
+    fields = [F.when(is_dummy, stand_in[c]).otherwise(F.col(c)).alias(c) for c in FIELDS]
     # Stand-ins never get a row id: that is how the null-key drop later removes them.
-    return usable.withColumns({**replaced, "is_dummy": F.coalesce(is_dummy, F.lit(False))})
+    columns = [*[F.col(c) for c in passed], *fields, is_dummy.alias("is_dummy")]
+    return rows.emit(read, columns, F.col("reason").isNull() | is_dummy)

@@ -17,12 +17,14 @@ def typed_rows(
     """The columns of ``schema`` out of each row's image, plus the columns in ``keep``.
 
     A cell that does not fit its type becomes null and is counted in ``bad_cells``; it never stops
-    the job. Columns nobody selects are not parsed.
+    the job. A column that ``keep`` already brings is not read from the image. Columns nobody selects
+    are not parsed.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    fields = [f for f in schema.fields if f.name not in keep]
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     cells = df.select(*keep, F.from_json(image, as_text, jsontext.STRICT).alias("_cells"))
     typed, bad = [], F.lit(0)
-    for field in schema.fields:
+    for field in fields:
         text = F.col("_cells").getField(field.name)
         cell = typemap.parse_cell(text, field.dataType)
         typed.append(cell.alias(field.name))

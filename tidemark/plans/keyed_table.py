@@ -63,10 +63,9 @@ class KeyedTable:
         """Add a batch of typed changes; the same ``run`` and ``batch`` again replaces it.
 
         Only the last change per key of the batch is kept, cut down before the shuffle. A delete
-        needs no more than its key.
+        needs no more than its key. Rows without a key must be gone before.
         """
-        latest = keyed.latest_changes(keyed.drop_null_keys(changes))
-        self._write(latest, "log", run, batch)
+        self._write(keyed.latest_changes(changes), "log", run, batch)
 
     def changes(self, spark: SparkSession) -> DataFrame:
         """All change rows, deletes included."""

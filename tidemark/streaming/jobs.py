@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import model as M
@@ -82,13 +83,16 @@ def start_relay(
     return msg.stream_messages(copied, fmt, checkpoint, path=path, options=options, trigger=trigger)
 
 
-def table_changes(rows: DataFrame, plan_schema, *, image: str = "image") -> DataFrame:
-    """Decoded row changes as typed changes of one table."""
-    keep = ["op", *M.ORDER]
-    ops = rows.withColumn(
-        "op", F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
-    ).withColumns({c: F.coalesce(c, F.lit(0)) for c in M.ORDER})
-    return typed.typed_rows(ops, plan_schema, image=image, keep=keep).drop("bad_cells")
+def table_changes(decoded: DataFrame, schema: T.StructType) -> DataFrame:
+    """Decoded row changes of one table as typed changes, without those that have no key.
+
+    The message key is the row id; only a message without one is searched for it.
+    """
+    row_id = F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
+    ops = F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
+    keyed_rows = keyed.drop_null_keys(decoded.withColumns({ROW_ID: row_id, "op": ops}))
+    ordered = keyed_rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in M.ORDER})
+    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
 
 
 def start_table_sync(

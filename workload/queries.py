@@ -67,9 +67,9 @@ def _orders_out(df: DataFrame) -> DataFrame:
 
 def _typed_changes(feed: DataFrame, schema: T.StructType, **how) -> DataFrame:
     """A feed as typed changes, ready for a keyed table."""
-    rows = jobs.row_changes(feed, **how)
+    rows = keyed.drop_null_keys(jobs.row_changes(feed, **how))
     image = rows.withColumn("image", F.coalesce("after", "before"))
-    return typed.typed_rows(image, schema, keep=("op", *M.ORDER)).drop("bad_cells")
+    return typed.typed_rows(image, schema, keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
 
 
 # Reading messages
@@ -167,17 +167,17 @@ def changelog_decode_unsplit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA)
-    return _orders_out(keyed.current_rows(keyed.drop_null_keys(changes)))
+    return _orders_out(keyed.current_rows(changes))
 
 
 def current_state_create_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA, split_order="create_first")
-    return _orders_out(keyed.current_rows(keyed.drop_null_keys(changes)))
+    return _orders_out(keyed.current_rows(changes))
 
 
 def lineitem_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _typed_changes(feeds.lineitem(spark, sf_dir), LINEITEM_SCHEMA)
-    rows = keyed.current_rows(keyed.drop_null_keys(changes)).select(*LINEITEM_SCHEMA.names)
+    rows = keyed.current_rows(changes).select(*LINEITEM_SCHEMA.names)
     return _lower(rows.withColumn("L_SHIPDATE", F.col("L_SHIPDATE").cast("string")))
 
 
@@ -193,7 +193,7 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         O_ORDERKEY=T.DecimalType(10, 0), O_TOTALPRICE=T.DecimalType(6, 2), O_ORDERDATE=T.TimestampNTZType(),
         O_ORDERSTATUS=T.FloatType(), O_ORDERPRIORITY=_TEXT,
     )
-    out = typed.typed_rows(rows, schema, image="after", keep=("scn", "seq"))
+    out = typed.typed_rows(rows, schema, image="after", keep=("scn", "seq"))  # the id from the image too
     return out.select(
         "scn", "seq", F.col("O_ORDERKEY").cast("string").alias("o_orderkey"),
         F.col("O_TOTALPRICE").cast("string").alias("o_totalprice"),
