@@ -35,7 +35,16 @@ CLASSES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, spread over all cores where its files make fewer scan tasks than that.
+
+    Message text costs far more to make and read than the columns it comes from. A table of many
+    files is not shuffled.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, df.columns[0])
+    return df
 
 
 def _messages(df: DataFrame, *messages: Column) -> DataFrame:
