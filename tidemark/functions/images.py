@@ -2,68 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import jsontext
 from tidemark.model import ROW_ID
 
 
-def is_nested(image: Column) -> Column:
-    """May a value be an object or a list? Exact for compact text without such pairs in strings."""
-    return F.contains(image, F.lit(":{")) | F.contains(image, F.lit(":["))
+def is_nested(image: str) -> str:
+    """May a value be an object or a list? Never wrongly no: the text is compact."""
+    return f"(contains({image}, ':{{') or contains({image}, ':['))"
 
 
-def has_inner_repeats(image: Column) -> Column:
+def has_inner_repeats(image: str) -> str:
     """Does an object inside the image repeat a key? Top-level repeats are resolved, these are not.
 
     The variant reader refuses such an object, the plain reader does not.
     """
-    plain = F.from_json(image, "map<string,string>", jsontext.STRICT)
-    checked = F.from_json(image, "map<string,variant>", jsontext.STRICT)
-    return F.when(is_nested(image), plain.isNotNull() & checked.isNull()).otherwise(False)
+    refused = f"{jsontext.as_map(image)} is not null and {jsontext.as_map(image, 'variant')} is null"
+    return f"if({is_nested(image)}, {refused}, false)"
 
 
-def add_row_id(df: DataFrame, image: str, when: Column) -> DataFrame:
-    """Give the ``image`` column a row id where ``when`` holds; adds ``<image>_id``.
+def add_row_id(df: DataFrame, image: str, when: str) -> DataFrame:
+    """Give the ``image`` column a row id where the SQL condition ``when`` holds; adds ``<image>_id``.
 
     The id is the MD5 of the image printed as a map. It becomes the first key of the image; an id
     the image already has wins, even a null one. Repeated keys keep their first place and last value.
     """
-    raw, entries, text = F.col(image), F.col("_entries"), F.col("_text")
-    keys = F.map_keys(entries)
-    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
-    kinds = F.from_json(raw, "map<string,variant>", jsontext.STRICT)
-    has_id = F.array_contains(keys, ROW_ID)
-
-    # One object, repeats resolved. Rare, so its cost is only paid by the rows that need it.
-    single = F.when(
-        repeats, jsontext.rebuild(raw, F.array_distinct(keys), entries, kinds)
-    ).otherwise(raw)
-    text_value = (
-        F.when(repeats, jsontext.map_text(single))
-        .when(is_nested(raw), jsontext.map_text(raw))
-        .otherwise(jsontext.flat_map_text(entries, raw))
-    )
-    id_first = F.concat(F.array(F.lit(ROW_ID)), F.array_remove(F.array_distinct(keys), ROW_ID))
-    with_id = F.concat(
-        F.lit('{"' + ROW_ID + '":"'),
-        F.col("_hash"),
-        F.when(single == "{}", '"').otherwise('",'),
-        F.substring(single, F.lit(2), F.length(single)),
-    )
-    enriched = F.when(has_id, jsontext.rebuild(raw, id_first, entries, kinds)).otherwise(with_id)
-    row_id = F.when(has_id, jsontext.last_value(entries, ROW_ID)).otherwise(F.col("_hash"))
-
+    keys = "map_keys(_entries)"
+    distinct_keys = f"array_distinct({keys})"
+    kinds = jsontext.as_map(image, "variant")
+    has_id = f"array_contains({keys}, '{ROW_ID}')"
+    id_first = f"concat(array('{ROW_ID}'), array_remove({distinct_keys}, '{ROW_ID}'))"
+    # The object with repeats resolved. Rare, so its cost is only paid by the rows that need it.
+    single = f"if(_repeats, {jsontext.rebuild(distinct_keys, '_entries', kinds)}, {image})"
+    text = f"""CASE
+      WHEN _repeats THEN {jsontext.map_text('_single')}
+      WHEN {is_nested(image)} THEN {jsontext.map_text(image)}
+      ELSE {jsontext.flat_map_text('_entries', image)} END"""
+    with_hash = f"""concat('{{"{ROW_ID}":"', _hash, if(_single = '{{}}', '"', '",'), substring(_single, 2))"""
+    enriched = f"if({has_id}, {jsontext.rebuild(id_first, '_entries', kinds)}, {with_hash})"
+    own_id = jsontext.last_value("_entries", ROW_ID)
     return (
-        df.withColumn("_entries", F.when(when, jsontext.as_map(raw)))
-        .withColumn("_text", F.when(entries.isNotNull(), text_value))
-        .withColumn("_hash", F.md5(text))
+        df.withColumn("_entries", F.expr(f"if({when}, {jsontext.as_map(image)}, null)"))
+        .withColumn("_repeats", F.expr(f"size({distinct_keys}) < size({keys})"))
+        .withColumn("_single", F.expr(single))
+        .withColumn("_hash", F.expr(f"if(_entries is null, null, md5({text}))"))
         .withColumns(
             {
-                f"{image}_id": F.when(entries.isNotNull(), row_id),
-                image: F.when(entries.isNotNull(), enriched).otherwise(raw),
+                f"{image}_id": F.expr(f"if({has_id}, {own_id}, _hash)"),
+                image: F.expr(f"if(_entries is null, {image}, {enriched})"),
             }
         )
-        .drop("_entries", "_text", "_hash")
+        .drop("_entries", "_repeats", "_single", "_hash")
     )

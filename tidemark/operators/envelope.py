@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import model as M
@@ -67,132 +65,109 @@ def _passed(messages: DataFrame) -> list[str]:
     return [c for c in messages.columns if c not in ("key", "value", "scn", "seq")]
 
 
-def _has_others(entries: Column, allowed: tuple[str, ...]) -> Column:
-    known = F.array(*[F.lit(k) for k in allowed])
-    return F.size(F.array_except(F.map_keys(entries), known)) > 0
-
-
-def _whole_number(text: Column, spark_type: str) -> Column:
+def _whole_number(text: str, spark_type: str) -> str:
     # 5, "5" and 5.7 are all numbers here, the last one cut to 5.
-    cut = text.try_cast("decimal(38,18)").try_cast(spark_type)
-    return F.coalesce(text.try_cast(spark_type), cut)
-
-
-def _any(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+    cut = f"try_cast(try_cast({text} as decimal(38,18)) as {spark_type})"
+    return f"coalesce(try_cast({text} as {spark_type}), {cut})"
 
 
 def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
     """All fields as columns, with ``reason``; every level of the text is parsed once."""
-    value, top, payload, address = (F.col(c) for c in ("value", "_top", "_payload", "_address"))
     get = jsontext.last_value
-
+    kept = [*_passed(messages), "value"]
     # A string that holds an object reads like the object itself. Such text, recognisable by a
     # quote before the brace, is checked once more against the typed shape.
-    typed = F.from_json(value, _SHAPE, {**jsontext.STRICT, "columnNameOfCorruptRecord": "_bad"})
-    opened = (
-        messages.select(*_passed(messages), "value", jsontext.as_map(value).alias("_top"))
-        .withColumn("_payload_text", get(top, "payload"))
-        .withColumn("_payload", jsontext.as_map(F.col("_payload_text")))
-        .withColumn("_address_text", get(payload, "schema"))
-        .withColumn("_address", jsontext.as_map(F.col("_address_text")))
-        .withColumn("_typed", F.when(F.contains(value, F.lit('"{')), typed))
-    )
-    texts = opened.withColumns(
-        {
-            "_scn": get(top, "scn"),
-            "tms": get(top, "tms"),
-            "xid": get(top, "xid"),
-            "_outer_row": get(top, "row"),
-            "op": get(payload, "op"),
-            "_row": get(payload, "row"),
-            "rid": get(payload, "rid"),
-            "before": get(payload, "before"),
-            "after": get(payload, "after"),
-            "sql": get(payload, "sql"),
-            "_owner": get(address, "owner"),
-            "_table": get(address, "table"),
-        }
-    )
+    options = jsontext.STRICT_SQL[:-1] + ", 'columnNameOfCorruptRecord', '_bad')"
+    typed = f"if(contains(value, '\"{{'), from_json(value, '{_SHAPE}', {options}), null) as _typed"
     return (
-        texts.withColumns(
-            {
-                "_scn_number": _whole_number(F.col("_scn"), "bigint"),
-                "_row_number": _whole_number(F.col("_row"), "int"),
-            }
+        messages.selectExpr(*kept, f"{jsontext.as_map('value')} as _top")
+        .selectExpr("*", f"{get('_top', 'payload')} as _payload_text")
+        .selectExpr("*", f"{jsontext.as_map('_payload_text')} as _payload", typed)
+        .selectExpr("*", f"{get('_payload', 'schema')} as _address_text")
+        .selectExpr("*", f"{jsontext.as_map('_address_text')} as _address")
+        .selectExpr(
+            "*",
+            f"{get('_top', 'scn')} as _scn",
+            f"{get('_top', 'tms')} as tms",
+            f"{get('_top', 'xid')} as xid",
+            f"{get('_top', 'row')} as _outer_row",
+            f"{get('_payload', 'op')} as op",
+            f"{get('_payload', 'row')} as _row",
+            f"{get('_payload', 'rid')} as rid",
+            f"{get('_payload', 'before')} as before",
+            f"{get('_payload', 'after')} as after",
+            f"{get('_payload', 'sql')} as sql",
+            f"{get('_address', 'owner')} as _owner",
+            f"{get('_address', 'table')} as _table",
         )
-        .withColumn("reason", _reason(strict_ops))
-        .withColumns(
-            {
-                "scn": F.coalesce("_scn_number", F.lit(0)),
-                "row": F.coalesce("_row_number", F.lit(0)),
-                "schema": F.when(
-                    address.isNotNull(),
-                    F.struct(F.col("_owner").alias("owner"), F.col("_table").alias("table")),
-                ),
-            }
+        .selectExpr(
+            "*",
+            f"{_whole_number('_scn', 'bigint')} as _scn_number",
+            f"{_whole_number('_row', 'int')} as _row_number",
+        )
+        .selectExpr(
+            *kept,
+            "coalesce(_scn_number, 0L) as scn",
+            "tms",
+            "xid",
+            "op",
+            "if(_address is null, null, struct(_owner as owner, _table as table)) as schema",
+            "coalesce(_row_number, 0) as row",
+            "rid",
+            "before",
+            "after",
+            "sql",
+            f"{_reason(strict_ops)} as reason",
         )
     )
 
 
-def _reason(strict_ops: bool) -> Column:
-    value, top, payload, address = (F.col(c) for c in ("value", "_top", "_payload", "_address"))
-    payload_text, address_text, typed = (F.col(c) for c in ("_payload_text", "_address_text", "_typed"))
-    before, after = F.col("before"), F.col("after")
-
-    def not_object(text: Column, part: Column) -> Column:
-        return text.isNotNull() & (~text.startswith("{") | (typed.isNotNull() & part.isNull()))
+def _reason(strict_ops: bool) -> str:
+    def not_object(text: str, part: str) -> str:
+        typed = f"(_typed is not null and _typed.payload{part} is null)"
+        return f"({text} is not null and (not startswith({text}, '{{') or {typed}))"
 
-    def nested(name: str) -> Column:
+    def nested(text: str) -> str:
         # An object or list where text belongs; a text that merely starts like one follows a quote.
-        text = F.col(name)
-        opens = text.startswith("{") | text.startswith("[")
-        return opens & ~F.contains(value, F.concat(F.lit('"'), text))
-
-    def not_number(text: str, number: str) -> Column:
-        return (F.coalesce(text, F.lit("")) != "") & F.col(number).isNull()
-
-    shape = _any(
-        [
-            top.isNull(),
-            payload_text.isNotNull() & payload.isNull(),
-            not_object(payload_text, F.col("_typed.payload")),
-            address_text.isNotNull() & address.isNull(),
-            not_object(address_text, F.col("_typed.payload.schema")),
-            *[nested(c) for c in ("tms", "xid", "_outer_row", "op", "rid", "_owner", "_table")],
-        ]
-    )
-    others = _any(
-        [
-            _has_others(top, M.ENVELOPE_KEYS),
-            _has_others(payload, M.PAYLOAD_KEYS),
-            _has_others(address, M.ADDRESS_KEYS),
-        ]
-    )
-    op = F.lower("op")
-    needs_before, needs_after = op.isin(M.UPDATE, M.DELETE), op.isin(M.INSERT, M.UPDATE)
-    reason = (
-        F.when(F.coalesce(value, F.lit("")) == "", "empty")
-        .when(shape, "bad_json")
-        .when(others, "unknown_key")
-        .when(not_number("_scn", "_scn_number") | not_number("_row", "_row_number"), "bad_number")
-        .when(payload_text.isNull(), "missing_payload")
-        .when(op.isNull(), "missing_op")
-        .when((needs_before & before.isNull()) | (needs_after & after.isNull()), "missing_image")
-        .when(
-            (needs_before & not_object(before, F.col("_typed.payload.before")))
-            | (needs_after & not_object(after, F.col("_typed.payload.after"))),
-            "image_not_object",
-        )
-        .when(
-            (needs_before & images.has_inner_repeats(before))
-            | (needs_after & images.has_inner_repeats(after)),
-            "repeated_inner_key",
-        )
-    )
-    if strict_ops:
-        reason = reason.when(~F.col("op").isin(M.INSERT, M.UPDATE, M.DELETE, M.DDL), "unknown_op")
-    return reason
+        opens = f"(startswith({text}, '{{') or startswith({text}, '['))"
+        return f"coalesce({opens} and not contains(value, concat('\"', {text})), false)"
+
+    def not_number(text: str, number: str) -> str:
+        return f"(coalesce({text}, '') <> '' and {number} is null)"
+
+    shape = [
+        "_top is null",
+        "(_payload_text is not null and _payload is null)",
+        not_object("_payload_text", ""),
+        "(_address_text is not null and _address is null)",
+        not_object("_address_text", ".schema"),
+        *[nested(c) for c in ("tms", "xid", "_outer_row", "op", "rid", "_owner", "_table")],
+    ]
+    others = [
+        jsontext.has_others("_top", M.ENVELOPE_KEYS),
+        jsontext.has_others("_payload", M.PAYLOAD_KEYS),
+        f"(_address is not null and {jsontext.has_others('_address', M.ADDRESS_KEYS)})",
+    ]
+    before = f"lower(op) in ('{M.UPDATE}', '{M.DELETE}')"
+    after = f"lower(op) in ('{M.INSERT}', '{M.UPDATE}')"
+
+    def needed(test_before: str, test_after: str) -> str:
+        return f"({before} and {test_before}) or ({after} and {test_after})"
+
+    unknown_op = f"not op in ('{M.INSERT}', '{M.UPDATE}', '{M.DELETE}', '{M.DDL}')"
+    return f"""CASE
+      WHEN coalesce(value, '') = '' THEN 'empty'
+      WHEN {' or '.join(shape)} THEN 'bad_json'
+      WHEN {' or '.join(others)} THEN 'unknown_key'
+      WHEN {not_number('_scn', '_scn_number')} or {not_number('_row', '_row_number')} THEN 'bad_number'
+      WHEN _payload_text is null THEN 'missing_payload'
+      WHEN op is null THEN 'missing_op'
+      WHEN {needed("before is null", "after is null")} THEN 'missing_image'
+      WHEN {needed(not_object("before", ".before"), not_object("after", ".after"))} THEN 'image_not_object'
+      WHEN {needed(images.has_inner_repeats("before"), images.has_inner_repeats("after"))}
+        THEN 'repeated_inner_key'
+      {f"WHEN {unknown_op} THEN 'unknown_op'" if strict_ops else ""}
+    END"""
 
 
 def _with_dummies(read: DataFrame, passed: list[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark import model as M
 from tidemark.functions import images
@@ -15,7 +14,7 @@ def add_row_ids(changes: DataFrame) -> DataFrame:
     Adds ``before_id`` and ``after_id``. Operation codes are matched without regard to case; other
     operations pass unchanged, as do stand-in rows for unreadable messages.
     """
-    op = F.lower("op")
-    real = ~F.col("is_dummy") if "is_dummy" in changes.columns else F.lit(True)
-    changes = images.add_row_id(changes, "before", real & op.isin(M.UPDATE, M.DELETE))
-    return images.add_row_id(changes, "after", real & op.isin(M.INSERT, M.UPDATE))
+    real = "not is_dummy and " if "is_dummy" in changes.columns else ""
+    before, after = (M.UPDATE, M.DELETE), (M.INSERT, M.UPDATE)
+    changes = images.add_row_id(changes, "before", f"{real}lower(op) in {before}")
+    return images.add_row_id(changes, "after", f"{real}lower(op) in {after}")

@@ -47,7 +47,7 @@ def split_updates(changes: DataFrame, *, order: str = "delete_first") -> DataFra
     return changes.select(*kept, F.inline(rows))
 
 
-def target_value(df: DataFrame) -> Column:
+def target_value() -> Column:
     """Message text with the fields in their fixed order, absent ones as null.
 
     Images are spliced in as they are, so their key order and number spelling survive.
@@ -57,11 +57,11 @@ def target_value(df: DataFrame) -> Column:
     return F.concat(
         F.substring(head, F.lit(1), F.length(head) - 1),
         F.lit(',"before":'),
-        F.coalesce(df["before"], F.lit("null")),
+        F.coalesce("before", F.lit("null")),
         F.lit(',"after":'),
-        F.coalesce(df["after"], F.lit("null")),
+        F.coalesce("after", F.lit("null")),
         F.lit(',"sql":'),
-        F.coalesce(jsontext.quoted(df["sql"]), F.lit("null")),
+        F.expr(jsontext.quoted("sql")),
         F.lit("}"),
     )
 
@@ -73,7 +73,7 @@ def to_messages(split: DataFrame, topic: Column) -> DataFrame:
     return split.select(
         topic.alias("topic"),
         F.col(ROW_ID).alias("key"),
-        target_value(split).alias("value"),
+        target_value().alias("value"),
         "scn",
         pos.alias("pos"),
         "seq",

@@ -157,7 +157,7 @@ def changelog_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changelog_decode_unsplit(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = envelope.drop_ddl(envelope.parse_changes(feeds.customer(spark, sf_dir)))
-    messages = changes.withColumn("value", split.target_value(changes)).select("scn", "value")
+    messages = changes.withColumn("value", split.target_value()).select("scn", "value")
     rows = split.decode_changelog(messages)
     return rows.select("scn", "seq", "kind", F.md5("image").alias("image_hash"))
 
