@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import jsontext, typemap
+from tidemark.functions import typemap
 
 
 def typed_rows(
@@ -17,12 +17,13 @@ def typed_rows(
     """The columns of ``schema`` out of each row's image, plus the columns in ``keep``.
 
     A cell that does not fit its type becomes null and is counted in ``bad_cells``; it never stops
-    the job. A column that ``keep`` already brings is not read from the image. Columns nobody selects
-    are not parsed.
+    the job. A column that ``keep`` already brings is not read from the image. The image is parsed
+    once for all columns; a single selected column is all that is read of it.
     """
     fields = [f for f in schema.fields if f.name not in keep]
+    # Without reader options, so that Spark can narrow the parse. Images were read strictly before.
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    cells = df.select(*keep, F.from_json(image, as_text, jsontext.STRICT).alias("_cells"))
+    cells = df.select(*keep, F.from_json(image, as_text).alias("_cells"))
     typed, bad = [], F.lit(0)
     for field in fields:
         text = F.col("_cells").getField(field.name)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +68,16 @@ class KeyedTable:
         """
         self._write(keyed.latest_changes(changes), "log", run, batch)
 
-    def changes(self, spark: SparkSession) -> DataFrame:
-        """All change rows, deletes included."""
-        parts = [
+    def _parts(self, spark: SparkSession) -> list[DataFrame]:
+        return [
             spark.read.schema(self.stored).parquet(f"{self.path}/{part}")
             for part in ("log", "base")
             if _exists(spark, f"{self.path}/{part}")
         ]
-        if not parts:
-            return spark.createDataFrame([], self.stored)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def changes(self, spark: SparkSession) -> DataFrame:
+        """All change rows, deletes included."""
+        return _union(self._parts(spark)) or spark.createDataFrame([], self.stored)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The rows that exist now."""
@@ -100,8 +101,9 @@ class KeyedTable:
 
     def files_with(self, spark: SparkSession, predicate: Column) -> DataFrame:
         """Files that hold rows meeting a predicate."""
-        found = self.changes(spark).filter(predicate)
-        return found.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+        path = F.col("_metadata.file_path").alias("file_path")
+        found = [part.filter(predicate).select(path) for part in self._parts(spark)]
+        return (_union(found) or spark.createDataFrame([], "file_path string")).distinct()
 
     def stream(self, spark: SparkSession, **options: str) -> DataFrame:
         """New change rows as batches land. Deletes come as rows with ``op`` d and only the key."""
@@ -124,23 +126,17 @@ class KeyedTable:
         ``expire=False`` keeps the old files for readers still at work. Returns how many folders
         were replaced. ``version`` must grow from one compaction to the next.
         """
-        rows = self.changes(spark)
-        if buckets is not None:
-            rows = rows.filter(F.col("bucket").isin(*buckets))
-        # Folders, not rows: their number is batches times buckets.
-        replaced = (
-            rows.select(
-                F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("folder")
-            )
-            .distinct()
-            .collect()
-        )
-        latest = keyed.latest_changes(rows)
+        chosen = F.lit(True) if buckets is None else F.col("bucket").isin(*buckets)
+        # A listing, no rows are read. Folders number batches times buckets.
+        listed = {f.rsplit("/", 1)[0] for part in self._parts(spark) for f in part.inputFiles()}
+        marks = None if buckets is None else [f"/bucket={b}/" for b in buckets]
+        replaced = [f for f in listed if marks is None or any(m in f for m in marks)]
+        latest = keyed.latest_changes(self.changes(spark).filter(chosen))
         if max_tasks is not None:
             latest = latest.coalesce(max_tasks)
         self._write(latest, "base", "compact", version)
         if expire:
-            _delete(spark, [r.folder for r in replaced])
+            _delete(spark, replaced)
         return len(replaced)
 
     def _write(self, latest: DataFrame, part: str, run: str, batch: int) -> None:
@@ -195,6 +191,10 @@ def merge_into(changes: DataFrame, table: str, columns: Sequence[str]) -> None:
     )
 
 
+def _union(parts: Sequence[DataFrame]) -> DataFrame | None:
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)

@@ -223,7 +223,7 @@ def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matching_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that the listed files hold for a predicate, next to those the whole table holds."""
+    """The matching rows of those files alone that are listed for a predicate."""
     orders = _orders_table(spark, sf_dir, "matching_files")
     wanted = (F.col("O_ORDERSTATUS") == "X") & (F.col("op") == "c")
     files = orders.files_with(spark, wanted)
