@@ -91,6 +91,8 @@ def table_changes(decoded: DataFrame, schema: T.StructType) -> DataFrame:
     row_id = F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
     ops = F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
     keyed_rows = keyed.drop_null_keys(decoded.withColumns({ROW_ID: row_id, "op": ops}))
+    # A delete needs no more than its key, so only inserts have an image to parse.
+    keyed_rows = keyed_rows.withColumn("image", F.when(F.col("op") == M.INSERT, F.col("image")))
     ordered = keyed_rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in M.ORDER})
     return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
 

@@ -68,8 +68,8 @@ def _orders_out(df: DataFrame) -> DataFrame:
 def _typed_changes(feed: DataFrame, schema: T.StructType, **how) -> DataFrame:
     """A feed as typed changes, ready for a keyed table."""
     rows = keyed.drop_null_keys(jobs.row_changes(feed, **how))
-    image = rows.withColumn("image", F.coalesce("after", "before"))
-    return typed.typed_rows(image, schema, keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
+    # A delete needs no more than its key, so only inserts have an image to parse.
+    return typed.typed_rows(rows, schema, image="after", keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
 
 
 # Reading messages
