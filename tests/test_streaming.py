@@ -6,6 +6,7 @@ from tidemark.operators import keyed
 from tidemark.plans.keyed_table import KeyedTable
 from tidemark.plans.tables import TablePlan
 from tidemark.sources import messages as msg
+from tidemark.sources.envelopes import full_load
 from tidemark.streaming import jobs
 
 
@@ -138,3 +139,16 @@ def test_broker_options_and_headers(spark):
     assert tuple(row) == ("t", "k", "v", 7, 8, 1)
     plain = msg._from_kafka(received.drop("headers")).collect()[0]
     assert tuple(plain) == ("t", "k", "v", None, 99, None)
+
+
+def test_full_load_of_a_table(spark):
+    table = spark.range(50).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    loaded = full_load(table, "O", "T", F.col("id"), F.col("id"))
+    now = keyed.current_rows(jobs.row_changes(loaded))
+    names = {r.n for r in now.select(F.get_json_object("after", "$.NAME").alias("n")).collect()}
+    assert names == {f"n{i}" for i in range(50)}
+
+
+def test_rows_can_be_printed(spark, capsys):
+    msg.print_rows(spark.createDataFrame([("a" * 40,)], "v string"))
+    assert "a" * 40 in capsys.readouterr().out

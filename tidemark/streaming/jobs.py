@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import model as M
 from tidemark.model import ROW_ID
-from tidemark.operators import envelope, identity, keyed, routing, split, typed
+from tidemark.operators import envelope, identity, keyed, split, typed
 from tidemark.plans.keyed_table import KeyedTable
 from tidemark.plans.tables import TablePlan
 from tidemark.sources import messages as msg
@@ -108,7 +108,6 @@ def start_table_sync(
     on_bad: str = "fail",
     buckets: int = 8,
     writers: int = 4,
-    after_batch: Callable[[SparkSession, int], None] | None = None,
 ) -> StreamingQuery:
     """Keep the keyed tables of all plans in step with one stream of target messages.
 
@@ -135,8 +134,6 @@ def start_table_sync(
                 list(pool.map(write, [p for p in plans if p.target_topic in present]))
         finally:
             held.unpersist()
-        if after_batch is not None:
-            after_batch(batch.sparkSession, batch_id)
 
     writer = decoded.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()

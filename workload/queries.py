@@ -203,13 +203,15 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_table(spark: SparkSession, sf_dir: str, purpose: str, batches: int = 1) -> KeyedTable:
-    """ORDERS applied to a keyed table, in as many batches as asked."""
+_IN_TWO = ("op = 'c'", "op = 'd'")
+
+
+def _orders_table(spark: SparkSession, sf_dir: str, purpose: str, batches: tuple[str, ...] = ("true",)) -> KeyedTable:
+    """ORDERS applied to a keyed table, in batches that together hold every change at least once."""
     keyed_table = KeyedTable(work_dir(spark, purpose), ORDERS_SCHEMA)
     changes = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA)
-    for i in range(batches):
-        mine = changes if batches == 1 else changes.filter(F.pmod(F.hash("pos"), F.lit(batches)) == i)
-        keyed_table.append(mine, run="load", batch=i)
+    for i, part in enumerate(batches):
+        keyed_table.append(changes.filter(part), run="load", batch=i)
     return keyed_table
 
 
@@ -248,13 +250,13 @@ def layout_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _orders_table(spark, sf_dir, "compaction", batches=3)
+    orders = _orders_table(spark, sf_dir, "compaction", (*_IN_TWO, "true"))
     orders.compact(spark, version=1)
     return _orders_out(orders.current(spark))
 
 
 def compaction_some_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _orders_table(spark, sf_dir, "compaction_some", batches=2)
+    orders = _orders_table(spark, sf_dir, "compaction_some", _IN_TWO)
     orders.compact(spark, version=1, buckets=[1, 4], max_tasks=5)
     return _orders_out(orders.current(spark))
 
@@ -323,7 +325,7 @@ def multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes followed from the table's folder: what a reader that polls it receives."""
-    orders = _orders_table(spark, sf_dir, "stream_incremental", batches=2)
+    orders = _orders_table(spark, sf_dir, "stream_incremental", _IN_TWO)
     seen = f"{orders.path}/seen"
     query = (
         orders.stream(spark).select(ROW_ID, "op", "scn", "seq").writeStream.format("parquet")
