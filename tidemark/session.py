@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,8 +27,13 @@ def local_session(cores: str = "*", *, memory: str = "8g") -> SparkSession:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session without that setting, as in tests, falls back to a local temporary folder.
+    Without that setting only a session on one machine, as in tests, gets a folder: executors elsewhere
+    would write to their own disks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        shared = tempfile.mkdtemp(prefix="tidemark-")
+    return f"{shared.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
