@@ -6,11 +6,48 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, sentencepiece, warc
+from tidemark.llm import decontaminate, language, minhash, quality, sentencepiece, warc
 from tidemark.llm.common import id_part, read_table
 from tidemark.session import work_dir
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the verdict of the rule cascade for every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.apply_rules(docs, "doc_id", "text").select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 85 % of common three-word shingles."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, "doc_id", "text", width=3, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, with the benchmark items whose template it holds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = decontaminate.contaminated(docs, "doc_id", "text", items, "item_id", "text")
+    found = found.select(F.col("id").alias("found_id"), "items", "covered")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select(
+        "doc_id",
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.concat_ws(",", F.col("items").cast("array<string>")).alias("items"),
+        F.coalesce("covered", F.lit(0)).alias("covered_words"),
+        F.col("found_id").isNotNull().alias("contaminated"),
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the rows that are not held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -39,12 +76,79 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op9_decontamination": op9_decontamination,
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_warc": op10_warc,
 }
 
+_UNITS = "|".join(decontaminate.UNITS)
+
 ORACLE = {
+    "op1_quality": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS l
+            FROM documents),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+        twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+        gain AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS n FROM twice),
+        cov AS (SELECT doc_id, sum(n) AS n FROM gain GROUP BY 1),
+        s AS (
+            SELECT doc_id, text, w, len(w)::BIGINT AS n_words, len(l)::BIGINT AS n_lines,
+                length(regexp_replace(text, '[ \t-\r]+', '', 'g'))::BIGINT AS word_chars,
+                length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+                (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+                coalesce(n, 0)::BIGINT AS n_repeat_words,
+                length(regexp_replace(text, '[^\p{L}]+', '', 'g')) AS letters,
+                length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS capitals
+            FROM d LEFT JOIN cov USING (doc_id)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT (base_failed OR 10 * n_symbols > n_words OR 2 * capitals > letters OR 100 * n_dup_lines > 40 * n_lines
+                OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * letters < word_chars
+                OR 10 * len(list_distinct(w)) < n_words) AS kept
+        FROM b
+    """,
+    "op9_decontamination": rf"""
+        WITH raw AS (
+            SELECT 0 AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+            UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark),
+        a AS (SELECT side, id, regexp_replace(regexp_replace(text, '[\x{{e000}}-\x{{e002}}]', '', 'g'),
+            '(\p{{N}})[.,:](\p{{N}})', '\1\2', 'g') AS text FROM raw),
+        n1 AS (SELECT side, id, regexp_replace(text, '([\p{{Ll}}\p{{N}},;] )(\p{{Lu}}\p{{L}}*)', '\1' || chr(57344) || '\2', 'g') AS text FROM a),
+        n2 AS (SELECT side, id, regexp_replace(text, '(\x{{e000}}\p{{L}}+ )(\p{{Lu}}\p{{L}}*)', '\1' || chr(57344) || '\2', 'g') AS text FROM n1),
+        n3 AS (SELECT side, id, regexp_replace(text, '(\x{{e000}}\p{{L}}+ )(\p{{Lu}}\p{{L}}*)', '\1' || chr(57344) || '\2', 'g') AS text FROM n2),
+        m AS (SELECT side, id, lower(regexp_replace(text, '(\p{{N}}+)', ' ' || chr(57345) || '\1 ', 'g')) AS text FROM n3),
+        u AS (SELECT side, id, regexp_replace(text, '(\x{{e001}}\p{{N}}+ +)({_UNITS})\b', '\1' || chr(57346) || '\2', 'g') AS text FROM m),
+        t AS (SELECT side, id,
+            list_filter(regexp_split_to_array(text, '[^\p{{L}}\p{{N}}\x{{e000}}-\x{{e002}}]+'), lambda x: x <> '') AS v FROM u),
+        w AS (SELECT side, id, v, list_transform(v, lambda x: CASE WHEN ord(x) BETWEEN 57344 AND 57346 THEN x[1] ELSE x END) AS w FROM t),
+        items AS (SELECT id AS item, v, w, len(w) AS size FROM w WHERE side = 1 AND len(w) >= 5),
+        first AS (SELECT v, min(item) AS item, any_value(w) AS w, any_value(size) AS size, list(DISTINCT item) AS ids FROM items GROUP BY v),
+        iw AS (SELECT item, i AS item_at, least(size, 8) AS width, w[i:i + least(size, 8) - 1] AS k, v[i:i + least(size, 8) - 1] AS iv
+            FROM (SELECT *, unnest(range(1, size - least(size, 8) + 2)) AS i FROM first)),
+        dw AS (SELECT id, i AS place, width, w[i:i + width - 1] AS k, v[i:i + width - 1] AS dv
+            FROM (SELECT id, v, w, width, unnest(range(1, len(w) - width + 2)) AS i
+                FROM w, (SELECT DISTINCT width FROM iw) WHERE side = 0)),
+        hit AS (SELECT DISTINCT id, item, item_at, place - item_at AS shift, width, k, iv, dv FROM dw JOIN iw USING (width, k)
+            WHERE len(list_filter(k, lambda x: ord(x) NOT BETWEEN 57344 AND 57346)) > 0),
+        slot AS (SELECT id, item, shift, unnest(k) AS kind, unnest(iv) AS iv, unnest(dv) AS dv FROM hit),
+        broken AS (SELECT DISTINCT id, item, shift FROM (SELECT id, item, shift, iv FROM slot
+            WHERE ord(kind) BETWEEN 57344 AND 57346 GROUP BY ALL HAVING min(dv) <> max(dv))),
+        good AS (SELECT DISTINCT id, item, item_at, width FROM hit ANTI JOIN broken USING (id, item, shift)),
+        gain AS (SELECT id, item, least(width, coalesce(lead(item_at) OVER (PARTITION BY id, item ORDER BY item_at) - item_at, width)) AS n FROM good),
+        cov AS (SELECT id, item, sum(n) AS n FROM gain GROUP BY 1, 2),
+        bad AS (SELECT id, n, ids FROM cov JOIN first USING (item) WHERE 100 * n >= 50 * size),
+        one AS (SELECT id, max(n)::BIGINT AS n, list_sort(list_distinct(flatten(list(ids)))) AS ids FROM bad GROUP BY id)
+        SELECT doc_id, coalesce(len(ids), 0)::BIGINT AS n_items, coalesce(array_to_string(ids, ','), '') AS items,
+            coalesce(n, 0)::BIGINT AS covered_words, n IS NOT NULL AS contaminated
+        FROM documents LEFT JOIN one ON doc_id = id
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
