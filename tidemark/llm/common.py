@@ -15,14 +15,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read from there.
 
-    A lost executor then costs no more than the tasks it ran: what was written stays.
+    A lost executor then costs no more than the tasks it ran: what was written stays. The write's shuffle
+    files go as soon as it is done, since nothing reads them again.
     """
-    folder = work_dir(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = work_dir(spark, purpose)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def text_of(column: str) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, minhash, quality, sentencepiece, warc
+from tidemark.llm import decontaminate, html, language, licenses, minhash, quality, sentencepiece, toxicity, warc
 from tidemark.llm.common import id_part, read_table
 from tidemark.session import work_dir
 
@@ -26,6 +26,35 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, "html").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    machine = toxicity.fit(
+        docs, "doc_id", "text", labels.filter(id_part("doc_id", 3) != 1), "doc_id", "toxic"
+    )
+    rows = docs.select("doc_id", "text", (id_part("doc_id", 3) == 1).alias("held_out"))
+    return toxicity.score(rows, "text", machine).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences whose notice it holds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.transform("notices", lambda n: n["license"])
+    return licenses.scan(docs, "text").select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(found))).alias("licenses"),
+        F.coalesce(F.array_max(F.transform("notices", lambda n: n["coverage"])), F.lit(0.0)).alias("best_coverage"),
+    )
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 85 % of common three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +106,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_html_text": op3_html_text,
+    "op4_toxicity": op4_toxicity,
+    "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op7_language_id": op7_language_id,
