@@ -1,21 +1,77 @@
-"""The corpus pipeline: five stages from documents to token ids."""
+"""The corpus pipeline: from documents to token ids, in five stages.
+
+Each stage is a function of (spark, docs, sf_dir) and works on what the stage before it has kept. All but the
+last return the columns of ``documents``. Between stages rows are written as Parquet and read again, so
+a lost executor costs no finished stage.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import sentencepiece
+from tidemark.llm import decontaminate, language, minhash, sentencepiece, suffix
 from tidemark.llm.common import read_table, stored
 
+#: Below this cosine a text has next to no letter groups in common with any language.
+LEAST_SCORE = 0.05
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned; those without a letter, or like none of them, go."""
+    profiles = language.learn(docs, "text", "lang")
+    found = language.predict(docs.select(F.struct("*").alias("row"), "text"), "text", profiles)
+    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select("row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, 80 %; and one row of each id."""
+    found = stored(minhash.near_duplicates(docs, "doc_id", "text"), "groups")
+    gone = found.filter("NOT kept").select(F.col("id").alias("doc_id"))
+    rows = docs.join(gone, "doc_id", "left_anti")
+    again = found.filter("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).count().filter("count > 1").select("doc_id")
+    if not again.isEmpty():
+        once = rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rows = rows.join(again, "doc_id", "left_anti").unionByName(once)
+    return rows.select(docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 200 bytes and more that occur elsewhere."""
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    left = suffix.remove_repeats(rows, "doc_id", "text", decode=True)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return left.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor one with other numbers or names."""
+    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = stored(decontaminate.contaminated(docs, "doc_id", "text", items, "item_id", "text"), "leaks")
+    same = docs["doc_id"].eqNullSafe(found["id"])
+    return docs.join(found, same, "left_anti")
+
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document that is left (SentencePiece)."""
-    return sentencepiece.encode(docs, "text", public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "ids")
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether they decode to its text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = sentencepiece.encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", model, decode=True)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("same_text")
+    )
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("repeated_passages", without_repeats),
+    ("decontamination", without_benchmark),
+    ("encoding", encoded),
+]
 
+#: No SQL expresses the MinHash, suffix and SentencePiece stages; tests compare them with brute force.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, language, licenses, minhash, quality, sentencepiece, toxicity, warc
+from tidemark.llm import decontaminate, html, language, licenses, minhash, quality, sentencepiece, suffix, toxicity, warc
 from tidemark.llm.common import id_part, read_table
 from tidemark.session import work_dir
 
@@ -26,6 +26,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 200 bytes that occur elsewhere."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, "doc_id", "text").select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -58,7 +66,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 85 % of common three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = minhash.near_duplicates(docs, "doc_id", "text", width=3, percent=85)
+    found = minhash.near_duplicates(docs, "doc_id", "text", width=3, percent=85, bands=20, rows=5)
     return found.withColumnRenamed("id", "doc_id")
 
 
@@ -106,6 +114,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_html_text": op3_html_text,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
