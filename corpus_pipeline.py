@@ -8,7 +8,7 @@ a lost executor costs no finished stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, minhash, sentencepiece, suffix
@@ -18,12 +18,17 @@ from tidemark.llm.common import read_table, stored
 LEAST_SCORE = 0.05
 
 
+def _rest(docs: DataFrame) -> Column:
+    """All columns but the text in one, out of the way of columns that an operator adds."""
+    return F.struct(*(c for c in docs.columns if c != "text")).alias("rest")
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without a letter, or like none of them, go."""
     profiles = language.learn(docs, "text", "lang")
-    found = language.predict(docs.select(F.struct("*").alias("row"), "text"), "text", profiles)
+    found = language.predict(docs.select(_rest(docs), "text"), "text", profiles)
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("row.*")
+    return kept.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +45,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 200 bytes and more that occur elsewhere."""
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    rows = docs.select(_rest(docs), "doc_id", "text")
     left = suffix.remove_repeats(rows, "doc_id", "text", decode=True)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return left.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
+    return left.select(*(new[c].alias(c) if c in new else F.col("rest")[c].alias(c) for c in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
