@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its distinct lower-cased words and their beginnings (stems of several lengths), hashed
-into 2^22 buckets. The machine scores a text by a linear weight per term and, for every pair of its terms,
-the product of their latent vectors, so that a word may count only beside another.
+A text's terms are its lower-cased words and their beginnings (stems of several lengths), hashed into 2^22
+buckets; a term that occurs again, and often, counts as further terms. The machine scores a text by a
+linear weight per term and, for every pair of its terms, the product of their latent vectors, so that a
+word may count only beside another.
 
 It is fitted on a bounded sample: at most ``sample_rows`` labelled rows, those with the smallest hash of
 the id. Terms are chosen there: of the ``candidates`` most frequent ones in texts of label 1, the
@@ -30,6 +31,7 @@ from tidemark.llm.minhash import ODD, mixed
 
 BITS = 22
 STEMS = (3, 4, 5, 6, 7)  # bytes
+TIMES = (1, 2, 4)  # occurrences from which a term counts once more
 LETTER = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 
 
@@ -58,8 +60,8 @@ def terms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Machine:
     terms: np.ndarray  # buckets, sorted
     bias: float
-    weights: np.ndarray
-    factors: np.ndarray  # terms x latent
+    weights: np.ndarray  # terms x TIMES
+    factors: np.ndarray  # as many x latent
     learned: bool = True
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
@@ -71,7 +73,7 @@ class Machine:
 
 
 class Presence:
-    """Which of the chosen terms a text has."""
+    """Which of the chosen terms a text has, and which of them often: a column per term and number in TIMES."""
 
     def __init__(self, terms: np.ndarray):
         self.place = np.full(1 << BITS, -1, np.int32)
@@ -81,40 +83,38 @@ class Presence:
     def rows(self, texts: list[str]) -> np.ndarray:
         found, owner = terms_of(texts)
         place = self.place[found]
-        out = np.zeros((len(texts), self.size), np.float32)
-        out[owner[place >= 0], place[place >= 0]] = 1
-        return out
+        cells = owner[place >= 0] * self.size + place[place >= 0]
+        counts = np.bincount(cells, minlength=len(texts) * self.size).reshape(len(texts), self.size)
+        return np.concatenate([counts >= n for n in TIMES], axis=1).astype(np.float32)
 
 
-def fit_machine(rows: np.ndarray, labels: np.ndarray, *, latent: int = 8, epochs: int = 30, batch: int = 256, rate: float = 0.05, decay: float = 1e-4, seed: int = 5) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and factors by Adagrad on the logistic loss."""
+def fit_machine(rows: np.ndarray, labels: np.ndarray, *, latent: int = 8, steps: int = 2000, batch: int = 256, rate: float = 0.1, decay: float = 1e-5, seed: int = 5) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and factors by Adagrad on the logistic loss, ``steps`` batches drawn at random."""
     random = np.random.Generator(np.random.PCG64(seed))
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    bias = np.array([np.log(share / (1 - share))])
-    weights, factors = np.zeros(rows.shape[1]), random.normal(0, 0.01, (rows.shape[1], latent))
+    bias = np.array([np.log(share / (1 - share))], np.float32)
+    weights, factors = np.zeros(rows.shape[1], np.float32), random.normal(0, 0.01, (rows.shape[1], latent)).astype(np.float32)
     state = [np.full_like(p, 1e-6) for p in (bias, weights, factors)]
-    for _ in range(epochs):
-        order = random.permutation(len(rows))
-        for begin in range(0, len(order), batch):
-            pick = order[begin : begin + batch]
-            x, y = rows[pick].astype(np.float64), labels[pick]
-            sums = x @ factors
-            raw = bias[0] + x @ weights + 0.5 * (sums**2 - x @ factors**2).sum(axis=1)
-            error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(pick)
-            slopes = (
-                np.array([error.sum()]),
-                x.T @ error + decay * weights,
-                x.T @ (error[:, None] * sums) - (x.T @ error)[:, None] * factors + decay * factors,
-            )
-            for value, slope, seen in zip((bias, weights, factors), slopes, state, strict=True):
-                seen += slope**2
-                value -= rate * slope / np.sqrt(seen)
+    for _ in range(steps):
+        pick = random.integers(0, len(rows), min(batch, len(rows)))
+        x, y = rows[pick].astype(np.float32), labels[pick].astype(np.float32)
+        sums = x @ factors
+        raw = bias[0] + x @ weights + 0.5 * (sums**2 - x @ factors**2).sum(axis=1)
+        error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(pick)
+        slopes = (
+            np.array([error.sum()]),
+            x.T @ error + decay * weights,
+            x.T @ (error[:, None] * sums) - (x.T @ error)[:, None] * factors + decay * factors,
+        )
+        for value, slope, seen in zip((bias, weights, factors), slopes, state, strict=True):
+            seen += slope**2
+            value -= rate * slope / np.sqrt(seen)
     return float(bias[0]), weights, factors
 
 
 def fit(
     docs: DataFrame, record_id: str, text: str, labels: DataFrame, label_id: str, label: str, *, sample_rows: int = 24_000,
-    candidates: int = 40_000, terms: int = 768, least: int = 5, slice_bytes: int = 1 << 20,
+    candidates: int = 40_000, terms: int = 384, least: int = 5, slice_bytes: int = 1 << 20,
 ) -> Machine:
     """The machine, from rows of ``docs`` that ``labels`` marks with 0 or 1. The sample's bound is ``sample_rows``."""
     marks = (
@@ -187,7 +187,7 @@ def fit(
 
     data = sample.mapInArrow(present, "bits binary, label int").orderBy("bits", "label").collect()
     rows = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in data), np.uint8).reshape(len(data), -1), axis=1)
-    bias, weights, factors = fit_machine(rows[:, : len(chosen)], np.array([r.label for r in data], float))
+    bias, weights, factors = fit_machine(rows[:, : len(chosen) * len(TIMES)], np.array([r.label for r in data], float))
     return Machine(chosen, bias, weights, factors)
 
 
