@@ -115,3 +115,18 @@ def test_text_is_parsed_once_whatever_is_filtered(messages):
     plan = df.filter(F.col("op") == "c").filter("scn > 1 and rid is null")._jdf.queryExecution().optimizedPlan().toString()
     # envelope, payload, address, the typed check, and the rare inner checks; none twice
     assert plan.count("from_json(MapType(StringType,StringType,true)") == 5
+
+
+def test_texts_that_look_like_objects(messages):
+    base = '{"scn":1,%s"payload":{"op":"c",%s"after":{"a":1}}}'
+    df = messages(
+        base % ("", r'"rid":"{\"k\":1}",'),
+        base % ("", r'"rid":"[a\\b]",'),
+        base % ('"tms":[1],', '"rid":"[1]",'),
+        base % ("", '"sql":{"x":1},'),
+        base % ("", '"sql":"{\\"x\\":1}",'),
+        '{"scn":1,"payload":{"op":"c","after":"{}"}}',
+    )
+    rows = envelope.parse_changes(df, on_bad="flag").orderBy("pos").collect()
+    assert [r.reason for r in rows] == [None, None, "bad_json", "bad_json", None, "image_not_object"]
+    assert (rows[0].rid, rows[1].rid) == ('{"k":1}', "[a\\b]")

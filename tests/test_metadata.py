@@ -94,3 +94,20 @@ def test_allow_lists(spark, dictionary):
     pick = lambda d: sorted(r.topic for r in routing.allowed_topics(topics, "topic", "ORCL", d).collect())
     assert pick({"DDS": ["other"], "DBMGR": ["t_zhj2"]}) == ["orcl-dbmgr-t_zhj2", "orcl-dds-other"]
     assert len(pick({})) == len(pick({"DDS": []})) == 3
+    assert pick({"DDS": [], "DBMGR": ["none"]}) == ["orcl-dds-other", "orcl-dds-t_zhj2"]
+
+
+def test_columns_of_a_live_dictionary(spark):
+    view = spark.createDataFrame(
+        [("DDS", "T", 2, "N", "NUMBER", None, None), ("DDS", "T", 1, "ID", "NUMBER", 10, 0), ("DDS", "T", 3, "D", "DATE", None, None),
+         ("DDS", "T", 4, "Z", "TIMESTAMP(6) WITH TIME ZONE", None, 6), ("DDS", "T", 5, "V", "VARCHAR2", None, None),
+         ("DDS", "T", 6, "F", "FLOAT", 126, None)],
+        "OWNER string, TABLE_NAME string, COLUMN_ID int, COLUMN_NAME string, DATA_TYPE string, DATA_PRECISION int, DATA_SCALE int",
+    )
+    columns = metadata.column_metadata(view)
+    assert columns.schema.simpleString() == metadata.COLUMN_METADATA.simpleString()
+    plan = plans.collect_plans(plans.table_plans(columns, "orcl"))[0]
+    assert plan.columns == (
+        ("ID", "DECIMAL(10,0)"), ("N", "DECIMAL(38,10)"), ("D", "DATE"), ("Z", "TIMESTAMP_NTZ"), ("V", "STRING"),
+        ("F", "DECIMAL(38,10)"),
+    )

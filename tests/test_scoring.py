@@ -14,7 +14,7 @@ def scorer():
             return 503, "later"
         return 200, json.dumps(body)
 
-    return ask
+    return scoring.one_by_one(ask)
 
 
 def sentence(i, text):
@@ -41,49 +41,32 @@ def test_one_scorer_per_task(spark):
 
     def counting():
         marker = os.urandom(4).hex()
-        return lambda body: (200, marker)
+        return lambda requests: [(200, marker)] * len(requests)
 
     df = spark.range(2000).select(F.col("id").alias("sentence_id"), F.lit("x").alias("content")).coalesce(1)
     assert scoring.score(df, counting).select("result").distinct().count() == 1
 
 
-class FakeConnection:
-    def __init__(self, place, timeout):
-        self.place = place
+def test_a_failing_batch_is_asked_row_by_row(messages):
+    def factory():
+        def ask(requests):
+            if any(r["sentence"] == "boom" for r in requests):
+                raise RuntimeError("no")
+            return [(200, f"{r['sentence']} {len(requests)}") for r in requests]
 
-    def request(self, method, path, body, headers):
-        self.sent = (method, path, json.loads(body), headers["Content-Type"])
-        if self.sent[2]["sentence"] == "drop":
-            raise ConnectionError("closed")
+        return ask
 
-    def getresponse(self):
-        connection = self
+    df = messages(sentence(1, "a"), sentence(2, "boom"), sentence(3, "b")).coalesce(1)
+    rows = scoring.score(scoring.parse_sentences(df), factory).orderBy("pos").collect()
+    assert [r.output for r in rows] == ["a 1", "Request failed: no", "b 1"]
+    whole = scoring.score(scoring.parse_sentences(df.filter("pos <> 1")), factory).orderBy("pos").collect()
+    assert [r.output for r in whole] == ["a 2", "b 2"]
 
-        class Response:
-            status = 200
 
-            def read(self):
-                return json.dumps([connection.place, *connection.sent]).encode()
-
-        return Response()
-
-    def close(self):
-        self.sent = None
-
-
-def test_http_scorer_posts_json():
-    ask = scoring.http_scorer("http://model:8008/predict", connect=FakeConnection)()
-    status, body = ask({"sentence": "é", "sentence_id": "1"})
-    assert status == 200
-    assert json.loads(body) == [
-        "model:8008", "POST", "/predict", {"sentence": "é", "sentence_id": "1"}, "application/json; charset=UTF-8",
-    ]
-    try:
-        ask({"sentence": "drop", "sentence_id": "2"})
-        raise AssertionError
-    except ConnectionError:
-        pass
-    assert ask({"sentence": "again", "sentence_id": "3"})[0] == 200
+def test_spellings_of_sentence_ids(messages):
+    df = messages('{"sentenceId":"12","content":"x"}', '{"sentenceId":12.0,"content":"x"}', '{"sentenceId":"a","content":"x"}')
+    rows = scoring.parse_sentences(df).orderBy("pos").collect()
+    assert [(r.sentence_id, r.parse_error) for r in rows] == [(12, None), (12, None), (None, "sentence id is null")]
 
 
 def test_tag_counts_stream_equals_batch(spark, folder):

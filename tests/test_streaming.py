@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +39,7 @@ def publish(spark, path, topic, values, start=0):
 
 def run_jobs(spark, root, plans, tag=""):
     source = msg.read_messages(spark, "parquet", path=f"{root}/source", options={"maxFilesPerTrigger": "1"})
-    jobs.start_normaliser(source, "parquet", f"{root}/ckA{tag}", path=f"{root}/target{tag}").awaitTermination()
+    jobs.start_normaliser(source, "parquet", f"{root}/ckA{tag}", path=f"{root}/target{tag}", quarantine=f"{root}/bad{tag}").awaitTermination()
     target = msg.read_messages(spark, "parquet", path=f"{root}/target{tag}", options={"maxFilesPerTrigger": "2"})
     jobs.start_table_sync(target, plans, f"{root}/tables", f"{root}/ckB{tag}", run=f"run{tag}").awaitTermination()
 
@@ -77,7 +78,7 @@ def test_topic_list_limits_the_normaliser(spark, folder):
     publish(spark, f"{folder}/source", "db-o-a", [insert("A", 1, "x", 1)])
     publish(spark, f"{folder}/source", "db-o-b", [insert("B", 1, "x", 1)])
     source = msg.read_messages(spark, "parquet", path=f"{folder}/source")
-    jobs.start_normaliser(source, "parquet", f"{folder}/ck", path=f"{folder}/target", topics=["db-o-b"]).awaitTermination()
+    jobs.start_normaliser(source, "parquet", f"{folder}/ck", path=f"{folder}/target", topics=["db-o-b"], on_bad="fail").awaitTermination()
     out = msg.read_messages(spark, "parquet", path=f"{folder}/target", streaming=False)
     assert [r.topic for r in out.collect()] == ["target-db-o-b"]
 
@@ -91,6 +92,61 @@ def test_rows_without_a_key_do_not_reach_the_table(spark, folder):
     target = msg.read_messages(spark, "parquet", path=f"{folder}/target")
     jobs.start_table_sync(target, [a], f"{folder}/tables", f"{folder}/ckB", run="r").awaitTermination()
     assert current(spark, folder, a) == [(1, "x")]
+    kept = spark.read.parquet(f"{folder}/tables/rejected").collect()
+    assert [(r.key, r.image) for r in kept] == [(None, '{"C1":1}')]
+
+
+def test_bad_messages_are_stored_by_the_normaliser(spark, folder):
+    publish(spark, f"{folder}/source", "t", ["broken", insert("A", 1, "x", 1), ""])
+    source = msg.read_messages(spark, "parquet", path=f"{folder}/source")
+    with pytest.raises(ValueError, match="folder"):
+        jobs.start_normaliser(source, "parquet", f"{folder}/ck0", path=f"{folder}/target")
+    jobs.start_normaliser(source, "parquet", f"{folder}/ck", path=f"{folder}/target", quarantine=f"{folder}/bad").awaitTermination()
+    bad = spark.read.parquet(f"{folder}/bad").collect()
+    assert sorted((r.value, r.reason) for r in bad) == [("", "empty"), ("broken", "bad_json")]
+    assert msg.read_messages(spark, "parquet", path=f"{folder}/target", streaming=False).count() == 1
+
+
+def test_unread_target_messages_are_kept(spark, folder):
+    a = plan("A")
+    publish(spark, f"{folder}/target", a.target_topic, ["nonsense"])
+    target = msg.read_messages(spark, "parquet", path=f"{folder}/target")
+    jobs.start_table_sync(target, [a], f"{folder}/tables", f"{folder}/ck", run="r", on_bad="keep").awaitTermination()
+    assert [r.image for r in spark.read.parquet(f"{folder}/tables/rejected").collect()] == ["nonsense"]
+
+
+def again(spark, folder, fmt):
+    """Insert, delete, insert of the same rows, through both jobs."""
+    a = plan("A")
+    delete = '{"scn":%d,"payload":{"op":"d","schema":{"owner":"O","table":"A"},"before":%s}}'
+    values = [insert("A", k, "x", 1) for k in range(40)]
+    values += [delete % (2, image(k, "x")) for k in range(40)] + [insert("A", k, "x", 3) for k in range(20)]
+    publish(spark, f"{folder}/source", a.source_topic, values)
+    source = msg.read_messages(spark, "parquet", path=f"{folder}/source")
+    jobs.start_normaliser(source, fmt, f"{folder}/ckA", path=f"{folder}/target", quarantine=f"{folder}/bad").awaitTermination()
+    target = msg.read_messages(spark, fmt, path=f"{folder}/target")
+    jobs.start_table_sync(target, [a], f"{folder}/tables", f"{folder}/ckB", run="r").awaitTermination()
+    return current(spark, folder, a)
+
+
+def test_lines_carry_the_order(spark, folder):
+    assert again(spark, folder, "lines") == [(k, "x") for k in range(20)]
+
+
+def test_a_source_without_order_is_refused(spark, folder):
+    with pytest.raises(Exception, match="does not keep the order"):
+        again(spark, folder, "text")
+
+
+def test_topics_limit_every_source(spark, folder):
+    rows = [(t, "k", "v\\t", 1, 2, 0) for t in ("a", "b")]
+    df = spark.createDataFrame(rows, "topic string, key string, value string, scn bigint, pos bigint, seq int")
+    for fmt in ("parquet", "lines", "text"):
+        msg.write_messages(df, fmt, path=f"{folder}/{fmt}")
+        got = msg.read_messages(spark, fmt, path=f"{folder}/{fmt}", streaming=False, topics=["a"]).collect()
+        assert [r.topic for r in got] == ["a"]
+        if fmt != "text":
+            assert tuple(got[0]) == rows[0]
 
 
 def test_quarantine_and_relay(spark, folder):
@@ -150,5 +206,5 @@ def test_full_load_of_a_table(spark):
 
 
 def test_rows_can_be_printed(spark, capsys):
-    msg.print_rows(spark.createDataFrame([("a" * 40,)], "v string"))
-    assert "a" * 40 in capsys.readouterr().out
+    msg.print_rows(spark.range(50).select(F.concat(F.lit("a" * 40), "id").alias("v")))
+    assert capsys.readouterr().out.split() == ["v", *("a" * 40 + str(i) for i in range(50))]

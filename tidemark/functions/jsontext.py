@@ -34,6 +34,12 @@ def has_others(entries: str, allowed: Sequence[str]) -> str:
     return f"size(array_except(map_keys({entries}), array({known}))) > 0"
 
 
+def whole_number(text: str, spark_type: str) -> str:
+    """A number's text as a whole number: 5, "5" and 5.7 are all numbers here, the last one cut to 5."""
+    cut = f"try_cast(try_cast({text} as decimal(38,18)) as {spark_type})"
+    return f"coalesce(try_cast({text} as {spark_type}), {cut})"
+
+
 def quoted(text: str) -> str:
     """``text`` as a JSON string literal, ``null`` for null."""
     return f"trim(BOTH '[]' FROM to_json(array({text}), map('ignoreNullFields', 'false')))"

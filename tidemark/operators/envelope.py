@@ -14,12 +14,6 @@ UNREADABLE = ("empty", "bad_json", "unknown_key", "bad_number")
 
 FIELDS = ("scn", "tms", "xid", "op", "schema", "row", "rid", "before", "after", "sql")
 
-_SHAPE = (
-    "payload struct<schema:struct<owner:string,table:string>,"
-    "before:map<string,string>,after:map<string,string>>, _bad string"
-)
-
-
 def parse_changes(
     messages: DataFrame, *, on_bad: str = "quarantine", strict_ops: bool = False
 ) -> DataFrame:
@@ -65,24 +59,14 @@ def _passed(messages: DataFrame) -> list[str]:
     return [c for c in messages.columns if c not in ("key", "value", "scn", "seq")]
 
 
-def _whole_number(text: str, spark_type: str) -> str:
-    # 5, "5" and 5.7 are all numbers here, the last one cut to 5.
-    cut = f"try_cast(try_cast({text} as decimal(38,18)) as {spark_type})"
-    return f"coalesce(try_cast({text} as {spark_type}), {cut})"
-
-
 def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
     """All fields as columns, with ``reason``; every level of the text is parsed once."""
     get = jsontext.last_value
     kept = [*_passed(messages), "value"]
-    # A string that holds an object reads like the object itself. Such text, recognisable by a
-    # quote before the brace, is checked once more against the typed shape.
-    options = jsontext.STRICT_SQL[:-1] + ", 'columnNameOfCorruptRecord', '_bad')"
-    typed = f"if(contains(value, '\"{{'), from_json(value, '{_SHAPE}', {options}), null) as _typed"
     return (
         messages.selectExpr(*kept, f"{jsontext.as_map('value')} as _top")
         .selectExpr("*", f"{get('_top', 'payload')} as _payload_text")
-        .selectExpr("*", f"{jsontext.as_map('_payload_text')} as _payload", typed)
+        .selectExpr("*", f"{jsontext.as_map('_payload_text')} as _payload")
         .selectExpr("*", f"{get('_payload', 'schema')} as _address_text")
         .selectExpr("*", f"{jsontext.as_map('_address_text')} as _address")
         .selectExpr(
@@ -102,8 +86,8 @@ def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
         )
         .selectExpr(
             "*",
-            f"{_whole_number('_scn', 'bigint')} as _scn_number",
-            f"{_whole_number('_row', 'int')} as _row_number",
+            f"{jsontext.whole_number('_scn', 'bigint')} as _scn_number",
+            f"{jsontext.whole_number('_row', 'int')} as _row_number",
         )
         .selectExpr(
             *kept,
@@ -123,14 +107,20 @@ def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
 
 
 def _reason(strict_ops: bool) -> str:
-    def not_object(text: str, part: str) -> str:
-        typed = f"(_typed is not null and _typed.payload{part} is null)"
-        return f"({text} is not null and (not startswith({text}, '{{') or {typed}))"
-
-    def nested(text: str) -> str:
-        # An object or list where text belongs; a text that merely starts like one follows a quote.
+    def is_string(parent: str, key: str, opening: str) -> str:
+        # A string that holds an object reads like the object itself. The kind is asked of a parse, but
+        # only where the message has a quote before such a bracket at all.
+        kinds = jsontext.as_map(parent, "variant")
+        kind = f"coalesce(schema_of_variant({jsontext.last_value(kinds, key)}) = 'STRING', false)"
+        return f"if(contains(value, concat('\"', {opening})), {kind}, false)"
+
+    def not_object(text: str, parent: str, key: str) -> str:
+        return f"({text} is not null and (not startswith({text}, '{{') or {is_string(parent, key, chr(39) + '{' + chr(39))}))"
+
+    def nested(text: str, parent: str, key: str) -> str:
+        # An object or list where text belongs.
         opens = f"(startswith({text}, '{{') or startswith({text}, '['))"
-        return f"coalesce({opens} and not contains(value, concat('\"', {text})), false)"
+        return f"coalesce({opens} and not {is_string(parent, key, f'left({text}, 1)')}, false)"
 
     def not_number(text: str, number: str) -> str:
         return f"(coalesce({text}, '') <> '' and {number} is null)"
@@ -138,10 +128,12 @@ def _reason(strict_ops: bool) -> str:
     shape = [
         "_top is null",
         "(_payload_text is not null and _payload is null)",
-        not_object("_payload_text", ""),
+        not_object("_payload_text", "value", "payload"),
         "(_address_text is not null and _address is null)",
-        not_object("_address_text", ".schema"),
-        *[nested(c) for c in ("tms", "xid", "_outer_row", "op", "rid", "_owner", "_table")],
+        not_object("_address_text", "_payload_text", "schema"),
+        *[nested(c, "value", k) for c, k in (("tms", "tms"), ("xid", "xid"), ("_outer_row", "row"))],
+        *[nested(c, "_payload_text", c) for c in ("op", "rid", "sql")],
+        *[nested(c, "_address_text", k) for c, k in (("_owner", "owner"), ("_table", "table"))],
     ]
     others = [
         jsontext.has_others("_top", M.ENVELOPE_KEYS),
@@ -163,7 +155,7 @@ def _reason(strict_ops: bool) -> str:
       WHEN _payload_text is null THEN 'missing_payload'
       WHEN op is null THEN 'missing_op'
       WHEN {needed("before is null", "after is null")} THEN 'missing_image'
-      WHEN {needed(not_object("before", ".before"), not_object("after", ".after"))} THEN 'image_not_object'
+      WHEN {needed(not_object("before", "_payload_text", "before"), not_object("after", "_payload_text", "after"))} THEN 'image_not_object'
       WHEN {needed(images.has_inner_repeats("before"), images.has_inner_repeats("after"))}
         THEN 'repeated_inner_key'
       {f"WHEN {unknown_op} THEN 'unknown_op'" if strict_ops else ""}

@@ -34,7 +34,7 @@ def allowed(df: DataFrame, name: str, names: Sequence[str] | DataFrame | None) -
     if names is None:
         return df
     if isinstance(names, DataFrame):
-        listed = names.select(F.lower(names.columns[0]).alias("_listed")).distinct()
+        listed = names.select(F.lower(names.columns[0]).alias("_listed"))
         return df.join(listed, F.lower(df[name]) == listed["_listed"], "left_semi")
     if not names:
         return df
@@ -44,7 +44,10 @@ def allowed(df: DataFrame, name: str, names: Sequence[str] | DataFrame | None) -
 def allowed_topics(
     df: DataFrame, topic: str, database: str, owner_tables: dict[str, Sequence[str]] | None
 ) -> DataFrame:
-    """Messages of the listed topics; every owner has its own list, none at all allows all."""
+    """Messages of the listed topics. Every owner has its own list; an empty one allows all of that owner.
+
+    No owner with a list allows all.
+    """
     if not owner_tables or not any(owner_tables.values()):
         return df
     topics = {
@@ -52,4 +55,7 @@ def allowed_topics(
         for owner, tables in owner_tables.items()
         for table in tables
     }
-    return df.filter(F.col(topic).isin(*sorted(topics)))
+    allowed_here = F.col(topic).isin(*sorted(topics))
+    for owner in sorted(o for o, tables in owner_tables.items() if not tables):
+        allowed_here = allowed_here | F.startswith(F.col(topic), F.lit(f"{database}-{owner}-".lower()))
+    return df.filter(allowed_here)

@@ -84,9 +84,10 @@ def decode_changelog(messages: DataFrame, *, on_bad: str = "fail") -> DataFrame:
     """Read outgoing messages back as row changes: ``+I``, ``-U``, ``+U`` or ``-D`` with an image.
 
     ``c`` and ``r`` insert, ``d`` deletes, ``u`` gives both sides. A message with another operation
-    or without the image it needs stops the job, or is left out with ``on_bad="skip"``.
+    or without the image it needs stops the job; with ``on_bad="skip"`` it is left out, with
+    ``on_bad="keep"`` it is a row without kind whose image is the whole text.
     """
-    if on_bad not in ("fail", "skip"):
+    if on_bad not in ("fail", "skip", "keep"):
         raise ValueError(f"unknown on_bad: {on_bad}")
     payload = F.from_json("value", _PAYLOAD, jsontext.STRICT)
     kept = [c for c in messages.columns if c not in ("value", "seq")]
@@ -112,6 +113,9 @@ def decode_changelog(messages: DataFrame, *, on_bad: str = "fail") -> DataFrame:
     parsed = messages.withColumn("_p", payload)
     if on_bad == "skip":
         parsed = parsed.filter(F.coalesce(complete, F.lit(False)))
+    elif on_bad == "keep":
+        unread = F.array(F.struct(F.lit(None).cast("string").alias("kind"), seq.cast("int").alias("seq"), F.col("value").alias("image")))
+        rows = F.when(F.coalesce(complete, F.lit(False)), rows).otherwise(unread)
     else:
         stop = F.raise_error(F.concat(F.lit("not a row change: "), F.coalesce("value", F.lit("null"))))
         rows = F.when(F.coalesce(complete, F.lit(False)), rows).otherwise(stop)

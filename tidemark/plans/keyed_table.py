@@ -1,8 +1,9 @@
 """A keyed table on plain Parquet: a log of typed changes, read as the last change per key.
 
-Every read takes the last change of each key, so a change that is there twice does no harm. That
-one property makes replays, overlapping compactions and lost executors safe: a step is written
-again or not, the rows that exist are the same.
+Every read takes the last change of each key, so a change that is there twice does no harm: a batch that
+is written again replaces itself, a replayed one changes nothing. Nothing is ever deleted. A table that
+has grown too long is rewritten into a new folder, which the caller then opens instead; readers of the
+old folder, batch or stream, are not disturbed.
 
 Where a table format with row-level changes is installed, use :func:`merge_into` instead.
 """
@@ -11,8 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ _CHANGE_FIELDS = T.StructType(
         T.StructField("scn", T.LongType()),
         T.StructField("pos", T.LongType()),
         T.StructField("seq", T.IntegerType()),
+        T.StructField("bad_cells", T.IntegerType()),
     ]
 )
 _PLACE = ("bucket", "run", "batch")
@@ -41,14 +43,18 @@ def bucket_of(key: Column, buckets: int) -> Column:
 class KeyedTable:
     """A keyed table in a folder.
 
-    ``log/`` has what the batches wrote and ``base/`` what compaction wrote, both as
-    ``bucket=/run=/batch=``. ``buckets`` should divide ``spark.sql.shuffle.partitions``: then a
-    partition shuffled by key belongs to one bucket, and a batch writes one file per partition.
+    ``log/`` has what the batches wrote, as ``bucket=/run=/batch=``. ``buckets`` says how a batch is
+    laid out and should divide ``spark.sql.shuffle.partitions``: then a partition shuffled by key belongs
+    to one bucket, and a batch writes one file per partition. Reads do not depend on it.
+
+    ``content_ids`` promises that every row id is a hash of the row. Leave it out where images may bring
+    an id of their own.
     """
 
     path: str
     schema: T.StructType
     buckets: int = 8
+    content_ids: bool = False
 
     @property
     def stored(self) -> T.StructType:
@@ -64,98 +70,94 @@ class KeyedTable:
         """Add a batch of typed changes; the same ``run`` and ``batch`` again replaces it.
 
         Only the last change per key of the batch is kept, cut down before the shuffle. A delete
-        needs no more than its key. Rows without a key must be gone before.
+        needs no more than its key. ``bad_cells``, if there, is kept with the row. Rows without a key
+        must be gone before.
         """
-        self._write(keyed.latest_changes(changes), "log", run, batch)
-
-    def _parts(self, spark: SparkSession) -> list[DataFrame]:
-        return [
-            spark.read.schema(self.stored).parquet(f"{self.path}/{part}")
-            for part in ("log", "base")
-            if _exists(spark, f"{self.path}/{part}")
+        latest = keyed.latest_changes(_with_bad_cells(changes))
+        tombstone = F.col("op") == M.DELETE
+        columns = [
+            F.when(~tombstone, F.col(f.name)).alias(f.name) if f.name != ROW_ID else F.col(ROW_ID)
+            for f in self.schema.fields
         ]
+        placed = latest.select(
+            *columns,
+            *_CHANGE_FIELDS.names,
+            bucket_of(F.col(ROW_ID), self.buckets).alias("bucket"),
+            F.lit(run).alias("run"),
+            F.lit(batch).cast("bigint").alias("batch"),
+        )
+        writer = _ordered(placed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*_PLACE).parquet(f"{self.path}/log")
 
     def changes(self, spark: SparkSession) -> DataFrame:
         """All change rows, deletes included."""
-        return _union(self._parts(spark)) or spark.createDataFrame([], self.stored)
+        try:
+            return spark.read.schema(self.stored).parquet(f"{self.path}/log")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.stored)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The rows that exist now."""
         return keyed.current_rows(self.changes(spark)).select(*self.schema.names)
 
     def where(self, spark: SparkSession, predicate: Column) -> DataFrame:
-        """The rows that exist now and meet a predicate, which reaches the file scan.
+        """The rows that exist now and meet a predicate.
 
-        The id is a hash of the row, so all versions of an id agree on the predicate: it can run
-        before the last change is chosen, as long as the deletes stay.
+        With ``content_ids`` all versions of an id agree on the predicate, so it reaches the file scan:
+        it runs before the last change is chosen, as long as the deletes stay. Otherwise an id may have
+        met it in an older version only, and it runs after.
         """
-        versions = self.changes(spark).filter(predicate | (F.col("op") == M.DELETE))
+        versions = self.changes(spark)
+        if self.content_ids:
+            versions = versions.filter(predicate | (F.col("op") == M.DELETE))
         return keyed.current_rows(versions).filter(predicate).select(*self.schema.names)
 
     def by_key(self, spark: SparkSession, key: str) -> DataFrame:
-        """The row with a given id; reads one bucket."""
-        rows = self.changes(spark).filter(
-            (F.col("bucket") == bucket_of(F.lit(key), self.buckets)) & (F.col(ROW_ID) == key)
-        )
+        """The row with a given id. Files are sorted by id, so their statistics skip all but a few row groups."""
+        rows = self.changes(spark).filter(F.col(ROW_ID) == key)
         return keyed.current_rows(rows).select(*self.schema.names)
 
     def files_with(self, spark: SparkSession, predicate: Column) -> DataFrame:
         """Files that hold rows meeting a predicate."""
-        path = F.col("_metadata.file_path").alias("file_path")
-        found = [part.filter(predicate).select(path) for part in self._parts(spark)]
-        return (_union(found) or spark.createDataFrame([], "file_path string")).distinct()
+        found = self.changes(spark).filter(predicate)
+        return found.select(F.col("_metadata.file_path").alias("file_path")).distinct()
 
     def stream(self, spark: SparkSession, **options: str) -> DataFrame:
-        """New change rows as batches land. Deletes come as rows with ``op`` d and only the key."""
+        """New change rows as batches land. Deletes come as rows with ``op`` d and only the key.
+
+        A reader that starts on a rewritten table gets the last change of every key first.
+        """
         reader = spark.readStream.schema(self.stored).options(**options)
         return reader.parquet(f"{self.path}/log")
 
-    def compact(
-        self,
-        spark: SparkSession,
-        *,
-        version: int,
-        buckets: Sequence[int] | None = None,
-        max_tasks: int | None = None,
-        expire: bool = True,
-    ) -> int:
-        """Rewrite the chosen buckets, all by default, with one change per key.
-
-        The new files are complete before the old ones go, so a crash in between leaves both,
-        which reads the same. Deletes are kept: a late batch may hold an older insert of the key.
-        ``expire=False`` keeps the old files for readers still at work. Returns how many folders
-        were replaced. ``version`` must grow from one compaction to the next.
+    def rewrite(self, spark: SparkSession, target: str, *, buckets: Sequence[int] | None = None) -> KeyedTable:
+        """The table with one change per key, in a new folder that must not exist; nothing is deleted.
+
+        With ``buckets`` only those are cut to one change per key, the others are copied as they are.
+        Deletes are kept, since a late batch may hold an older insert of the key. The folder is complete
+        when Spark has committed it; a run that broke off left none or an uncommitted one, and its target
+        is not used again.
         """
-        chosen = F.lit(True) if buckets is None else F.col("bucket").isin(*buckets)
-        # A listing, no rows are read. Folders number batches times buckets.
-        listed = {f.rsplit("/", 1)[0] for part in self._parts(spark) for f in part.inputFiles()}
-        marks = None if buckets is None else [f"/bucket={b}/" for b in buckets]
-        replaced = [f for f in listed if marks is None or any(m in f for m in marks)]
-        latest = keyed.latest_changes(self.changes(spark).filter(chosen))
-        if max_tasks is not None:
-            latest = latest.coalesce(max_tasks)
-        self._write(latest, "base", "compact", version)
-        if expire:
-            _delete(spark, replaced)
-        return len(replaced)
-
-    def _write(self, latest: DataFrame, part: str, run: str, batch: int) -> None:
-        tombstone = F.col("op") == M.DELETE
-        columns = [
-            F.when(~tombstone, F.col(f.name)).alias(f.name) if f.name != ROW_ID else F.col(ROW_ID)
-            for f in self.schema.fields
-        ]
-        placed = latest.select(
-            *columns,
-            *_CHANGE_FIELDS.names,
-            bucket_of(F.col(ROW_ID), self.buckets).alias("bucket"),
-            F.lit(run).alias("run"),
-            F.lit(batch).cast("bigint").alias("batch"),
-        )
-        # Sorted by key inside a file, so key statistics of row groups are narrow.
-        ordered = placed.sortWithinPartitions(*_PLACE, ROW_ID)
-        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*_PLACE).parquet(f"{self.path}/{part}")
+        rows = self.changes(spark)
+        latest, others = rows, None
+        if buckets is not None:
+            latest, others = rows.filter(F.col("bucket").isin(*buckets)), rows.filter(~F.col("bucket").isin(*buckets))
+        latest = keyed.latest_changes(latest)
+        latest = latest if others is None else latest.unionByName(others)
+        placed = latest.withColumns({"run": F.lit("rewrite"), "batch": F.lit(0).cast("bigint")})
+        _ordered(placed).write.mode("errorifexists").partitionBy(*_PLACE).parquet(f"{target}/log")
+        return KeyedTable(target, self.schema, self.buckets, self.content_ids)
+
+
+def _with_bad_cells(changes: DataFrame) -> DataFrame:
+    return changes if "bad_cells" in changes.columns else changes.withColumn("bad_cells", F.lit(0))
+
+
+def _ordered(placed: DataFrame) -> DataFrame:
+    # Sorted by key inside a file, so key statistics of row groups are narrow.
+    return placed.sortWithinPartitions(*_PLACE, ROW_ID)
 
 
 def write_layout(
@@ -189,24 +191,3 @@ def merge_into(changes: DataFrame, table: str, columns: Sequence[str]) -> None:
         .insert(values)
         .merge()
     )
-
-
-def _union(parts: Sequence[DataFrame]) -> DataFrame | None:
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _file_system(spark, path)
-    return fs.exists(place)
-
-
-def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
-    for folder in folders:
-        fs, place = _file_system(spark, folder)
-        fs.delete(place, True)

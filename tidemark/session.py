@@ -18,6 +18,9 @@ def local_session(cores: str = "*", *, memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", shuffle)
         .config("spark.sql.session.timeZone", "UTC")
+        # Small inputs are split among the cores by the reader.
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "512k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

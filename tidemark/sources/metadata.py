@@ -21,8 +21,27 @@ COLUMN_METADATA = T.StructType(
     ]
 )
 
-# The dictionary view that lists tables.
+# The dictionary views that list tables and columns.
 TABLES_VIEW = "DBA_TABLES"
+COLUMNS_VIEW = "DBA_TAB_COLUMNS"
+
+# Pattern of a column type in that view, and the class its driver reports.
+CLASS_OF_TYPE = (
+    ("^TIMESTAMP.* WITH LOCAL TIME ZONE$", "oracle.sql.TIMESTAMPLTZ"),
+    ("^TIMESTAMP.* WITH TIME ZONE$", "oracle.sql.TIMESTAMPTZ"),
+    ("^TIMESTAMP", "oracle.sql.TIMESTAMP"),
+    ("^DATE$", "java.sql.Timestamp"),
+    ("^(NUMBER|FLOAT)$", "java.math.BigDecimal"),
+    ("^BINARY_FLOAT$", "java.lang.Float"),
+    ("^BINARY_DOUBLE$", "java.lang.Double"),
+    ("^NCLOB$", "oracle.jdbc.OracleNClob"),
+    ("^CLOB$", "oracle.jdbc.OracleClob"),
+    ("^BLOB$", "oracle.jdbc.OracleBlob"),
+    ("^INTERVAL YEAR", "oracle.sql.INTERVALYM"),
+    ("^INTERVAL DAY", "oracle.sql.INTERVALDS"),
+    ("^(RAW|LONG RAW)$", "[B"),
+)
+OTHER_CLASS = "java.lang.String"
 
 
 def jdbc_tables(spark: SparkSession, options: Mapping[str, str], owners: Sequence[str]) -> DataFrame:
@@ -32,10 +51,32 @@ def jdbc_tables(spark: SparkSession, options: Mapping[str, str], owners: Sequenc
     return list_tables(renamed, owners)
 
 
-def jdbc_schema(spark: SparkSession, options: Mapping[str, str], owner: str, table: str) -> T.StructType:
-    """Columns of one table as Spark sees them; reads no rows."""
-    reader = spark.read.format("jdbc").options(**options)
-    return reader.option("dbtable", f'"{owner}"."{table}"').load().schema
+def jdbc_columns(spark: SparkSession, options: Mapping[str, str], owners: Sequence[str]) -> DataFrame:
+    """Column metadata of the given owners' tables from the database. The owner filter runs there."""
+    view = spark.read.format("jdbc").options(**options).option("dbtable", COLUMNS_VIEW).load()
+    return column_metadata(view.filter(F.col("OWNER").isin(*owners)))
+
+
+def column_metadata(view: DataFrame) -> DataFrame:
+    """The dictionary's column view as ``COLUMN_METADATA``, from which plans are made.
+
+    The class is the one the database's driver reports for a column type. A number without precision is
+    reported with precision 0 and scale -127, a float with its binary precision and that scale.
+    """
+    kind = F.upper(F.trim("DATA_TYPE"))
+    name = F.lit(OTHER_CLASS)
+    for pattern, class_name in reversed(CLASS_OF_TYPE):
+        name = F.when(kind.rlike(pattern), class_name).otherwise(name)
+    unscaled = F.when(kind.isin("NUMBER", "FLOAT"), F.lit(-127)).otherwise(F.lit(0))
+    return view.select(
+        F.col("OWNER").alias("owner"),
+        F.col("TABLE_NAME").alias("table_name"),
+        F.col("COLUMN_ID").cast("int").alias("pos"),
+        F.col("COLUMN_NAME").alias("column_name"),
+        name.alias("class_name"),
+        F.coalesce(F.col("DATA_PRECISION").cast("int"), F.lit(0)).alias("precision"),
+        F.coalesce(F.col("DATA_SCALE").cast("int"), unscaled).alias("scale"),
+    )
 
 
 def list_tables(dictionary: DataFrame, owners: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -47,22 +47,48 @@ def start_normaliser(
     checkpoint: str,
     *,
     path: str | None = None,
+    quarantine: str | None = None,
     options: Mapping[str, str] | None = None,
     trigger: Trigger = AVAILABLE_NOW,
     topics: Sequence[str] = (),
-    **how,
+    on_bad: str = "quarantine",
+    split_order: str = "delete_first",
+    strict_ops: bool = False,
 ) -> StreamingQuery:
-    """Normalise a stream of many topics in one query. An empty topic list means all."""
+    """Normalise a stream of many topics in one query. An empty topic list means all.
+
+    Messages that cannot be used go to the ``quarantine`` folder, a folder per batch, with the cause:
+    both outputs come from one reading of the batch. Without such a folder, choose another ``on_bad``.
+    A batch that is run again writes its messages again, at least once.
+    """
     chosen = source.filter(F.col("topic").isin(*topics)) if topics else source
-    return msg.stream_messages(
-        normalise(chosen, **how), fmt, checkpoint, path=path, options=options, trigger=trigger
-    )
+    if on_bad != "quarantine":
+        rows = normalise(chosen, on_bad=on_bad, split_order=split_order, strict_ops=strict_ops)
+        return msg.stream_messages(rows, fmt, checkpoint, path=path, options=options, trigger=trigger)
+    if quarantine is None:
+        raise ValueError("name a folder for messages that cannot be used, or choose on_bad")
+    flagged = envelope.parse_changes(chosen, on_bad="flag", strict_ops=strict_ops)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = envelope.drop_ddl(held.filter("reason IS NULL").drop("reason", "value"))
+            split_rows = split.split_updates(identity.add_row_ids(good), order=split_order)
+            topic = F.concat_ws("-", F.lit(M.TARGET_PREFIX), "topic")
+            msg.write_messages(split.to_messages(split_rows, topic), fmt, path=path, options=options)
+            bad = held.filter("reason IS NOT NULL").select("topic", "pos", "value", "reason")
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        finally:
+            held.unpersist()
+
+    writer = flagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def start_quarantine(
     source: DataFrame, path: str, checkpoint: str, *, trigger: Trigger = AVAILABLE_NOW
 ) -> StreamingQuery:
-    """Keep the messages the normaliser leaves out, with the cause, as Parquet."""
+    """Keep only the messages that cannot be used, with the cause, as Parquet."""
     bad = envelope.quarantined(source)
     writer = bad.writeStream.format("parquet").option("path", path)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -83,18 +109,24 @@ def start_relay(
     return msg.stream_messages(copied, fmt, checkpoint, path=path, options=options, trigger=trigger)
 
 
+def row_key() -> Column:
+    """The row id of a decoded change: the message key, and only without one the image is searched for it."""
+    return F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
+
+
 def table_changes(decoded: DataFrame, schema: T.StructType) -> DataFrame:
     """Decoded row changes of one table as typed changes, without those that have no key.
 
-    The message key is the row id; only a message without one is searched for it.
+    ``bad_cells`` counts the cells of a row that did not fit. A change without its place in the order stops
+    the job: the last of two changes could not be told.
     """
-    row_id = F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
     ops = F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
-    keyed_rows = keyed.drop_null_keys(decoded.withColumns({ROW_ID: row_id, "op": ops}))
+    keyed_rows = keyed.drop_null_keys(decoded.withColumns({ROW_ID: row_key(), "op": ops}))
     # A delete needs no more than its key, so only inserts have an image to parse.
     keyed_rows = keyed_rows.withColumn("image", F.when(F.col("op") == M.INSERT, F.col("image")))
-    ordered = keyed_rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in M.ORDER})
-    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
+    lost = {c: F.raise_error(F.lit(f"a change without {c}: this source does not keep the order")) for c in M.ORDER}
+    ordered = keyed_rows.withColumns({c: F.coalesce(F.col(c), lost[c].cast(keyed_rows.schema[c].dataType)) for c in M.ORDER})
+    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER))
 
 
 def start_table_sync(
@@ -111,25 +143,30 @@ def start_table_sync(
 ) -> StreamingQuery:
     """Keep the keyed tables of all plans in step with one stream of target messages.
 
-    A batch is decoded once, clustered by topic and held; each table then reads its part, several
-    tables at a time. ``run`` names this checkpoint's batches: keep it for as long as the
-    checkpoint lives, take a new one with a new checkpoint.
+    A batch is decoded once and held in the partitions it came in, so a topic with most of the batch is
+    as spread as the batch; each table then reads its part, several tables at a time. ``run`` names this
+    checkpoint's batches: keep it for as long as the checkpoint lives, take a new one with a new checkpoint.
+
+    Changes without a row id, and with ``on_bad="keep"`` messages that are no row change, are kept as they
+    came in ``rejected/run=/batch=`` of the warehouse. Cells that did not fit are counted in the tables.
     """
     topics = [p.target_topic for p in plans]
     mine = source.filter(F.col("topic").isin(*topics))
     decoded = split.decode_changelog(mine, on_bad=on_bad)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Rebalancing splits a topic that holds most of the batch.
-        held = batch.hint("rebalance", "topic").persist(StorageLevel.MEMORY_AND_DISK)
+        held = batch.withColumn("_usable", F.col("kind").isNotNull() & row_key().isNotNull())
+        held = held.persist(StorageLevel.MEMORY_AND_DISK)
 
         def write(plan: TablePlan) -> None:
-            part = held.filter(F.col("topic") == plan.target_topic)
+            part = held.filter(F.col("_usable") & (F.col("topic") == plan.target_topic))
             table = KeyedTable(f"{warehouse}/{plan.keyed_table}", plan.schema, buckets)
             table.append(table_changes(part, plan.schema), run=run, batch=batch_id)
 
         try:
             present = {r.topic for r in held.select("topic").distinct().collect()}
+            rejected = held.filter("NOT _usable").select("topic", "key", "kind", "image", *M.ORDER)
+            rejected.write.mode("overwrite").parquet(f"{warehouse}/rejected/run={run}/batch={batch_id}")
             with ThreadPoolExecutor(writers) as pool:
                 list(pool.map(write, [p for p in plans if p.target_topic in present]))
         finally:

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import http.client
-import json
 from collections.abc import Callable, Iterator
-from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import model as M
 from tidemark.functions import jsontext
 
-# A scorer takes a request, ``{"sentence": …, "sentence_id": …}``, and answers (status, body). A
-# factory makes one per task, so that models load and connections open once.
-Scorer = Callable[[dict], tuple[int, str]]
+# A scorer takes a batch of requests, ``{"sentence": …, "sentence_id": …}`` each, and gives an answer
+# for each: (status, body), or an exception. A factory makes one per task, so that a model loads once.
+Answer = tuple[int, str] | Exception
+Scorer = Callable[[list[dict]], list[Answer]]
 ScorerFactory = Callable[[], Scorer]
 
 _RESULT = "result string, status int, error string"
@@ -24,17 +23,19 @@ _RESULT = "result string, status int, error string"
 
 def parse_sentences(messages: DataFrame) -> DataFrame:
     """Sentences out of the ``value`` column; ``parse_error`` says why one is not usable."""
-    parsed = messages.withColumn("_s", F.from_json("value", M.SENTENCE, jsontext.STRICT))
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in M.SENTENCE])
+    parsed = messages.withColumn("_s", F.from_json("value", as_text, jsontext.STRICT))
+    sentence_id = F.expr(jsontext.whole_number("_s.sentenceId", "bigint"))
     known = F.array(*[F.lit(f.name) for f in M.SENTENCE])
     keys = F.json_object_keys("value")
     error = (
         F.when(keys.isNull(), "not a sentence object")
         .when(F.size(F.array_except(keys, known)) > 0, "unknown field")
-        .when(F.col("_s.sentenceId").isNull(), "sentence id is null")
+        .when(sentence_id.isNull(), "sentence id is null")
     )
     return parsed.select(
         "*",
-        F.col("_s.sentenceId").alias("sentence_id"),
+        sentence_id.alias("sentence_id"),
         F.col("_s.content").alias("content"),
         error.alias("parse_error"),
     ).drop("_s")
@@ -53,23 +54,30 @@ def score(sentences: DataFrame, factory: ScorerFactory) -> DataFrame:
 
     No row is dropped and no failure stops the job: ``output`` is the body, ``Error: <status>`` for
     another status than 200, or ``Request failed: <cause>``. Rows that could not be read are not
-    sent. Only the request goes to Python, in Arrow batches; other columns stay behind.
+    sent. Requests go to the model by the Arrow batch; other columns stay behind.
     """
 
     @F.pandas_udf(_RESULT)
     def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = factory()
         for batch in batches:
-            yield pd.DataFrame(
-                [_ask(scorer, s, i, e) for s, i, e in zip(batch["sentence"], batch["sentence_id"], batch["problem"])],
-                columns=["result", "status", "error"],
-            ).astype({"status": "Int32"})
+            asked = batch[batch["asked"]]
+            requests = asked[["sentence", "sentence_id"]].astype(object).where(asked.notna(), None).to_dict("records")
+            rows = pd.DataFrame(
+                [_row(a) for a in _asked(scorer, requests)], columns=["result", "status", "error"], index=asked.index
+            )
+            yield rows.reindex(batch.index).astype({"status": "Int32"})
 
     problem = F.col("parse_error") if "parse_error" in sentences.columns else F.lit(None).cast("string")
-    asked = F.struct(request(F.col("sentence_id"), F.col("content")).alias("r"), problem.alias("problem"))
-    flat = sentences.withColumn("_q", asked).withColumn(
-        "_a", answers(F.struct("_q.r.sentence", "_q.r.sentence_id", "_q.problem"))
+    body = request(F.col("sentence_id"), F.col("content"))
+    # Of a row that could not be read, nothing but a mark goes to Python.
+    asked = F.struct(
+        F.when(problem.isNull(), body["sentence"]).alias("sentence"),
+        F.when(problem.isNull(), body["sentence_id"]).alias("sentence_id"),
+        problem.isNull().alias("asked"),
     )
+    flat = sentences.withColumn("_a", answers(asked))
+    flat = flat.withColumn("_a", F.col("_a").withField("error", F.coalesce(problem, F.col("_a.error"))))
     return flat.select(
         *sentences.columns,
         F.col("_a.result").alias("result"),
@@ -100,34 +108,33 @@ def tag_counts(scored: DataFrame, ts: str, tag: Column, *, width: str = "10 minu
     )
 
 
-def http_scorer(url: str, *, timeout: float = 30.0, connect=http.client.HTTPConnection) -> ScorerFactory:
-    """A scorer that posts each request as JSON over one kept-open connection per task."""
-    place = urlsplit(url)
+def one_by_one(ask: Callable[[dict], tuple[int, str]]) -> Scorer:
+    """A scorer from a model that takes one request at a time."""
 
-    def factory() -> Scorer:
-        connection = connect(place.netloc, timeout=timeout)
+    def answer(body: dict) -> Answer:
+        try:
+            return ask(body)
+        except Exception as e:  # a failure is an answer here
+            return e
 
-        def ask(body: dict) -> tuple[int, str]:
-            text = json.dumps(body, ensure_ascii=False).encode("utf-8")
-            headers = {"Content-Type": "application/json; charset=UTF-8"}
-            try:
-                connection.request("POST", place.path or "/", body=text, headers=headers)
-                response = connection.getresponse()
-                return response.status, response.read().decode("utf-8")
-            except Exception:
-                connection.close()  # the next request opens it again
-                raise
+    return lambda requests: [answer(body) for body in requests]
 
-        return ask
 
-    return factory
-
-
-def _ask(scorer: Scorer, sentence: str | None, sentence_id: str | None, problem: str | None):
-    if problem is not None:
-        return None, None, problem
+def _asked(scorer: Scorer, requests: list[dict]) -> list[Answer]:
+    """An answer per request. If the model fails on a batch, each request is asked alone."""
+    if not requests:
+        return []
     try:
-        status, body = scorer({"sentence": sentence, "sentence_id": sentence_id})
-    except Exception as e:  # a failure is an answer here
-        return None, None, str(e)
+        answers = scorer(requests)
+        if len(answers) != len(requests):
+            raise ValueError(f"{len(answers)} answers to {len(requests)} requests")
+        return list(answers)
+    except Exception as e:
+        return [e] if len(requests) == 1 else [a for r in requests for a in _asked(scorer, [r])]
+
+
+def _row(answer: Answer) -> tuple[str | None, int | None, str | None]:
+    if isinstance(answer, Exception):
+        return None, None, str(answer)
+    status, body = answer
     return (body if status == 200 else None), status, None

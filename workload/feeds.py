@@ -35,16 +35,15 @@ CLASSES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over all cores where its files make fewer scan tasks than that.
+    """A given table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    Message text costs far more to make and read than the columns it comes from. A table of many
-    files is not shuffled.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, df.columns[0])
-    return df
+
+# Column types as that database's dictionary spells them.
+VIEW_TYPES = (
+    "VARCHAR2", "NUMBER", "DATE", "TIMESTAMP(6)", "TIMESTAMP(6) WITH TIME ZONE", "BINARY_FLOAT", "BINARY_DOUBLE",
+    "CLOB", "BLOB", "NCLOB", "INTERVAL YEAR(2) TO MONTH", "INTERVAL DAY(2) TO SECOND(6)", "RAW", "FLOAT", "ROWID",
+)
 
 
 def _messages(df: DataFrame, *messages: Column) -> DataFrame:
@@ -115,6 +114,22 @@ def orders(spark: SparkSession, sf_dir: str, *, damaged: bool = False) -> DataFr
     return _messages(df, *parts)
 
 
+def orders_own_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of ORDERS whose images bring an id of their own, the order number; status F becomes X."""
+    df = table(spark, sf_dir, "orders").withColumn("auto_md5_id", F.col("o_orderkey").cast("string"))
+    day = {"o_orderdate": _day_text("o_orderdate")}
+    row, shipped = row_image(df, **day), row_image(df, **day, o_orderstatus=F.lit("X"))
+    scn = F.col("o_orderkey") * 10
+    return _messages(
+        df,
+        _at(scn, envelope("c", OWNER, "ORDERS", scn, after=row)),
+        F.when(
+            F.col("o_orderstatus") == "F",
+            _at(scn + 1, envelope("u", OWNER, "ORDERS", scn + 1, before=row, after=shipped)),
+        ),
+    )
+
+
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of CUSTOMER: all inserted, BUILDING moved to GARDEN, AUTOMOBILE deleted."""
     df = table(spark, sf_dir, "customer")
@@ -210,6 +225,24 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def columns_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same parts as the column view of a source database's dictionary."""
+    part = table(spark, sf_dir, "part")
+    number = F.col("p_partkey")
+    kinds = F.array(*[F.lit(k) for k in VIEW_TYPES])
+    kind = F.get(kinds, F.floor(F.col("p_size") * len(VIEW_TYPES) / 51).cast("int"))
+    sized = kind == "NUMBER"
+    return part.select(
+        F.concat(F.lit("OWN"), F.floor(number / 1600)).alias("OWNER"),
+        F.concat(F.lit("T_"), F.floor(number / 16)).alias("TABLE_NAME"),
+        (number - F.floor(number / 16) * 16 + 1).cast("decimal(10,0)").alias("COLUMN_ID"),
+        F.upper(F.concat_ws("_", F.replace("p_name", F.lit(" "), F.lit("_")), number)).alias("COLUMN_NAME"),
+        kind.alias("DATA_TYPE"),
+        F.when(sized & (F.col("p_size") > 5), F.col("p_size") - 5).cast("decimal(10,0)").alias("DATA_PRECISION"),
+        F.when(sized & (F.col("p_size") > 5), F.lit(2)).cast("decimal(10,0)").alias("DATA_SCALE"),
+    )
+
+
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as sentence messages; the German ones have no id."""
     docs = table(spark, sf_dir, "documents")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.functions.redact import RULES
-
 # Column name, SQL for its text in an image, and whether the image quotes it.
 _ORDERS = (
     ("O_ORDERKEY", "o_orderkey::varchar", False),
@@ -160,10 +158,22 @@ def _type(native: bool) -> str:
     WHEN '[B' THEN 'BINARY' ELSE 'STRING' END"""
 
 
+# The masking rules as the studied jobs apply them, in order.
+_MASKS = (
+    ('"password"[ ]*:[ ]*"[^"]+"', '"password": "LOG-REDACTED"', "gi"),
+    (r'password[:=][^ "\\]+', "password=LOG-REDACTED", "gi"),
+    (r'passwd[:=][^ "\\]+', "passwd=LOG-REDACTED", "gi"),
+    (r'pass[:=][^ "\\]+', "pass=LOG-REDACTED", "gi"),
+    (r'PASSWORD,[^"\\]+', "PASSWORD, LOG-REDACTED", "gi"),
+    (r'secret[:=][^ "\\]+', "secret=LOG-REDACTED", "gi"),
+    (r"\d{4}[^\w:]\d{4}[^\w:]\d{4}[^\w:]\d{4}", "XXXX-XXXX-XXXX-XXXX", "g"),
+    (r"\d{3}[^\w:]\d{2}[^\w:]\d{4}", "XXX-XX-XXXX", "g"),
+)
+
+
 def _redact(text: str) -> str:
-    for rule in RULES:
-        flags = "g" if rule.case_sensitive else "gi"
-        text = f"regexp_replace({text}, '{rule.search}', '{rule.replace}', '{flags}')"
+    for search, replacement, flags in _MASKS:
+        text = f"regexp_replace({text}, '{search}', '{replacement}', '{flags}')"
     return text
 
 
@@ -185,6 +195,18 @@ _VALUE = """'{"op":"' || sop || '","schema":{"owner":"DDS","table":"ORDERS"},"ro
     || coalesce('"' || srid || '"', 'null') || ',"before":' || coalesce(sbefore, 'null') || ',"after":'
     || coalesce(safter, 'null') || ',"sql":null}'"""
 
+_LINEITEM_STATE = f"""WITH li AS (
+  SELECT *, {_hash(_LINEITEM, linestatus="l_linestatus")} AS row_id,
+    {_hash(_LINEITEM, linestatus="'X'")} AS x_id FROM lineitem),
+sp AS (
+  SELECT *, 1 AS scn, 0 AS seq, 'c' AS op, row_id AS id, l_linestatus AS st FROM li
+  UNION ALL SELECT *, 2, 0, 'd', row_id, NULL FROM li WHERE l_returnflag = 'R'
+  UNION ALL SELECT *, 2, 1, 'c', x_id, 'X' FROM li WHERE l_returnflag = 'R'
+  UNION ALL SELECT *, 3, 0, 'd', row_id, NULL FROM li WHERE l_returnflag = 'A'),
+last AS (SELECT * FROM sp {_LATEST})
+SELECT id AS auto_md5_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+  l_tax, l_returnflag, st AS l_linestatus, l_shipdate::date::varchar AS l_shipdate FROM last WHERE op = 'c'"""
+
 ORACLE: dict[str, str] = {
     "envelope_parse": f"""WITH {_O}, {_CH}
 SELECT scn, d AS tms, '1.2.3' AS xid, op, 'DDS' AS owner, 'ORDERS' AS table_name, 1 AS row_no, r AS rid,
@@ -224,17 +246,7 @@ SELECT scn, 0 AS seq, CASE op WHEN 'c' THEN '+I' WHEN 'd' THEN '-D' ELSE '-U' EN
 UNION ALL SELECT scn, 1, '+U', md5(aimg) FROM cc WHERE op = 'u'""",
     "current_state": _orders_state(),
     "current_state_create_first": _orders_state("c"),
-    "lineitem_state": f"""WITH li AS (
-  SELECT *, {_hash(_LINEITEM, linestatus="l_linestatus")} AS row_id,
-    {_hash(_LINEITEM, linestatus="'X'")} AS x_id FROM lineitem),
-sp AS (
-  SELECT *, 1 AS scn, 0 AS seq, 'c' AS op, row_id AS id, l_linestatus AS st FROM li
-  UNION ALL SELECT *, 2, 0, 'd', row_id, NULL FROM li WHERE l_returnflag = 'R'
-  UNION ALL SELECT *, 2, 1, 'c', x_id, 'X' FROM li WHERE l_returnflag = 'R'
-  UNION ALL SELECT *, 3, 0, 'd', row_id, NULL FROM li WHERE l_returnflag = 'A'),
-last AS (SELECT * FROM sp {_LATEST})
-SELECT id AS auto_md5_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-  l_tax, l_returnflag, st AS l_linestatus, l_shipdate::date::varchar AS l_shipdate FROM last WHERE op = 'c'""",
+    "lineitem_state": _LINEITEM_STATE,
     "null_key_drop": f"""WITH {_O}, {_CH}, {_split()}
 SELECT scn AS pos, seq, id AS row_id FROM sp""",
     "typed_rows": f"""WITH {_O}, {_CH}, {_split()}
@@ -245,12 +257,42 @@ SELECT scn, seq, o_orderkey::varchar AS o_orderkey,
     "batch_scan": _orders_state(),
     "filtered_scan": _orders_state(where="o_orderpriority = '2-HIGH'"),
     "matching_files": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
-SELECT count(*) AS matching_rows FROM last WHERE sop = 'c' AND id = x_id""",
-    "layout_partitioned": """SELECT c_mktsegment, count(*) AS customers, min(c_custkey) AS first_key,
-  max(c_custkey) AS last_key FROM customer GROUP BY ALL""",
+SELECT count(*) AS matching_rows, 0 AS files_missed, 0 AS files_too_many FROM last WHERE sop = 'c' AND id = x_id""",
+    "filtered_scan_own_id": """SELECT CASE o_orderstatus WHEN 'P' THEN 'P' ELSE 'X' END AS asked,
+  o_orderkey::varchar AS row_id, CASE o_orderstatus WHEN 'P' THEN 'P' ELSE 'X' END AS o_orderstatus
+FROM orders WHERE o_orderstatus IN ('F', 'P')""",
+    "bad_cells_counted": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
+SELECT 'load' AS run, 0 AS batch, count(*) AS changes,
+  sum(CASE WHEN sop = 'd' THEN 0 WHEN o_totalprice < 9999.995 THEN 1 ELSE 2 END) AS bad_cells FROM last""",
+    "layout_partitioned": "SELECT c_mktsegment, c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
     "layout_buckets": "SELECT o_orderkey, o_custkey, true AS in_bucket FROM orders",
     "compaction": _orders_state(),
     "compaction_some_buckets": _orders_state(),
+    "compaction_retried": f"""SELECT *, unnest(['old', 'new']) AS read_from, 'PATH_ALREADY_EXISTS' AS second
+FROM ({_orders_state()})""",
+    "lineitem_sync": _LINEITEM_STATE,
+    "text_sync": _orders_state(),
+    "normalise_both_outputs": f"""WITH {_O}, {_CH}, {_split()}, {_DAMAGE}
+SELECT scn AS pos, seq, id AS what FROM sp
+UNION ALL SELECT o_orderkey * 10 + 5, -1, reason FROM bad WHERE reason IS NOT NULL""",
+    "stream_incremental_compacted": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
+SELECT unnest(['early', 'late']) AS reader, id AS row_id, scn FROM last WHERE sop = 'c'""",
+    "plan_from_dictionary": """WITH v AS (
+  SELECT *, (p_size * 15) // 51 AS kind FROM part)
+SELECT 'OWN' || (p_partkey // 1600) AS owner, 'T_' || (p_partkey // 16) AS table_name,
+  'ice_orcl_own' || (p_partkey // 1600) || '_t_' || (p_partkey // 16) AS keyed_table,
+  (p_partkey - p_partkey // 16 * 16 + 1)::integer AS pos,
+  upper(replace(p_name, ' ', '_') || '_' || p_partkey) AS column_name,
+  CASE kind WHEN 1 THEN CASE WHEN p_size > 5 AND p_size - 5 >= 2 THEN 'DECIMAL(' || (p_size - 5) || ',2)' ELSE 'DECIMAL(38,10)' END
+    WHEN 2 THEN 'TIMESTAMP_NTZ' WHEN 3 THEN 'TIMESTAMP_NTZ' WHEN 4 THEN 'TIMESTAMP_NTZ' WHEN 5 THEN 'FLOAT'
+    WHEN 6 THEN 'DOUBLE' WHEN 8 THEN 'BINARY' WHEN 10 THEN 'INTERVAL YEAR TO MONTH'
+    WHEN 11 THEN 'INTERVAL DAY TO SECOND' WHEN 12 THEN 'BINARY' WHEN 13 THEN 'DECIMAL(38,10)' ELSE 'STRING' END AS spark_type
+FROM v""",
+    "created_tables": _orders_state(),
+    "allow_list_per_owner": """SELECT * FROM (
+  SELECT 'orcl-' || CASE WHEN c_nationkey < 12 THEN 'dds' WHEN c_nationkey < 20 THEN 'crm' ELSE 'old' END
+    || '-' || lower(c_mktsegment) AS topic, c_custkey FROM customer)
+WHERE topic = 'orcl-dds-building' OR topic LIKE 'orcl-crm-%'""",
     "stream_apply": f"""WITH e AS (
   SELECT {_EVENT_ID} AS row_id, event_id, ts, user_id, event_type, value, props FROM events
   WHERE event_type NOT IN ('error', 'view')
@@ -275,11 +317,11 @@ SELECT 'target-orcl-dds-customer' AS topic, '{{"op":"' || op
   || '","schema":{{"owner":"DDS","table":"CUSTOMER"}},"row":1,"rid":null,"before":' || coalesce(bfull, 'null')
   || ',"after":' || coalesce(afull, 'null') || ',"sql":null}}' AS value FROM m""",
     "stream_quarantine": f"""WITH {_DAMAGE}
-SELECT 'orcl-dds-orders' AS topic, reason, count(*) AS messages FROM bad WHERE reason IS NOT NULL GROUP BY ALL""",
+SELECT 'orcl-dds-orders' AS topic, o_orderkey * 10 + 5 AS pos, reason FROM bad WHERE reason IS NOT NULL""",
     "type_map": f"""WITH {_DICT}
 SELECT owner, table_name, pos, column_name, {_type(False)} AS spark_type FROM di""",
     "type_map_native": f"""WITH {_DICT}
-SELECT class_name, {_type(True)} AS spark_type, count(*) AS source_columns FROM di GROUP BY ALL""",
+SELECT owner, table_name, pos, class_name, {_type(True)} AS spark_type FROM di""",
     "table_plan": f"""WITH {_DICT}
 SELECT owner, table_name, count(*)::integer AS n_columns,
   'CREATE TABLE IF NOT EXISTS lake.orcl.ice_orcl_' || lower(owner) || '_' || lower(table_name)

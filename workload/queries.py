@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +71,7 @@ def _typed_changes(feed: DataFrame, schema: T.StructType, **how) -> DataFrame:
     """A feed as typed changes, ready for a keyed table."""
     rows = keyed.drop_null_keys(jobs.row_changes(feed, **how))
     # A delete needs no more than its key, so only inserts have an image to parse.
-    return typed.typed_rows(rows, schema, image="after", keep=(ROW_ID, "op", *M.ORDER)).drop("bad_cells")
+    return typed.typed_rows(rows, schema, image="after", keep=(ROW_ID, "op", *M.ORDER))
 
 
 # Reading messages
@@ -208,8 +210,12 @@ _IN_TWO = ("op = 'c'", "op = 'd'")
 
 def _orders_table(spark: SparkSession, sf_dir: str, purpose: str, batches: tuple[str, ...] = ("true",)) -> KeyedTable:
     """ORDERS applied to a keyed table, in batches that together hold every change at least once."""
-    keyed_table = KeyedTable(work_dir(spark, purpose), ORDERS_SCHEMA)
+    root = work_dir(spark, purpose)
+    keyed_table = KeyedTable(f"{root}/table", ORDERS_SCHEMA, content_ids=True)
     changes = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA)
+    if len(batches) > 1:  # read and typed once for all batches
+        changes.write.parquet(f"{root}/changes")
+        changes = spark.read.schema(changes.schema).parquet(f"{root}/changes")
     for i, part in enumerate(batches):
         keyed_table.append(changes.filter(part), run="load", batch=i)
     return keyed_table
@@ -224,22 +230,48 @@ def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders_out(orders.where(spark, F.col("O_ORDERPRIORITY") == "2-HIGH"))
 
 
+def filtered_scan_own_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under an id of their own, found by the status they have now and by the one some had before."""
+    orders = KeyedTable(work_dir(spark, "own_id"), ORDERS_SCHEMA)
+    changes = _typed_changes(feeds.orders_own_id(spark, sf_dir), ORDERS_SCHEMA)
+    orders.append(changes.filter("scn % 10 = 0"), run="load", batch=0)
+    orders.append(changes.filter("scn % 10 = 1"), run="load", batch=1)
+    found = [
+        orders.where(spark, F.col("O_ORDERSTATUS") == status).select(
+            F.lit(status).alias("asked"), F.col(ROW_ID).alias("row_id"), F.col("O_ORDERSTATUS").alias("o_orderstatus")
+        )
+        for status in ("F", "X", "P")
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 def matching_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matching rows of those files alone that are listed for a predicate."""
+    """The files listed for a predicate against those that hold matching rows, and the rows."""
     orders = _orders_table(spark, sf_dir, "matching_files")
     wanted = (F.col("O_ORDERSTATUS") == "X") & (F.col("op") == "c")
-    files = orders.files_with(spark, wanted)
-    rows = orders.changes(spark).filter(wanted).withColumn("file_path", F.col("_metadata.file_path"))
-    return rows.join(files, "file_path", "left_semi").agg(F.count(F.lit(1)).alias("matching_rows"))
+    listed = orders.files_with(spark, wanted).withColumn("listed", F.lit(1))
+    held = orders.changes(spark).withColumn("file_path", F.col("_metadata.file_path"))
+    held = held.groupBy("file_path").agg(F.count_if(wanted).alias("rows"))
+    return held.join(listed, "file_path", "full").agg(
+        F.sum("rows").alias("matching_rows"),
+        F.count_if((F.col("rows") > 0) & F.col("listed").isNull()).alias("files_missed"),
+        F.count_if((F.coalesce("rows", F.lit(0)) == 0) & F.col("listed").isNotNull()).alias("files_too_many"),
+    )
+
+
+def bad_cells_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that did not fit, counted from the table that was written."""
+    schema = _table(O_ORDERKEY=_LONG, O_TOTALPRICE=T.DecimalType(6, 2), O_ORDERSTATUS=T.FloatType())
+    orders = KeyedTable(work_dir(spark, "bad_cells"), schema)
+    orders.append(_typed_changes(feeds.orders(spark, sf_dir), schema), run="load", batch=0)
+    counted = orders.changes(spark).groupBy("run", "batch")
+    return counted.agg(F.sum("bad_cells").alias("bad_cells"), F.count(F.lit(1)).alias("changes"))
 
 
 def layout_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "layout_partitioned")
     write_layout(feeds.table(spark, sf_dir, "customer"), path, "c_custkey", partition_by=["c_mktsegment"])
-    stored = spark.read.parquet(path)
-    return stored.groupBy("c_mktsegment").agg(
-        F.count(F.lit(1)).alias("customers"), F.min("c_custkey").alias("first_key"), F.max("c_custkey").alias("last_key")
-    )
+    return spark.read.parquet(path).select("c_mktsegment", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
 
 
 def layout_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,14 +283,25 @@ def layout_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders_table(spark, sf_dir, "compaction", (*_IN_TWO, "true"))
-    orders.compact(spark, version=1)
-    return _orders_out(orders.current(spark))
+    return _orders_out(orders.rewrite(spark, f"{orders.path}-compact").current(spark))
 
 
 def compaction_some_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders_table(spark, sf_dir, "compaction_some", _IN_TWO)
-    orders.compact(spark, version=1, buckets=[1, 4], max_tasks=5)
-    return _orders_out(orders.current(spark))
+    return _orders_out(orders.rewrite(spark, f"{orders.path}-compact", buckets=[1, 4]).current(spark))
+
+
+def compaction_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rewrite twice: the second is refused, and neither table has lost a row."""
+    orders = _orders_table(spark, sf_dir, "compaction_retried", _IN_TWO)
+    rewritten = orders.rewrite(spark, f"{orders.path}-compact")
+    try:
+        orders.rewrite(spark, rewritten.path)
+    except AnalysisException as e:
+        refused = e.getCondition()
+    tables = ((name, _orders_out(t.current(spark))) for name, t in (("old", orders), ("new", rewritten)))
+    (_, old), (_, new) = ((n, t.withColumns({"read_from": F.lit(n), "second": F.lit(refused)})) for n, t in tables)
+    return old.union(new)
 
 
 # Streams
@@ -272,11 +315,11 @@ def _finish(query) -> None:
     query.awaitTermination()
 
 
-def _sync(spark: SparkSession, root: str, table_plans: list[plans.TablePlan]) -> None:
+def _sync(spark: SparkSession, root: str, table_plans: list[plans.TablePlan], fmt: str = "parquet") -> None:
     """Both streaming jobs over ``root/source``: normalise, then apply to ``root/tables``."""
     source = msg.read_messages(spark, "parquet", path=f"{root}/source")
-    _finish(jobs.start_normaliser(source, "parquet", f"{root}/ck_normalise", path=f"{root}/target"))
-    target = msg.read_messages(spark, "parquet", path=f"{root}/target")
+    _finish(jobs.start_normaliser(source, fmt, f"{root}/ck_normalise", path=f"{root}/target", quarantine=f"{root}/bad"))
+    target = msg.read_messages(spark, fmt, path=f"{root}/target")
     _finish(
         jobs.start_table_sync(target, table_plans, f"{root}/tables", f"{root}/ck_sync", run="sync")
     )
@@ -323,20 +366,70 @@ def multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes followed from the table's folder: what a reader that polls it receives."""
-    orders = _orders_table(spark, sf_dir, "stream_incremental", _IN_TWO)
-    seen = f"{orders.path}/seen"
+def lineitem_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of LINEITEM through both streaming jobs."""
+    root = work_dir(spark, "lineitem_sync")
+    plan = _plan("LINEITEM", LINEITEM_SCHEMA)
+    _publish(feeds.lineitem(spark, sf_dir), plan.source_topic, f"{root}/source")
+    _sync(spark, root, [plan])
+    rows = KeyedTable(f"{root}/tables/{plan.keyed_table}", plan.schema).current(spark)
+    return _lower(rows.select(*LINEITEM_SCHEMA.names).withColumn("L_SHIPDATE", F.col("L_SHIPDATE").cast("string")))
+
+
+def text_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs over topics that are lines of text: re-inserted rows need the order that the lines carry."""
+    root = work_dir(spark, "text_sync")
+    plan = _plan("ORDERS", ORDERS_SCHEMA)
+    _publish(feeds.orders(spark, sf_dir), plan.source_topic, f"{root}/source")
+    _sync(spark, root, [plan], "lines")
+    return _orders_out(KeyedTable(f"{root}/tables/{plan.keyed_table}", plan.schema).current(spark))
+
+
+def normalise_both_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad messages of one job, each from its place."""
+    root = work_dir(spark, "both_outputs")
+    _publish(feeds.orders(spark, sf_dir, damaged=True), "orcl-dds-orders", f"{root}/source")
+    source = msg.read_messages(spark, "parquet", path=f"{root}/source")
+    _finish(jobs.start_normaliser(source, "parquet", f"{root}/ck", path=f"{root}/target", quarantine=f"{root}/bad"))
+    good = msg.read_messages(spark, "parquet", path=f"{root}/target", streaming=False)
+    bad = spark.read.schema("topic string, pos bigint, value string, reason string").parquet(f"{root}/bad/batch=*")
+    return good.select("pos", "seq", F.col("key").alias("what")).union(bad.select("pos", F.lit(-1), "reason"))
+
+
+def _followed(spark: SparkSession, orders: KeyedTable, name: str) -> DataFrame:
+    """Changes followed from the table's folder: what a reader that polls it has received so far."""
+    place = f"{orders.path}-{name}"
     query = (
         orders.stream(spark).select(ROW_ID, "op", "scn", "seq").writeStream.format("parquet")
-        .option("path", seen).option("checkpointLocation", f"{orders.path}/ck_seen")
+        .option("path", f"{place}/seen").option("checkpointLocation", f"{place}/ck")
         .trigger(availableNow=True).start()
     )
     _finish(query)
-    received = spark.read.schema(f"{ROW_ID} string, op string, scn bigint, seq int").parquet(seen)
+    return spark.read.schema(f"{ROW_ID} string, op string, scn bigint, seq int").parquet(f"{place}/seen")
+
+
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _orders_table(spark, sf_dir, "stream_incremental", _IN_TWO)
+    received = _followed(spark, orders, "reader")
     return keyed.current_rows(received, order=("scn", "seq")).select(F.col(ROW_ID).alias("row_id"), "scn")
 
 
+def stream_incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader from before a rewrite, which goes on, and one that starts on the new folder."""
+    orders = _orders_table(spark, sf_dir, "followed", _IN_TWO[:1])
+    _followed(spark, orders, "early")
+    rewritten = orders.rewrite(spark, f"{orders.path}-compact")
+    deletes = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA).filter(_IN_TWO[1])
+    for t in (orders, rewritten):
+        t.append(deletes, run="load", batch=1)
+    seen = {"early": _followed(spark, orders, "early"), "late": _followed(spark, rewritten, "late")}
+    early, late = (
+        keyed.current_rows(rows, order=("scn", "seq")).select(F.lit(name).alias("reader"), F.col(ROW_ID).alias("row_id"), "scn")
+        for name, rows in seen.items()
+    )
+    return early.union(late)
+
+
 def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "stream_relay")
     _publish(feeds.supplier(spark, sf_dir), "orcl-dds-supplier", f"{root}/source")
@@ -350,7 +443,7 @@ def text_source_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "text_source_sink")
     msg.write_messages(feeds.as_topic(feeds.customer(spark, sf_dir), "orcl-dds-customer"), "text", path=f"{root}/source")
     source = msg.read_messages(spark, "text", path=f"{root}/source")
-    _finish(jobs.start_normaliser(source, "text", f"{root}/ck", path=f"{root}/target"))
+    _finish(jobs.start_normaliser(source, "text", f"{root}/ck", path=f"{root}/target", on_bad="fail"))
     return msg.read_messages(spark, "text", path=f"{root}/target", streaming=False).select("topic", "value")
 
 
@@ -360,7 +453,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = msg.read_messages(spark, "parquet", path=f"{root}/source")
     _finish(jobs.start_quarantine(source, f"{root}/bad", f"{root}/ck"))
     bad = spark.read.schema("topic string, pos bigint, value string, reason string").parquet(f"{root}/bad")
-    return bad.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("messages"))
+    return bad.select("topic", "pos", "reason")
 
 
 # Metadata
@@ -373,7 +466,36 @@ def type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def type_map_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed_dictionary = plans.typed_columns(feeds.dictionary(spark, sf_dir), native=True)
-    return typed_dictionary.groupBy("class_name", "spark_type").agg(F.count(F.lit(1)).alias("source_columns"))
+    return typed_dictionary.select("owner", "table_name", "pos", "class_name", "spark_type")
+
+
+def plan_from_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the dictionary's column view to typed plans."""
+    columns = metadata.column_metadata(feeds.columns_view(spark, sf_dir))
+    made = plans.table_plans(columns, feeds.DATABASE, native=True)
+    return made.select("owner", "table_name", "keyed_table", F.inline("columns")).select(
+        "owner", "table_name", "keyed_table", "pos", "column_name", "spark_type"
+    )
+
+
+def created_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The database and tables made by the plans' DDL, written by name and read back."""
+    database = f"tidemark_{uuid.uuid4().hex}"
+    orders = KeyedTable(work_dir(spark, "created"), ORDERS_SCHEMA)
+    orders.append(_typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA), run="load", batch=0)
+    kinds = {"bigint": ("java.math.BigDecimal", 19, 0), "decimal(12,0)": ("java.math.BigDecimal", 12, 0),
+             "decimal(15,2)": ("java.math.BigDecimal", 15, 2), "date": ("java.sql.Timestamp", 0, 0)}
+    text = ("java.lang.String", 0, 0)
+    rows = [
+        (feeds.OWNER, "ORDERS", i, f.name, *kinds.get(f.dataType.simpleString(), text))
+        for i, f in enumerate(ORDERS_SCHEMA.fields[1:], 1)
+    ]
+    made = plans.table_plans(spark.createDataFrame(rows, metadata.COLUMN_METADATA), database)
+    plans.create_database(spark, database)
+    plans.create_tables(spark, made)
+    name = f"{database}.{plans.collect_plans(made)[0].keyed_table}"
+    orders.current(spark).write.insertInto(name)
+    return _orders_out(spark.table(name))
 
 
 def table_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,6 +526,15 @@ def allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.allowed_topics(by_topic, "topic", feeds.DATABASE, listed)
 
 
+def allow_list_per_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two owners: of one the listed topics pass, of the other, whose list is empty, all."""
+    owner = F.when(F.col("c_nationkey") < 12, F.lit("DDS")).when(F.col("c_nationkey") < 20, F.lit("CRM")).otherwise(F.lit("OLD"))
+    by_topic = feeds.table(spark, sf_dir, "customer").select(
+        routing.source_topic(F.lit(feeds.DATABASE), owner, F.col("c_mktsegment")).alias("topic"), "c_custkey"
+    )
+    return routing.allowed_topics(by_topic, "topic", feeds.DATABASE, {"DDS": ["building"], "CRM": []})
+
+
 def allow_list_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An allow-list kept as a table: suppliers' nations decide which customers' nations pass."""
     customers = feeds.table(spark, sf_dir, "customer").select(
@@ -418,7 +549,7 @@ def allow_list_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def length_scorer():
-    """A scorer that follows from the text alone, failures included."""
+    """A scorer that follows from the text alone, failures included; it takes a batch at a time."""
 
     def ask(body: dict) -> tuple[int, str]:
         size = len(body["sentence"])
@@ -429,7 +560,7 @@ def length_scorer():
         label = "long" if size >= 2000 else "short"
         return 200, json.dumps({"sentence_id": body["sentence_id"], "label": label, "chars": size})
 
-    return ask
+    return scoring.one_by_one(ask)
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,11 +611,12 @@ REGISTERED = (
     row_md5_insert, row_md5_update, row_md5_delete, row_md5_nested, op_passthrough, split_rows,
     target_json, changelog_decode, changelog_decode_unsplit,
     current_state, current_state_create_first, lineitem_state, null_key_drop, typed_rows,
-    batch_scan, filtered_scan, matching_files, layout_partitioned, layout_buckets,
-    compaction, compaction_some_buckets,
-    stream_apply, multi_table, stream_incremental, stream_relay, text_source_sink, stream_quarantine,
+    batch_scan, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
+    compaction, compaction_some_buckets, compaction_retried,
+    stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
+    stream_incremental, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
-    allow_list, allow_list_table,
+    plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
     score_requests, score_results, score_stream, tag_window_counts, redacted_text, redacted_documents,
 )
 QUERIES = {f.__name__: f for f in REGISTERED}
