@@ -161,6 +161,13 @@ LABELLED = (
     (150, 0.1, 60, 0.0, 40, 0.0, 1, 0, 1), (55, 0.3, 70, 0.0, 12, 0.0, 1, 0, 1), (20, 0.0, 30, 0.0, 5, 0.1, 1, 0, 1),
     (400, 0.0, 6, 0.0, 7, 0.1, 1, 0, 1), (2, 0.0, 12, 0.0, 0, 0.0, 1, 0, 1), (8, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1),
     (7, 0.4, 25, 0.0, 30, 0.0, 1, 0, 1), (4, 0.0, 3, 1.0, 4, 0.0, 1, 0, 1), (30, 0.5, 20, 0.0, 25, 0.0, 1, 0, 1),
+    *(
+        (words, 0.0, *before, *behind, 1, aside, 1 - aside)
+        for words in (1, 4, 12, 70)
+        for before in ((0, 0.0), (3, 0.0), (2, 1.0), (50, 0.0))
+        for behind in ((0, 0.0), (5, 0.0), (40, 0.0), (1, 1.0))
+        for aside in (0, 1)
+    ),
     # pages without an article element: paragraphs by length and neighbours
     (80, 0.0, 6, 0.0, 70, 0.0, 0, 0, 1), (45, 0.1, 60, 0.0, 50, 0.1, 0, 0, 1), (120, 0.2, 3, 1.0, 4, 1.0, 0, 0, 1),
     (25, 0.0, 40, 0.0, 30, 0.0, 0, 0, 1), (30, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1), (60, 0.0, 80, 0.0, 1, 1.0, 0, 0, 1),

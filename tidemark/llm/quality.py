@@ -101,13 +101,19 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def measured(stats: DataFrame, rules: tuple[Rule, ...], *, sample_rows: int = 2000) -> list[tuple[Rule, float, float]]:
-    """Each rule with its seconds and its share of rejections on a sample of at most ``sample_rows`` rows.
+def sampled(df: DataFrame, rows: int, *, seed: int = 3) -> DataFrame:
+    """About ``rows`` rows drawn from all of ``df``; narrow, and of the same size whatever the input's."""
+    share = min(1.0, rows / max(1, df.count()))
+    return df.filter(F.rand(seed) < share)
+
+
+def measured(sample: DataFrame, rules: tuple[Rule, ...]) -> list[tuple[Rule, float, float]]:
+    """Each rule with its seconds and its share of rejections on a sample of statistics.
 
     The sample only decides the order of the rules. The statistics are taken once, then each rule is
     timed on its own.
     """
-    sample = stats.limit(sample_rows).persist()
+    sample = sample.persist()
     try:
         rows = max(1, sample.count())
         out = []
@@ -134,5 +140,5 @@ def cascade(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def apply_rules(df: DataFrame, record_id: str, text: str, rules: tuple[Rule, ...] = RULES, *, sample_rows: int = 2000) -> DataFrame:
-    stats = statistics(df, record_id, text)
-    return cascade(stats, ordered(measured(statistics(df.limit(sample_rows), record_id, text), rules, sample_rows=sample_rows)))
+    sample = statistics(sampled(df, sample_rows), record_id, text)
+    return cascade(statistics(df, record_id, text), ordered(measured(sample, rules)))

@@ -185,9 +185,10 @@ def fit(
                 [pa.array([b.tobytes() for b in bits], pa.binary()), batch.column(1)], names=["bits", "label"]
             )
 
-    data = sample.mapInArrow(present, "bits binary, label int").orderBy("bits", "label").collect()
-    rows = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in data), np.uint8).reshape(len(data), -1), axis=1)
-    bias, weights, factors = fit_machine(rows[:, : len(chosen) * len(TIMES)], np.array([r.label for r in data], float))
+    data = sample.mapInArrow(present, "bits binary, label int").collect()
+    data = sorted((bytes(r.bits), r.label) for r in data)  # the fit does not depend on the order of tasks
+    rows = np.unpackbits(np.frombuffer(b"".join(bits for bits, _ in data), np.uint8).reshape(len(data), -1), axis=1)
+    bias, weights, factors = fit_machine(rows[:, : len(chosen) * len(TIMES)], np.array([label for _, label in data], float))
     return Machine(chosen, bias, weights, factors)
 
 
