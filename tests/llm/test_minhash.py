@@ -1,0 +1,122 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import graph, minhash
+
+
+def shingles(text, width):
+    words = [w.encode("utf-8").lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def brute(texts, width, percent):
+    sets = [shingles(t, width) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [(len(s), find(i)) for i, s in enumerate(sets)]
+
+
+def collection(seed, families=6, copies=12):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)] + ["É", "é", "Ab", "aB"]
+    out = [None, "", " \n", "one", "ONE", "one two", "two one", "a b c"]
+    for _ in range(families):
+        source = [rng.choice(words) for _ in range(rng.randint(3, 90))]
+        for _ in range(copies):
+            text = list(source)
+            for _ in range(rng.randint(0, 5)):
+                k = rng.randrange(len(text))
+                text[k : k + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 2)
+            out.append(rng.choice([" ", "\n", "\t "]).join(text))
+    rng.shuffle(out)
+    return out + out[10:14]
+
+
+@pytest.mark.parametrize("how", [{}, {"steps": 0}, {"few": 1, "block": 4, "steps": 0, "tiny": 10**9}, {"first_bands": 1, "steps": 3, "tiny": 0}])
+def test_components_equal_brute_force(spark, monkeypatch, how):
+    how = dict(how)
+    monkeypatch.setattr(minhash, "FEW_MEMBERS", how.pop("few", minhash.FEW_MEMBERS))
+    monkeypatch.setattr(minhash, "TINY", how.pop("tiny", minhash.TINY))
+    texts = collection(4)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "i int, t string, kept string, id int")
+    for width, percent in ((3, 85), (5, 80)):
+        got = minhash.near_duplicates(df, "i", "t", width=width, percent=percent, bands=25, rows=4, **how).collect()
+        assert [(r.n_shingles, r.component_id) for r in sorted(got, key=lambda r: r.id)] == brute(texts, width, percent)
+        assert all(r.kept == (r.id == r.component_id) for r in got)
+
+
+def test_large_groups_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW_MEMBERS", 5)
+    texts = collection(9, families=2, copies=60)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = minhash.near_duplicates(df, "i", "t", width=3, percent=85, block=16, steps=0).collect()
+    assert [(r.n_shingles, r.component_id) for r in sorted(got, key=lambda r: r.id)] == brute(texts, 3, 85)
+
+
+def test_rows_without_id_repeated_rows_and_empty_tables(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(5, long), (5, long), (None, long), (None, "other"), (7, long + " more"), (8, None)]
+    df = spark.createDataFrame(rows, "i bigint, t string")
+    got = minhash.near_duplicates(df, "i", "t").collect()
+    assert sorted((r.id or 0, r.component_id, r.kept) for r in got if r.id) == [(5, 5, True), (5, 5, True), (7, 5, False), (8, 8, True)]
+    assert [(r.component_id, r.kept) for r in got if r.id is None] == [(None, True)] * 2
+    assert minhash.near_duplicates(df.filter("i > 9"), "i", "t").count() == 0
+
+
+def slow_signature(items, slots):
+    """Step by step for one item after the other, with a real list as permutation."""
+    out = [np.iinfo(np.uint64).max] * slots
+    for item in items:
+        order = list(range(slots))
+        for step in range(slots):
+            draw = int(minhash.mixed(np.array([(int(item) + (step + 1) * int(minhash.ODD)) % (1 << 64)], np.uint64))[0])
+            pick = step + ((draw >> 44) * (slots - step) >> 20)
+            order[step], order[pick] = order[pick], order[step]
+            out[order[step]] = min(out[order[step]], step * (1 << 40) + (draw & ((1 << 40) - 1)))
+    return out
+
+
+def test_signature_equals_the_slow_one():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (0, 1, 2, 7, 60, 400)]
+    got = minhash.signatures(sets, 24)
+    assert [list(map(int, row)) for row in got] == [slow_signature(s, 24) for s in sets]
+
+
+def test_signature_estimates_similarity_with_low_variance():
+    rng = np.random.default_rng(4)
+    errors = []
+    for _ in range(60):
+        both, one, two = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (40, 20, 20))
+        a, b = minhash.signatures([np.concatenate([both, one]), np.concatenate([both, two])], 100)
+        errors.append((a == b).mean() - 0.5)
+    assert abs(np.mean(errors)) < 0.02
+    assert np.var(errors) < 0.5 * 0.5 / 100  # of independent slots
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(5)
+    pairs = [(i, i + 1) for i in range(0, 400)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (7, 7)]
+    rng.shuffle(pairs)
+    df = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(9)
+    got = {r.node: r.root for r in graph.components(df).collect()}
+    want = {i: 0 for i in range(1, 401)} | {1000 + i: 1000 for i in range(1, 300)} | {5001: 5000}
+    assert got == want and Counter(got.values())[0] == 400
+    assert graph.components(df.filter("a < 0")).count() == 0

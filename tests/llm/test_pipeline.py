@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from __spark_entry__ import LLM_QUERIES, oracle_sql, queries
+from tests.llm.test_minhash import brute as near
+from tests.llm.test_suffix import kept
+from tidemark.llm.common import stored
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stored(stage(spark, docs, SF), name)
+        old = {r.doc_id: r for r in before.collect()}
+        new = {r.doc_id: r for r in docs.collect()}
+        assert docs.count() == len(new) and set(new) <= set(old)
+        seen[name] = (old, new)
+        if name != "encoding":
+            assert docs.columns == columns
+    old, new = seen["language"]
+    assert all(any(c.isalpha() for c in r.text) for r in new.values())
+    old, new = seen["near_duplicates"]
+    ids = sorted(old)
+    roots = [ids[root] for _, root in near([old[i].text for i in ids], 5, 80)]
+    assert set(new) == {i for i, root in zip(ids, roots) if i == root}
+    assert all(new[i] == old[i] for i in new)
+    old, new = seen["repeated_passages"]
+    ids = sorted(old)
+    left = kept([old[i].text.encode() for i in ids], 200)
+    assert {i: r.text for i, r in new.items()} == {i: k[0].decode("utf-8", "ignore") for i, k in zip(ids, left)}
+    assert all(r.n_chars == len(r.text) for r in new.values())
+    old, new = seen["encoding"]
+    assert set(new) == set(old) and all(r.same_text for r in new.values())
+
+
+def test_run_is_the_registered_query(spark):
+    assert len(corpus_pipeline.STAGES) == 5
+    rows = queries()["pipeline"](spark, SF)
+    assert rows.columns == ["doc_id", "n_tokens", "ids", "same_text"] and rows.count() > 0
+
+
+def test_edge_rows_pass_every_stage(spark):
+    text = "Und die Zeit der Menschen und der Welt ist eine sehr lange Zeit gewesen. "
+    rows = [(1, text, "de", 5, "a", "r"), (2, None, "de", None, "b", None), (None, text + "X", None, 1, None, "r"), (3, "", "", 0, "", ""),
+            (1, text, "de", 5, "a", "r"), (4, "123 456", "de", 7, "a", "r"), (5, "wort " * 50_000, "de", 0, "c", "r")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint, score string, rest string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for frame in (docs, docs.filter("doc_id > 99")):
+            out = stored(stage(spark, frame, SF), name)
+            assert out.columns == docs.columns
+            assert (out.count() == 0) == (frame.count() == 0)
+    once = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert once.filter("doc_id = 1").count() == 1
+    assert corpus_pipeline.encoded(spark, docs.filter("doc_id = 2"), SF).first().n_tokens == 0
+    kept_rows = corpus_pipeline.known_language(spark, docs, SF).collect()
+    assert sorted(r.doc_id or 0 for r in kept_rows) == [0, 1, 1, 5]
+
+
+@pytest.mark.parametrize("name", sorted(set(LLM_QUERIES) & set(oracle_sql())))
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    import check
+
+    db = duckdb.connect()
+    for t in check.TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries()[name](spark, SF)
+    cursor = db.execute(oracle_sql()[name])
+    columns = [c[0] for c in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert check.rows_of(df.columns, df.collect()) == check.rows_of(columns, cursor.fetchall())
+
+
+def test_held_out_shares(spark):
+    languages = queries()["op7_language_id"](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    held = languages.join(docs, "doc_id").filter("held_out")
+    assert held.filter(F.col("lang") == F.col("lang_pred")).count() >= 0.95 * held.count() > 0

@@ -1,0 +1,89 @@
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import suffix
+
+
+def brute(texts, length):
+    seen = {}
+    for t in texts:
+        for p in range(len(t) - length + 1):
+            seen[t[p : p + length]] = seen.get(t[p : p + length], 0) + 1
+    return [[p + length <= len(t) and seen[t[p : p + length]] > 1 for p in range(len(t))] for t in texts]
+
+
+def kept(texts, length):
+    out = []
+    for text, starts in zip(texts, brute(texts, length)):
+        gone = [False] * len(text)
+        for p, again in enumerate(starts):
+            if again:
+                gone[p : p + length] = [True] * length
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((bytes(c for c, g in zip(text, gone) if not g), len(text), sum(gone), runs))
+    return out
+
+
+def collection(seed, n=30):
+    rng = random.Random(seed)
+    letters = lambda k, of: "".join(rng.choice(of) for _ in range(k))
+    passages = [letters(rng.choice([120, 260, 500]), "abcé ") for _ in range(4)] + ["na" * 150, "same line\n" * 30]
+    out = []
+    for _ in range(n):
+        parts = [letters(rng.randint(0, 150), "xyzü ")]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            parts += [p[rng.randint(0, 40) :] if rng.random() < 0.5 else p, letters(rng.randint(0, 90), "xyz ")]
+        out.append("".join(parts))
+    return out + ["", passages[0], passages[0]]
+
+
+def test_merged_order_is_the_order_of_suffixes():
+    rng = np.random.default_rng(1)
+    strings = [rng.integers(1, 4, rng.integers(1, 9)) for _ in range(40)]
+    shards, suffixes = [], []
+    for part in (strings[:15], strings[15:16], strings[16:]):
+        symbols = np.concatenate(part)
+        last = np.concatenate([[*[False] * (len(s) - 1), True] for s in part])
+        before = np.arange(len(symbols)) - 1
+        before[np.concatenate([[0], np.flatnonzero(last)[:-1] + 1])] = -1
+        shards.append(suffix.Shard(symbols, before, last, 10))
+        suffixes.append([tuple(s[k:]) for s in part for k in range(len(s))])
+        assert [suffixes[-1][i] for i in shards[-1].order] == sorted(suffixes[-1])
+    shard, rank, common = suffix.merge(shards, 4)
+    got = [suffixes[s][shards[s].order[r]][:4] for s, r in zip(shard, rank)]
+    assert got == sorted(x[:4] for part in suffixes for x in part)
+    for a, b, lcp in zip(got, got[1:], common[1:]):
+        same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert lcp == same or (a == b and lcp == 4)
+
+
+@pytest.mark.parametrize("shard_symbols", [1, 40, 1 << 19])
+def test_repeated_windows_equal_brute_force(shard_symbols):
+    for seed in range(12):
+        texts = [t.encode() for t in collection(seed, 20)]
+        got = suffix.repeated_windows(texts, 200, shard_symbols=shard_symbols)
+        assert list(got) == [x for row in brute(texts, 200) for x in row]
+
+
+@pytest.mark.parametrize("how", [{}, {"most": 1}, {"slice_bytes": 700, "bucket_bytes": 2000}, {"most": 3, "gram": 20}])
+def test_what_is_left_equals_brute_force(spark, how):
+    texts = collection(7)
+    df = spark.createDataFrame([(i, t, "extra", 5) for i, t in enumerate(texts)], "i int, t string, id string, n_bytes int")
+    got = {r.i: (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in suffix.remove_repeats(df, "i", "t", **how).collect()}
+    assert got == dict(enumerate(kept([t.encode() for t in texts], 200)))
+
+
+def test_nulls_repeated_rows_and_cut_characters(spark):
+    long = "é" * 120 + "".join(chr(97 + i % 26) * (i % 7 + 1) for i in range(300))
+    rows = [(1, None), (None, "short"), (2, long), (2, long), (None, "x" + long[20:]), (3, "")]
+    df = spark.createDataFrame(rows, "i bigint, t string")
+    got = suffix.remove_repeats(df, "i", "t", decode=True).collect()
+    assert sorted((r.i or 0, r.n_removed > 0, r.kept) for r in got) == [
+        (0, False, "short"), (0, True, "x"), (1, False, ""), (2, True, ""), (2, True, ""), (3, False, ""),
+    ]
+    assert suffix.remove_repeats(df.filter("i > 9"), "i", "t").count() == 0
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(df, "i", "t", length=210)
