@@ -8,9 +8,10 @@ soon as no later step can lower any slot. Bands of slots are buckets of candidat
 
 Links are confirmed on full sets. Inside a bucket not all pairs are compared: the member that shares the
 most buckets is compared with all others, then links are joined to components, and only buckets that
-still hold several components go on. What is left after a few such steps is compared pair by pair, only
-across components and in blocks. No candidate pair of a bucket is passed over unless its two documents
-are already in one component, so no link is lost that any band has found.
+still hold several components go on. What is left after a few such steps is compared across components: in
+crowded buckets block by block, where a product of incidence matrices counts what sets share and only
+links become rows. No candidate pair of a bucket is passed over unless its documents are in one
+component, so no link is lost that any band has found.
 
 Null or blank text has an empty set and is linked with nothing. Rows with the same id are one document.
 A null id is linked with nothing, has a null component and is kept. An empty table gives an empty result.
@@ -32,7 +33,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 ODD = np.uint64(0x9E3779B97F4A7C15)
 UNIT = np.uint64(1 << 40)  # fractions of a signature value have 40 bits
-TINY, FEW_MEMBERS = 4, 32
+TINY = 4  # pairs per row that are compared without another step
+FEW_MEMBERS = 32  # of a bucket whose pairs may be rows
+BROADCAST_IDS = 1_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -169,38 +172,92 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """The ids to be broadcast if they are at most BROADCAST_IDS (about 16 MB), else as they are."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return rows.withColumn("root", F.col("id"))
+    return rows.join(roots, rows["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node")
+
+
+def _spread(nodes: DataFrame, roots: DataFrame | None, bands: int) -> DataFrame:
+    """``(bucket, id, size, score)`` of the first bands' buckets with several components; score: members met in them."""
+    rows = _rooted(nodes, roots).select("id", "root", "size", F.explode(F.slice("buckets", 1, bands)).alias("bucket"))
+    several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    rows = stored(rows.join(several.filter("low != high"), "bucket").select("bucket", "id", "size", "members"), "members")
+    scores = rows.groupBy("id").agg(F.sum("members").alias("score"))
+    return rows.drop("members").join(scores, "id")
+
+
+def _active(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The members of buckets with several components, with the bucket's size and the member to compare with."""
+    now = _rooted(members, roots)
+    centre = F.max_by(F.struct("id", "root", "size"), F.struct("score", -F.col("id"))).alias("centre")
+    several = now.groupBy("bucket").agg(centre, F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    return stored(now.join(several.filter("low != high").drop("low", "high"), "bucket"), "active")
+
+
+def _common(table: pa.Table, width: int = 4096) -> np.ndarray:
+    """How many items any two sets of a table share: a product of incidence matrices, some columns at a time."""
+    lists = table.column("items").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    _, item, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1  # an item of one set is shared with none
+    owner, item = owner[times[item] > 1], number[item[times[item] > 1]]
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    out = np.zeros((len(lists), len(lists)), np.float32)
+    for begin in range(0, int((times > 1).sum()), width):
+        a, b = np.searchsorted(item, [begin, begin + width])
+        part = np.zeros((len(lists), width), np.float32)
+        part[owner[a:b], item[a:b] - begin] = 1
+        out += part @ part.T
+    return out
+
+
 def _block_links(members: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links across components in large buckets: blocks of members against blocks, none emitted but links."""
+    """Links across components in crowded buckets: blocks of members against blocks, no pair is a row but a link."""
     sized = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = members.join(sized, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    placed = members.join(sized, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")),
+    )
     spread = placed.withColumn("task", F.explode(others)).join(sets, "id")
 
     def run(table: pa.Table) -> pa.Table:
-        ids, roots, blocks = (table.column(c).to_pylist() for c in ("id", "root", "block"))
-        items = [np.array(x, np.int64) for x in table.column("items").to_pylist()]
-        within = len(set(blocks)) == 1
-        found = []
-        for i in range(len(ids)):
-            for j in range(i):
-                a, b = len(items[i]), len(items[j])
-                if roots[i] == roots[j] or 100 * min(a, b) < percent * max(a, b) or not (within or blocks[i] != blocks[j]):
-                    continue
-                both = len(np.intersect1d(items[i], items[j], assume_unique=True))
-                if 100 * both >= percent * (a + b - both):
-                    found.append(sorted((ids[i], ids[j])))
-        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
-
-    return (
-        spread.select("bucket", "task", "block", "id", "root", "items")
-        .groupBy("bucket", "task")
-        .applyInArrow(run, "a bigint, b bigint")
-        .distinct()
-    )
+        ids, roots, blocks = (table.column(c).to_numpy() for c in ("id", "root", "block"))
+        both = _common(table)
+        sizes = np.array([len(x) for x in table.column("items")], np.float32)
+        near = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        near &= (roots[:, None] != roots[None, :]) & (ids[:, None] < ids[None, :])
+        if len(np.unique(blocks)) > 1:  # pairs within a block are its own task's
+            near &= blocks[:, None] != blocks[None, :]
+        a, b = np.nonzero(near)
+        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+
+    rows = spread.select("bucket", "task", "block", "id", "root", "items")
+    return rows.groupBy("bucket", "task").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _across(now: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """All links between components within a bucket: as pairs in small buckets, in blocks in crowded ones."""
+    small = now.filter(F.col("members") <= FEW_MEMBERS)
+    one = small.filter("root != centre.root").select("bucket", "id", "root", "size")
+    two = small.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("id", "root", "size")))
+    apart = (F.col("root") != F.col("root2")) & _near(F.col("size"), F.col("size2"), percent)
+    pairs = one.join(two, "bucket").filter(apart).select(*_pair("id", "id2")).distinct()
+    found = _links(pairs, sets, percent)
+    large = now.filter(F.col("members") > FEW_MEMBERS).select("bucket", "id", "root")
+    return found if large.isEmpty() else found.union(_block_links(large, sets, percent, block))
 
 
 def near_duplicates(
-    df: DataFrame, record_id: str, text: str, *, width: int = 5, percent: int = 80, bands: int = 25, rows: int = 4, steps: int = 3, block: int = 128
+    df: DataFrame, record_id: str, text: str, *, width: int = 5, percent: int = 80, bands: int = 25, rows: int = 4, first_bands: int = 5, steps: int = 1, block: int = 1024
 ) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` of every row; the smallest id of a component is kept.
 
@@ -214,55 +271,38 @@ def near_duplicates(
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("buckets").alias("buckets"))
     )
     nodes = stored(nodes, "nodes")
-    places = nodes.select("id", "size", F.explode("buckets").alias("bucket"))
-    crowded = places.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    members = stored(places.join(crowded, "bucket"), "members")
-    scores = members.groupBy("id").agg(F.sum("members").alias("score"))
-    members = stored(members.drop("members").join(scores, "id"), "scored")
-
-    candidates = members.select("id").distinct()
-    texts = df.select(F.col(record_id).cast("long").alias("id"), F.col(text).alias("text")).join(candidates, "id", "left_semi")
+    places = nodes.select("id", F.explode("buckets").alias("bucket"))
+    crowded = places.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
+    candidates = stored(places.join(crowded, "bucket").select("id").distinct(), "candidates")
+    texts = df.select(F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = texts.join(_small(candidates), "id", "left_semi")
     sets = stored(full_sets(texts, width=width).dropDuplicates(["id"]), "sets")
+    first = nodes.select("content", F.col("id").alias("first"))
+    nodes = nodes.join(_small(candidates), "id", "left_semi")
 
+    # A few bands first: they link most copies to their source, and what is one component is not looked at again.
     links = roots = None
-    for step in range(steps + 1):
-        # The buckets with more than one component, their members and the next centre of each.
-        if roots is None:
-            now = members.withColumn("root", F.col("id"))
-        else:
-            now = members.join(roots, members.id == roots.node, "left").drop("node").withColumn("root", F.coalesce("root", "id"))
-        best = F.max_by(F.struct("id", "root", "size"), F.struct("score", -F.col("id")))
-        mixed_buckets = (
-            now.groupBy("bucket")
-            .agg(best.alias("centre"), F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-            .filter("low != high")
-            .select("bucket", "centre", "members")
-        )
-        now = stored(now.join(mixed_buckets, "bucket"), "active")
-        total, pairs_left = now.select(F.count("*"), F.sum("members") / 2).first()
-        if not total:
-            break
-        if step == steps or pairs_left <= TINY * total:
-            small = now.filter(F.col("members") <= FEW_MEMBERS).select("bucket", "id", "root", "size")
-            other = small.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("id", "root", "size")))
-            apart = (F.col("id") < F.col("id2")) & (F.col("root") != F.col("root2")) & _near(F.col("size"), F.col("size2"), percent)
-            pairs = small.join(other, "bucket").filter(apart).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-            found = _links(pairs, sets, percent)
-            large = now.filter(F.col("members") > FEW_MEMBERS).select("bucket", "id", "root")
-            if not large.isEmpty():
-                found = found.union(_block_links(large, sets, percent, block))
-        else:
-            apart = (F.col("root") != F.col("centre.root")) & _near(F.col("size"), F.col("centre.size"), percent)
-            pairs = now.filter(apart).select(*_pair("id", "centre.id")).distinct()
-            found = _links(pairs, sets, percent)
-            members = now.filter("id != centre.id").select("id", "bucket", "size", "score")
-        found = stored(found, "links")
-        links = found if links is None else links.union(found)
-        roots = components(links)
-        if step == steps or pairs_left <= TINY * total:
-            break
-
-    named = docs.join(nodes.select("content", F.col("id").alias("first")), "content", "left")
+    for used, turns in ((min(first_bands, bands), 1), (bands, steps)):
+        members = _spread(nodes, roots, used)
+        for turn in range(turns + (used == bands)):
+            now = _active(members, roots)
+            total, left = now.select(F.count("*"), F.sum("members") / 2).first()
+            if not total:
+                break
+            rest = used == bands and (turn == turns or left <= TINY * total)
+            if rest:
+                found = _across(now, sets, percent, block)
+            else:
+                apart = (F.col("root") != F.col("centre.root")) & _near(F.col("size"), F.col("centre.size"), percent)
+                found = _links(now.filter(apart).select(*_pair("id", "centre.id")).distinct(), sets, percent)
+            found = stored(found, "links")
+            links = found if links is None else links.union(found)
+            roots = components(links)
+            if rest:
+                break
+            members = now.filter("id != centre.id").select("bucket", "id", "size", "score")
+
+    named = docs.join(first, "content", "left")
     if roots is not None:
         named = named.join(roots, named["first"] == roots.node, "left")
     else:
