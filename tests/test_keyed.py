@@ -126,6 +126,17 @@ def test_keyed_table_lifecycle(spark, folder, rows):
     assert read(table.current(spark)) == want
 
 
+def test_saved_rows_are_grouped_without_a_shuffle(spark, folder, rows):
+    table = KeyedTable(folder, SCHEMA)
+    apply(spark, table, rows, 2)
+    name = "saved_" + folder.rsplit("-", 1)[1]
+    saved = table.save_current(spark, name)
+    assert read(saved) == brute_force(rows)
+    counted = saved.groupBy(ROW_ID).agg(F.count("*").alias("n"))
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_rewriting_some_buckets_copies_the_others(spark, folder, rows):
     table = KeyedTable(f"{folder}/t", SCHEMA)
     apply(spark, table, rows, 2)

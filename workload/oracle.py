@@ -255,6 +255,7 @@ SELECT scn, seq, o_orderkey::varchar AS o_orderkey,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, NULL::double AS o_orderstatus, o_orderpriority,
   1 + CASE WHEN o_totalprice < 9999.995 THEN 0 ELSE 1 END AS bad_cells FROM sp WHERE sop = 'c'""",
     "batch_scan": _orders_state(),
+    "current_bucketed": _orders_state(),
     "filtered_scan": _orders_state(where="o_orderpriority = '2-HIGH'"),
     "matching_files": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
 SELECT count(*) AS matching_rows, 0 AS files_missed, 0 AS files_too_many FROM last WHERE sop = 'c' AND id = x_id""",

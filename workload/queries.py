@@ -225,6 +225,12 @@ def batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders_out(_orders_table(spark, sf_dir, "batch_scan").current(spark))
 
 
+def current_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current rows saved as a bucketed table and read from there."""
+    orders = _orders_table(spark, sf_dir, "current_bucketed")
+    return _orders_out(orders.save_current(spark, f"orders_{uuid.uuid4().hex}"))
+
+
 def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders_table(spark, sf_dir, "filtered_scan")
     return _orders_out(orders.where(spark, F.col("O_ORDERPRIORITY") == "2-HIGH"))
@@ -611,7 +617,7 @@ REGISTERED = (
     row_md5_insert, row_md5_update, row_md5_delete, row_md5_nested, op_passthrough, split_rows,
     target_json, changelog_decode, changelog_decode_unsplit,
     current_state, current_state_create_first, lineitem_state, null_key_drop, typed_rows,
-    batch_scan, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
+    batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried,
     stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
     stream_incremental, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
