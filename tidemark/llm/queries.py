@@ -82,6 +82,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.col("items").cast("array<string>")).alias("items"),
         F.coalesce("covered", F.lit(0)).alias("covered_words"),
         F.col("found_id").isNotNull().alias("contaminated"),
+        F.col("found_id").isNull().alias("kept"),
     )
 
 
@@ -187,7 +188,7 @@ ORACLE = {
         bad AS (SELECT id, n, ids FROM cov JOIN first USING (item) WHERE 100 * n >= 50 * size),
         one AS (SELECT id, max(n)::BIGINT AS n, list_sort(list_distinct(flatten(list(ids)))) AS ids FROM bad GROUP BY id)
         SELECT doc_id, coalesce(len(ids), 0)::BIGINT AS n_items, coalesce(array_to_string(ids, ','), '') AS items,
-            coalesce(n, 0)::BIGINT AS covered_words, n IS NOT NULL AS contaminated
+            coalesce(n, 0)::BIGINT AS covered_words, n IS NOT NULL AS contaminated, n IS NULL AS kept
         FROM documents LEFT JOIN one ON doc_id = id
     """,
     "op10_warc": """
