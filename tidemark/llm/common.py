@@ -35,6 +35,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """``df``, in a session that sends at most ``rows`` rows to Python at once.
+
+    Spark's batches are bounded by rows alone; ten thousand long texts at once would not fit beside
+    others in an executor. A smaller setting of the session stays.
+    """
+    conf = df.sparkSession.conf
+    now = int(conf.get(BATCH_ROWS, "10000"))
+    if not 0 < now <= rows:
+        conf.set(BATCH_ROWS, str(rows))
+    return df
+
+
 def text_of(column: str) -> Column:
     """A text column, null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, texts_of
+from tidemark.llm.common import bounded_batches, parts_of, texts_of
 
 # HTML's element names by kind.
 RAW = frozenset("script style noscript template textarea select option svg math iframe object canvas audio video button datalist".split())
@@ -249,4 +249,4 @@ def extract(df: DataFrame, page: str, *, result: str = "text", tree: Node | None
             columns.append(pa.array([main_text(p, tree) for p in texts_of(batch, page)], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=new.names)
 
-    return df.mapInArrow(run, new)
+    return bounded_batches(df).mapInArrow(run, new)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, texts_of
+from tidemark.llm.common import bounded_batches, parts_of, texts_of
 
 UNKNOWN = "und"
 UNIT = 1 << 20  # length of a learned text's vector, in whole numbers
@@ -117,7 +117,8 @@ def learn(
             )
 
     rows = (
-        df.select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
+        bounded_batches(df)
+        .select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
         .dropna()
         .mapInArrow(run, "language string, vector array<bigint>")
         .select("language", F.posexplode("vector"))
@@ -155,4 +156,4 @@ def predict(df: DataFrame, text: str, profiles: Profiles, *, slice_bytes: int =
             columns.append(pa.array(score, pa.float64()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *new]])
 
-    return df.mapInArrow(run, T.StructType([*kept, *new]))
+    return bounded_batches(df).mapInArrow(run, T.StructType([*kept, *new]))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, texts_of
+from tidemark.llm.common import bounded_batches, parts_of, texts_of
 
 # Wordings of public licences' notices, several for one licence.
 TEMPLATES = (
@@ -158,4 +158,4 @@ def scan(
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(item))], names=new.names)
 
-    return df.mapInArrow(run, new)
+    return bounded_batches(df).mapInArrow(run, new)

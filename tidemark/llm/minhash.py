@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import parts_of, stored
+from tidemark.llm.common import bounded_batches, parts_of, stored
 from tidemark.llm.graph import components
 
 SPACE = np.zeros(256, bool)
@@ -135,7 +135,7 @@ def sketches(df: DataFrame, record_id: str, text: str, *, width: int, bands: int
             )
 
     columns = (F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return df.select(*columns).mapInArrow(run, "id bigint, n_shingles bigint, content binary, buckets array<bigint>")
+    return bounded_batches(df).select(*columns).mapInArrow(run, "id bigint, n_shingles bigint, content binary, buckets array<bigint>")
 
 
 def full_sets(df: DataFrame, *, width: int, slice_bytes: int = 1 << 20) -> DataFrame:
@@ -147,7 +147,7 @@ def full_sets(df: DataFrame, *, width: int, slice_bytes: int = 1 << 20) -> DataF
                 [batch.column(0), _int64(shingle_sets(_bytes(batch), width))], names=["id", "items"]
             )
 
-    return df.mapInArrow(run, "id bigint, items array<bigint>")
+    return bounded_batches(df).mapInArrow(run, "id bigint, items array<bigint>")
 
 
 def _near(a: Column, b: Column, percent: int) -> Column:
@@ -187,7 +187,8 @@ def _spread(nodes: DataFrame, roots: DataFrame | None, bands: int) -> DataFrame:
     """``(bucket, id, size, score)`` of the first bands' buckets with several components; score: members met in them."""
     rows = _rooted(nodes, roots).select("id", "root", "size", F.explode(F.slice("buckets", 1, bands)).alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-    rows = stored(rows.join(several.filter("low != high"), "bucket").select("bucket", "id", "size", "members"), "members")
+    several = stored(several.filter("low != high").select("bucket", "members"), "several")
+    rows = stored(rows.join(several, "bucket").select("bucket", "id", "size", "members"), "members")
     scores = rows.groupBy("id").agg(F.sum("members").alias("score"))
     return rows.drop("members").join(scores, "id")
 
@@ -197,7 +198,8 @@ def _active(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     now = _rooted(members, roots)
     centre = F.max_by(F.struct("id", "root", "size"), F.struct("score", -F.col("id"))).alias("centre")
     several = now.groupBy("bucket").agg(centre, F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    return stored(now.join(several.filter("low != high").drop("low", "high"), "bucket"), "active")
+    several = stored(several.filter("low != high").drop("low", "high"), "several")
+    return stored(now.join(several, "bucket"), "active")
 
 
 def _common(table: pa.Table, width: int = 4096) -> np.ndarray:
@@ -273,6 +275,8 @@ def near_duplicates(
     nodes = stored(nodes, "nodes")
     places = nodes.select("id", F.explode("buckets").alias("bucket"))
     crowded = places.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
+    # Counts are written before they are joined: Spark splits a hot key only between plain shuffles.
+    crowded = stored(crowded, "crowded")
     candidates = stored(places.join(crowded, "bucket").select("id").distinct(), "candidates")
     texts = df.select(F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
     texts = texts.join(_small(candidates), "id", "left_semi")

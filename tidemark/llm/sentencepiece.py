@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, texts_of
+from tidemark.llm.common import bounded_batches, parts_of, texts_of
 
 MARK = "▁"
 CHUNK = f"{MARK}*[^{MARK}]+|{MARK}+"
@@ -68,7 +68,7 @@ class ChunkTable:
 
 
 def encode(
-    df: DataFrame, text: str, model: str, *, decode: bool = False, table_chunks: int = 300_000, slice_bytes: int = 2 << 20
+    df: DataFrame, text: str, model: str, *, decode: bool = False, table_chunks: int = 150_000, slice_bytes: int = 1 << 20
 ) -> DataFrame:
     """``df`` with ``ids`` (array of int) and, if asked for, ``decoded``: the library's ``decode(ids)``.
 
@@ -97,7 +97,7 @@ def encode(
                 columns.append(pa.array(library.decode(lists, num_threads=1) if lists else [], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *new]])
 
-    return df.mapInArrow(run, T.StructType([*kept, *new]))
+    return bounded_batches(df).mapInArrow(run, T.StructType([*kept, *new]))
 
 
 def digests(encoded: DataFrame, id_column: str = "doc_id") -> DataFrame:

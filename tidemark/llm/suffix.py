@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, stored
+from tidemark.llm.common import bounded_batches, parts_of, stored
 from tidemark.llm.minhash import ODD, mixed
 
 STEP = 25  # bytes of a symbol; a window is a whole number of symbols
@@ -109,7 +109,7 @@ def segments(df: DataFrame, *, length: int, gram: int, slice_bytes: int) -> Data
                     names=["anchor", "content", "id", "place"],
                 )
 
-    return df.mapInArrow(run, "anchor bigint, content bigint, id bigint, place bigint")
+    return bounded_batches(df).mapInArrow(run, "anchor bigint, content bigint, id bigint, place bigint")
 
 
 def _stable(keys: np.ndarray) -> np.ndarray:
@@ -235,7 +235,8 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
     """``(id, begin, end)``: byte ranges of rows ``(id, text)`` that are covered by repeated windows; they may overlap."""
     every = stored(segments(df, length=length, gram=gram, slice_bytes=slice_bytes), "segments")
     anchors = every.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
-    anchors = anchors.filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal"))
+    # Counts are written before they are joined: Spark splits a hot key only between plain shuffles.
+    anchors = stored(anchors.filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal")), "anchors")
     shared = stored(every.join(anchors, "anchor"), "shared")
     first, windows = F.shiftright("place", 16), F.col("place").bitwiseAND(0xFFFF)
     spans = _spans(shared.filter("equal"), first, windows, length)
@@ -246,7 +247,7 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
     spans = spans.union(_spans(unequal.join(copied, ["anchor", "content"]), first, windows, length))
 
     # The text of one segment for each distinct content.
-    crowds = distinct.groupBy("anchor").agg(F.count("*").alias("members"))
+    crowds = stored(distinct.groupBy("anchor").agg(F.count("*").alias("members")), "crowds")
     parts = distinct.join(crowds, "anchor").select("anchor", "n", "members", F.col("one.id").alias("id"), F.col("one.place").alias("place"))
     per_text = parts.groupBy("id").agg(F.collect_list(F.struct("anchor", "n", "members", "place")).alias("parts"))
     raw = df.select("id", F.col("text").cast("binary").alias("raw"))
@@ -294,7 +295,7 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
 
 def remove_repeats(
     df: DataFrame, record_id: str, text: str, *, length: int = 200, gram: int = 32, most: int = 2000,
-    bucket_bytes: int = 2 << 20, slice_bytes: int = 1 << 20, decode: bool = False,
+    bucket_bytes: int = 1 << 20, slice_bytes: int = 1 << 20, decode: bool = False,
 ) -> DataFrame:
     """``df`` with ``kept`` (the bytes that are left), ``n_bytes``, ``n_removed`` and ``n_spans``.
 
@@ -342,4 +343,4 @@ def remove_repeats(
             columns += [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays(columns, names=new.names)
 
-    return joined.mapInArrow(run, new)
+    return bounded_batches(joined).mapInArrow(run, new)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import parts_of, stored
+from tidemark.llm.common import bounded_batches, parts_of, stored
 from tidemark.llm.minhash import ODD, mixed
 
 BITS = 22
@@ -125,7 +125,7 @@ def fit(
     )
     # The bound proves the size of what is broadcast: 12 bytes a row.
     marks = marks.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    rows = docs.select(F.col(record_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col(record_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sample = stored(rows.join(F.broadcast(marks), "id").select("text", "label"), "labelled")
 
     def positive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,4 +206,4 @@ def score(df: DataFrame, text: str, machine: Machine, *, threshold: float = 0.7,
             columns += [pa.array(scores, pa.float64()), pa.array(scores >= threshold, pa.bool_()).cast(pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *new]])
 
-    return df.mapInArrow(run, T.StructType([*kept, *new]))
+    return bounded_batches(df).mapInArrow(run, T.StructType([*kept, *new]))

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import bounded_batches, stored
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -57,7 +57,8 @@ def with_revisits(df: DataFrame, record_id: str, target: str, payload: str, *, l
         .filter("copies > 1")
         .select("payload_digest", "first")
     )
-    return rows.join(first, "payload_digest", "left").select(
+    # Written before it is joined: Spark splits a hot payload only between plain shuffles.
+    return rows.join(stored(first, "first-records"), "payload_digest", "left").select(
         "record_id",
         "target",
         "payload_bytes",
@@ -168,7 +169,7 @@ def write(records: DataFrame, folder: str, *, frame_bytes: int = 256 << 10, bund
             yield _rows(writer.close(), schema)
 
     columns = ("record_id", "target", "payload_bytes", "payload_digest", "refers_to", "payload")
-    return stored(records.select(*columns).mapInArrow(run, INDEX), "warc-index")
+    return stored(bounded_batches(records).select(*columns).mapInArrow(run, INDEX), "warc-index")
 
 
 def seek_table(file, size: int) -> list[tuple[int, int, int]]:
