@@ -156,13 +156,17 @@ def _near(a: Column, b: Column, percent: int) -> Column:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
-    one = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
-    two = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
+    """The pairs ``(a, b)`` whose full sets are similar enough.
+
+    Pairs of few enough rows are broadcast to the sets, so that only sets of pairs are shuffled, once.
+    """
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.col("b").alias("id")).distinct()
+    one = sets.select(F.col("id").alias("a"), F.col("items").alias("left")).join(_small(pairs), "a")
+    two = sets.join(_small(ends), "id", "left_semi").select(F.col("id").alias("b"), F.col("items").alias("right"))
     both = F.size(F.array_intersect("left", "right"))
     return (
-        pairs.join(one, "a")
-        .join(two, "b")
+        one.join(two, "b")
         .filter(100 * both >= percent * (F.size("left") + F.size("right") - both))
         .select("a", "b")
     )
@@ -173,7 +177,7 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _small(ids: DataFrame) -> DataFrame:
-    """The ids to be broadcast if they are at most BROADCAST_IDS (about 16 MB), else as they are."""
+    """Rows of ids, to be broadcast if they are at most BROADCAST_IDS (about 16 MB an id), else as they are."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
