@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate, language, minhash, sentencepiece, suffix
 from tidemark.llm.common import read_table, stored
 
-#: Below this cosine a text has next to no letter groups in common with any language.
-LEAST_SCORE = 0.05
+#: Below this cosine a text of enough letters has next to no letter groups in common with any language. Of fewer
+#: letters, counted over its distinct words, nothing is said: chance moves a cosine by 0.03, and a few groups are no more.
+LEAST_SCORE, LEAST_LETTERS = 0.05, 200
 
 
 def _rest(docs: DataFrame) -> Column:
@@ -24,10 +25,13 @@ def _rest(docs: DataFrame) -> Column:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned; those without a letter, or like none of them, go."""
+    """Documents in a language that was learned; those without a letter, or long and like none of them, go."""
     profiles = language.learn(docs, "text", "lang")
     found = language.predict(docs.select(_rest(docs), "text"), "text", profiles)
-    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    letters = F.aggregate(words, F.lit(0), lambda total, w: total + F.length(w))
+    like = (F.col("score") >= LEAST_SCORE) | (letters < LEAST_LETTERS)
+    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & like)
     return kept.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns))
 
 

@@ -44,6 +44,22 @@ def test_run_is_the_registered_query(spark):
     assert rows.columns == ["doc_id", "n_tokens", "ids", "same_text"] and rows.count() > 0
 
 
+def test_short_texts_pass_the_language_stage(spark):
+    """Whatever its cosine, a document of few letters stays; a long one like no language goes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = [r.text for r in docs.filter("length(text) > 40").limit(10).collect()]
+    texts = sorted({w for t in short for w in t.split() if any(c.isalpha() for c in w)}) + ["A.", "A.\nAll rights reserved.", "zxq", "é", "Xq! " * 500]
+    foreign = " ".join(chr(0x3B1 + i % 16) * 3 + chr(0x3B1 + i // 16) * 2 for i in range(200))
+    new = [(10**9 + i, t, None) for i, t in enumerate([*texts, foreign])]
+    columns = docs.select("doc_id", "text", "lang")
+    rows = columns.unionByName(spark.createDataFrame(new, columns.schema))
+    kept_ids = {r.doc_id for r in corpus_pipeline.known_language(spark, rows, SF).collect()}
+    assert kept_ids >= {10**9 + i for i in range(len(texts))}
+    assert 10**9 + len(texts) not in kept_ids
+    with_letter = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert kept_ids >= with_letter
+
+
 def test_edge_rows_pass_every_stage(spark):
     text = "Und die Zeit der Menschen und der Welt ist eine sehr lange Zeit gewesen. "
     rows = [(1, text, "de", 5, "a", "r"), (2, None, "de", None, "b", None), (None, text + "X", None, 1, None, "r"), (3, "", "", 0, "", ""),
