@@ -32,6 +32,15 @@ def test_slots_must_agree(spark):
     assert found(spark, [same, broken, item], [(1, item)], width=16) == {0: [1], 2: [1]}
 
 
+@pytest.mark.parametrize("how", [{}, {"broadcast_windows": 0}])
+def test_disagreeing_slots_drop_only_their_windows(spark, how):
+    name = "last week the teacher told Anna that the library opens early and then she asked whether all of the other children in the class would help Anna to bring her old books"
+    pears = "Tom has 3 apples and 3 pears. How many pieces of fruit does he have when his sister gives him one more of each?"
+    texts = [name.replace("Anna", "Otto", 1), name, pears.replace("3 apples", "4 apples").replace("3 pears", "7 pears"),
+             "Tom has 4 apples and 7 pears. How long do they keep if nobody eats one of them before the end of the month?"]
+    assert found(spark, texts, [(1, name), (2, pears)], **how) == {0: [1], 1: [1], 2: [2]}
+
+
 def test_empty_tables_ties_and_null_ids(spark):
     assert found(spark, [], ITEMS) == {}
     assert found(spark, [PLAIN], []) == {}

@@ -5,8 +5,9 @@ sentence) become typed placeholders, other words are lower-cased, punctuation on
 Windows of template words are hash-joined with those of the benchmark, and matches that lie on one
 diagonal form an alignment. An alignment is consistent if every value of the benchmark's placeholders
 always stands for the same value in the document; so a question with other numbers or names is found,
-and a text that merely shares the pattern is not. A document is contaminated by an item if consistent
-alignments cover at least ``percent`` of the item's words.
+and a text that merely shares the pattern is not. Where what stands for a value disagrees, only the
+windows that hold that value are dropped; windows without placeholders always count. A document is
+contaminated by an item if what is left covers at least ``percent`` of the item's words.
 
 Items of fewer than ``least_words`` words say too little and match nothing; other items shorter than a
 window are one window of their own length. A window of placeholders alone matches nothing. Benchmark items of
@@ -112,19 +113,27 @@ def contaminated(
         matches = found if matches is None else matches.union(found)
     if matches is None:
         return docs.sparkSession.createDataFrame([], "id bigint, items array<bigint>, covered bigint")
-    matches = stored(matches.select("id", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "width", "values", "item_values").distinct(), "matches")
+    # What a window's placeholders stand for; null without any.
+    pairs = F.filter(F.arrays_zip(F.col("item_values").alias("of"), F.col("values").alias("value")), lambda p: p["of"].rlike(f"^[{MARKS}]"))
+    pairs = F.when(F.col("item_values").isNotNull(), F.array_sort(F.array_distinct(pairs)))
+    matches = matches.select("id", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "width", pairs.alias("pairs"))
+    matches = stored(matches.distinct(), "matches")
 
     line = ["id", "item", "shift"]
-    slots = (
-        matches.filter("item_values IS NOT NULL")
-        .select(*line, F.explode(F.arrays_zip("item_values", "values")).alias("pair"))
-        .select(*line, F.col("pair.item_values").alias("of"), F.col("pair.values").alias("value"))
-        .filter(F.col("of").rlike(f"^[{MARKS}]"))
-    )
+
+    def apart(rows: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+        """A semi or anti join by ``keys``, of which only the id may be null."""
+        other = other.select(*(F.col(k).alias(f"b_{k}") for k in keys))
+        same = F.col("id").eqNullSafe(F.col("b_id"))
+        for k in keys[1:]:
+            same &= F.col(k) == F.col(f"b_{k}")
+        return rows.join(other, same, how)
+
+    slots = matches.filter("pairs IS NOT NULL").select(*line, F.inline("pairs"))
     broken = slots.groupBy(*line, "of").agg(F.min("value").alias("low"), F.max("value").alias("high")).filter("low != high")
-    broken = broken.select(F.col("id").alias("b_id"), F.col("item").alias("b_item"), F.col("shift").alias("b_shift")).distinct()
-    same = F.col("id").eqNullSafe(F.col("b_id")) & (F.col("item") == F.col("b_item")) & (F.col("shift") == F.col("b_shift"))
-    good = matches.join(broken, same, "left_anti")
+    held = matches.filter("pairs IS NOT NULL").select(*line, "item_at", "pairs", F.inline("pairs"))
+    lost = apart(held, broken.select(*line, "of"), [*line, "of"], "left_semi").select(*line, "item_at", "pairs").distinct()
+    good = apart(matches, lost, [*line, "item_at", "pairs"], "left_anti")
 
     places = good.groupBy("id", "item").agg(F.sort_array(F.collect_set("item_at")).alias("places"), F.max("width").alias("width"))
     gained = F.transform("places", lambda p, k: F.least("width", F.coalesce(F.get("places", k + 1) - p, F.col("width"))))
