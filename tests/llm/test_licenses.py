@@ -52,6 +52,35 @@ def test_counts_gaps_and_clean_texts():
     assert found(" ".join(MIT.split()[:20])) == []
 
 
+@pytest.mark.parametrize(
+    "line, names",
+    [
+        ("Released under the BSD License.", ["BSD"]),
+        ("Released under the Apache License.", ["Apache"]),
+        ("Released under the Foo License.", []),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        ("Licensed under CC BY-NC 3.0.", []),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+        ("This work is licensed under the GNU Library General Public License, version 2.", []),
+        ("Licensed under the Apache License, Version 1.1.", ["Apache"]),
+        ("Licensed under the Apache License 2.0.", ["Apache-2.0"]),
+        ("(c) 2020 A. B. All rights reserved.", ["All rights reserved"]),
+    ],
+)
+def test_licences_keep_their_names(line, names):
+    assert [n for n, _ in found(f"Some words before. {line} And some after.")] == names
+
+
+def test_any_missing_fifth_of_the_words_is_found():
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+    scanner = licenses.Scanner((("Greek", " ".join(words)),), 0.8)
+    for gone in itertools.combinations(range(20), 4):
+        assert scanner.scan(" ".join(w for i, w in enumerate(words) if i not in gone))
+
+
 def test_rows(spark):
     line = "Licensed under CC BY-NC 4.0."
     rows = [(1, None, 0), (2, "", 0), (3, "word " * 200_000 + line, 0), (4, line, 0), (4, line, 0), (None, line, 0)]

@@ -11,6 +11,10 @@ occurrence of a key in the text, the stretch is as long as the template would re
 more. A match beyond ``least`` counts; occurrences inside an accepted match are not aligned again, the
 template's next occurrence is. Of matches that overlap, the template with more matched words stays.
 
+A match must hold each of its template's words that say which licence it is: numbers and the words of
+``NAMING``, and in short templates those that no other licence's template has. Between its first and last
+word no other word of ``RIVALS`` may stand, so that a licence without a template is not taken for one with.
+
 Words are runs of letters and digits, lower-cased. Null and empty texts have no notices. Texts of any
 length are scanned whole, row by row; repeated rows give repeated results, an empty table an empty
 result. Other columns are kept; an input column named like the result is replaced.
@@ -22,6 +26,8 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,17 +42,39 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("BSD", "Released under the BSD License."),
+    ("Apache", "Released under the Apache License."),
+    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
+    ("GPL", "Released under the GNU General Public License."),
+    *(
+        (name, line)
+        for kind, words in (("GPL", "GNU General Public License"), ("LGPL", "GNU Lesser General Public License"), ("AGPL", "GNU Affero General Public License"))
+        for version in {"GPL": ("2", "3"), "LGPL": ("2", "2.1", "3"), "AGPL": ("3",)}[kind]
+        for name, line in (
+            (f"{kind}-{version if '.' in version else version + '.0'}", f"This work is licensed under the {words}, version {version}."),
+            (kind, f"This program is free software: you can redistribute it and/or modify it under the terms of the {words} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."),
+        )
+    ),
+    *(
+        (f"CC-BY{short}-4.0", line)
+        for short, long in (("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))
+        for line in (f"Licensed under CC BY{short} 4.0.", f"This work is licensed under a Creative Commons Attribution{long} 4.0 International License.")
+    ),
+    ("All rights reserved", "All rights reserved."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Words that say which licence it is. RIVALS are rare enough to tell of another licence wherever they stand.
+RIVALS = frozenset(
+    "apache mit bsd isc gnu gpl lgpl agpl lesser library affero mozilla mpl eclipse epl artistic boost zlib cc nc nd sa "
+    "attribution noncommercial noderivatives noderivs sharealike unlicense unencumbered waived".split()
+)
+NAMING = RIVALS | frozenset(("general", "creative", "by"))
+SHORT = 12  # words of a template of which none may miss that no other licence's template has
+
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -101,17 +129,35 @@ class Scanner:
     """The templates, and where to look for each."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], least: float):
-        self.least = least
         self.templates = [(name, words_of(text)) for name, text in templates]
+        least = Fraction(str(least))
+        self.enough = [ceil(least * len(words)) for _, words in self.templates]
         spread = Counter(w for _, words in self.templates for w in set(words))
+        owners: dict[str, set[str]] = defaultdict(set)
+        for name, words in self.templates:
+            for w in words:
+                owners[w].add(name)
+        self.needed: list[set[str]] = []
         self.keys: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, (_, words) in enumerate(self.templates):
+            naming = RIVALS if len(words) > SHORT else NAMING
+            own = {w for w in words if len(words) <= SHORT and len(owners[w]) == 1}
+            self.needed.append(own | {w for w in words if w in naming or w.isdigit()})
             # More rare words than a match may miss, so that a match always holds one of them.
             rare = sorted(range(len(words)), key=lambda i: (spread[words[i]], -len(words[i]), i))
-            for i in rare[: int(len(words) * (1 - least)) + 1]:
+            for i in rare[: len(words) - self.enough[k] + 1]:
                 self.keys[words[i]].append((k, i))
         self.known = frozenset(self.keys)
 
+    def names(self, k: int, words: list[str], begin: int, matched: list[tuple[int, int]]) -> bool:
+        """Whether the match holds every word that names its licence, and none between that names another."""
+        template = self.templates[k][1]
+        if not self.needed[k] <= {template[j] for _, j in matched}:
+            return False
+        places = {i for i, _ in matched}
+        between = (i for i in range(matched[0][0], matched[-1][0]) if i not in places)
+        return not any(words[begin + i] in RIVALS - self.needed[k] for i in between)
+
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """License, coverage, first and last word, and matched words of every notice in the text."""
         words = words_of(text)
@@ -127,7 +173,7 @@ class Scanner:
                 slack = 2 + len(template) // 4
                 begin = max(done[k], place - at - slack)
                 matched = align(words[begin : place + len(template) - at + slack], template)
-                if len(matched) >= self.least * len(template):
+                if len(matched) >= self.enough[k] and self.names(k, words, begin, matched):
                     first, last = begin + matched[0][0], begin + matched[-1][0]
                     found.append((name, round(len(matched) / len(template), 4), first, last, len(matched)))
                     done[k] = last + 1
