@@ -42,6 +42,29 @@ def test_main_text(spark):
     assert html.extract(df.filter("i > 99"), "page").count() == 0
 
 
+PLAIN = "<p>" + "plain words of a paragraph " * 8 + "</p>"
+KEPT = ("plain words of a paragraph " * 8).strip()
+LIST = "<ul>" + "".join(f"<li><a href='/{i}'>More about {i}</a></li>" for i in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (article(f"<h1><a href='/'>A linked headline</a></h1>{PLAIN}"), f"A linked headline\n{KEPT}"),
+        (article(f"{PLAIN}<p><a href='/'>A paragraph that is one link and nothing else at all</a></p>{PLAIN}"),
+         f"{KEPT}\nA paragraph that is one link and nothing else at all\n{KEPT}"),
+        (article("<h1><a href='/'>Only this</a></h1>"), "Only this"),
+        (article(f"{PLAIN}{LIST}{PLAIN}"), f"{KEPT}\n{KEPT}"),
+        (PAGE % f"<div>{PLAIN}<h2><a href='/'>A linked headline</a></h2>{PLAIN}</div>", f"{KEPT}\nA linked headline\n{KEPT}"),
+        (PAGE % f"<div>{PLAIN}{LIST}{PLAIN}</div>", f"{KEPT}\n{KEPT}"),
+        (PAGE % f"<div><h1>A headline</h1>{PLAIN}<p>Some words that make twelve in all, no more and no less.</p><h2>Next part</h2>{PLAIN}</div>",
+         f"A headline\n{KEPT}\nSome words that make twelve in all, no more and no less.\nNext part\n{KEPT}"),
+    ],
+)
+def test_neighbours_tell_linked_headlines_from_link_lists(page, text):
+    assert html.main_text(page, html.trained()) == text
+
+
 def test_very_long_page(spark):
     page = article("".join(f"<p>paragraph {i}</p>" for i in range(50_000)))
     text = html.extract(spark.createDataFrame([(page,)], "page string"), "page").first().text

@@ -2,7 +2,7 @@
 
 A page is cut at block-level tags into a flat list of text blocks. A block is described by its word
 count and the share of its words inside links, by the same two numbers of the blocks before and behind
-it, and by what encloses it: an article, or an element that says by its tag, class, id or role that it is
+it (beside other text, blocks of an aside are no neighbours), and by what encloses it: an article, or an element that says by its tag, class, id or role that it is
 not part of the main text. A decision tree, grown from a small labelled table, keeps or drops the block.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
@@ -137,6 +137,9 @@ def described(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
     edge = np.zeros((1, 2))
     before = np.concatenate([edge, own[:-1, :2]])
     behind = np.concatenate([own[1:, :2], edge])
+    text, apart = own[:, 3] == 0, own[:, 3] == 1
+    before[1:][text[1:] & apart[:-1]] = 0
+    behind[:-1][text[:-1] & apart[1:]] = 0
     return np.concatenate([own[:, :2], before, behind, own[:, 2:]], axis=1)
 
 
@@ -168,6 +171,22 @@ LABELLED = (
         for behind in ((0, 0.0), (5, 0.0), (40, 0.0), (1, 1.0))
         for aside in (0, 1)
     ),
+    # mostly linked blocks are main text between plain blocks only, outside of an article between paragraphs only;
+    # others are main text in an article, as paragraphs, and as short lines beside a paragraph and not beside links;
+    # nothing in an aside is
+    *(
+        (
+            words, links, *before, *behind, article, aside,
+            0 if aside else int(plain and (article or min(before[0], behind[0]) >= 30) if links > 0.6 else article or words > 8 or (plain and max(before[0], behind[0]) > 8)),
+        )
+        for words in (1, 4, 8, 9, 12, 40, 70)
+        for links in (0.0, 0.5, 0.7, 1.0)
+        for before in ((0, 0.0), (3, 0.0), (8, 0.5), (9, 0.0), (25, 0.0), (30, 0.2), (90, 0.0), (2, 1.0), (10, 0.7), (40, 0.8))
+        for behind in ((0, 0.0), (4, 0.0), (8, 0.5), (9, 0.0), (25, 0.0), (30, 0.2), (90, 0.0), (3, 1.0), (12, 0.7), (40, 0.8))
+        for article in (0, 1)
+        for aside in (0, 1)
+        for plain in (max(before[1], behind[1]) <= 0.6,)
+    ),
     # pages without an article element: paragraphs by length and neighbours
     (80, 0.0, 6, 0.0, 70, 0.0, 0, 0, 1), (45, 0.1, 60, 0.0, 50, 0.1, 0, 0, 1), (120, 0.2, 3, 1.0, 4, 1.0, 0, 0, 1),
     (25, 0.0, 40, 0.0, 30, 0.0, 0, 0, 1), (30, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1), (60, 0.0, 80, 0.0, 1, 1.0, 0, 0, 1),
