@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, language, licenses, minhash, quality, sentencepiece, suffix, toxicity, warc
+from tidemark.llm import (
+    decontaminate,
+    embedding_dedup,
+    hard_negatives,
+    html,
+    language,
+    licenses,
+    minhash,
+    periodic,
+    quality,
+    sentencepiece,
+    suffix,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import id_part, read_table
 from tidemark.session import work_dir
 
@@ -113,6 +127,53 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; some labels are shifted, components are whole 256ths."""
+    rows = hard_negatives.usable(read_table(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding")
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("v", lambda x: F.floor(F.lit(256.0) * x).cast("double"))
+    index = hard_negatives.build(rows.select("id", label.alias("label"), whole.alias("v")))
+    return hard_negatives.mine(index, F.col("id") % 100 == 0, positives=5, negatives=5, percent=80)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest periodic run of every document, and digests of all runs and of the text without their repeats."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.select("doc_id", words.alias("words"))
+    # Every tenth document, by the hash of its id, repeats a stretch of its words to the end.
+    n, h = F.size("words"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    begin = g % n
+    period = 1 + F.floor((n - begin) / (3 + g % 8))
+    source = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), n - F.lit(1).cast("bigint")),
+        lambda i: F.get("words", F.when(i < begin, i).otherwise(begin + (i - begin) % period).cast("int")),
+    )
+    docs = docs.withColumn("words", F.when((h % 10 == 0) & (n > 0), source).otherwise(F.col("words")))
+    found = periodic.collapse_runs(docs, "words")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("(1000 * longest.length) div (-longest.period)").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under a cosine of 0.95."""
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.near_duplicates(rows, "vec_id", "embedding", cosine=0.95).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -124,6 +185,9 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 _UNITS = "|".join(decontaminate.UNITS)
@@ -202,4 +266,40 @@ ORACLE = {
             CASE WHEN page_id > first THEN first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    "op11_hard_negatives": """
+        WITH r AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT a.id AS anchor, r.id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM r a JOIN r ON a.id <> r.id WHERE a.id % 100 = 0),
+        p AS (
+            SELECT anchor, id AS positive, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+        SELECT anchor AS anchor_id, positive AS positive_id,
+            (row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, id))::INTEGER AS rank,
+            id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, id) <= 5
+    """,
+    "op13_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach AS (
+            SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+        n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+        low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+            vec_id <= coalesce(b, vec_id) AS kept
+        FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN low ON low.a = vec_id
+    """,
 }
