@@ -66,6 +66,17 @@ def parse_cell(text: Column, target: T.DataType) -> Column:
     return text.try_cast(target)
 
 
+def is_cut(text: Column, scale: int) -> Column:
+    """Has a number's text digits behind those that ``scale`` keeps? Exponents move the point."""
+    exponent = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
+    fraction = F.regexp_replace(F.regexp_extract(text, r"\.(\d+)", 1), "0+$", "")
+    whole = F.regexp_extract(text, r"^-?(\d+)", 1)
+    zeros = F.length(F.regexp_extract(whole, "(0*)$", 1))
+    # Places behind the point: of a fraction all its digits, of a whole number none or, with an exponent, less.
+    places = F.when(F.length(fraction) > 0, F.length(fraction)).when(F.coalesce(whole.rlike("^0*$"), F.lit(True)), -400).otherwise(-zeros) - exponent
+    return F.coalesce(places > scale, F.lit(False))
+
+
 def parse_type(text: str) -> T.DataType:
     """The Spark type a type text names."""
     return T.DataType.fromDDL(re.sub(r"\s+", " ", text.strip()))

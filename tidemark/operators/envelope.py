@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,11 @@ UNREADABLE = ("empty", "bad_json", "unknown_key", "bad_number")
 
 FIELDS = ("scn", "tms", "xid", "op", "schema", "row", "rid", "before", "after", "sql")
 
+EXACT = ("before_exact", "after_exact")
+
+
 def parse_changes(
-    messages: DataFrame, *, on_bad: str = "quarantine", strict_ops: bool = False
+    messages: DataFrame, *, on_bad: str = "quarantine", strict_ops: bool = False, exact: bool = False
 ) -> DataFrame:
     """Read change messages from the ``value`` column; other columns are passed through.
 
@@ -28,10 +33,15 @@ def parse_changes(
 
     ``strict_ops`` also rejects operation codes other than c, u, d and ddl. Parsing is narrow: no
     shuffle, and the same on batch and streaming frames.
+
+    ``before`` and ``after`` have numbers in double form, as row ids need them. ``exact`` adds the images as
+    ``before_exact`` and ``after_exact`` with every digit of numbers of up to 38; the keys there are sorted, and of a
+    message that repeats a key both are null.
     """
-    read = _read(messages, strict_ops)
+    read = _read(messages, strict_ops, exact)
     reason = F.col("reason")
-    columns = [F.col(c) for c in (*_passed(messages), *FIELDS)]
+    fields = (*FIELDS, *EXACT) if exact else FIELDS
+    columns = [F.col(c) for c in (*_passed(messages), *fields)]
     if on_bad == "flag":
         return rows.emit(read, [*columns, reason, F.col("value")])
     if on_bad == "quarantine":
@@ -40,7 +50,7 @@ def parse_changes(
         stop = F.raise_error(F.concat(F.lit("bad change message: "), reason)).cast("boolean")
         return rows.emit(read, columns, F.when(reason.isNull(), True).otherwise(stop))
     if on_bad == "dummy":
-        return _with_dummies(read, _passed(messages))
+        return _with_dummies(read, _passed(messages), fields)
     raise ValueError(f"unknown on_bad: {on_bad}")
 
 
@@ -59,10 +69,12 @@ def _passed(messages: DataFrame) -> list[str]:
     return [c for c in messages.columns if c not in ("key", "value", "scn", "seq")]
 
 
-def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
+def _read(messages: DataFrame, strict_ops: bool, exact: bool = False) -> DataFrame:
     """All fields as columns, with ``reason``; every level of the text is parsed once."""
     get = jsontext.last_value
     kept = [*_passed(messages), "value"]
+    # The variant reader keeps numbers of up to 38 digits as they are, where the text reader goes through a double.
+    numbers = f"{get(jsontext.as_map('value', 'variant'), 'payload')} as _exact"
     return (
         messages.selectExpr(*kept, f"{jsontext.as_map('value')} as _top")
         .selectExpr("*", f"{get('_top', 'payload')} as _payload_text")
@@ -102,6 +114,10 @@ def _read(messages: DataFrame, strict_ops: bool) -> DataFrame:
             "after",
             "sql",
             f"{_reason(strict_ops)} as reason",
+            *([numbers] if exact else []),
+        )
+        .selectExpr(
+            "*", *([f"to_json(try_variant_get(_exact, '$.{c.removesuffix('_exact')}', 'variant')) as {c}" for c in EXACT] if exact else [])
         )
     )
 
@@ -162,7 +178,7 @@ def _reason(strict_ops: bool) -> str:
     END"""
 
 
-def _with_dummies(read: DataFrame, passed: list[str]) -> DataFrame:
+def _with_dummies(read: DataFrame, passed: list[str], names: Sequence[str]) -> DataFrame:
     is_dummy = F.coalesce(F.col("reason").isin(*UNREADABLE), F.lit(False))
     nothing = F.lit(None).cast("string")
     owner, table = F.lit(M.DUMMY_OWNER), F.lit(M.DUMMY_TABLE)
@@ -177,8 +193,10 @@ def _with_dummies(read: DataFrame, passed: list[str]) -> DataFrame:
         "before": nothing,
         "after": F.lit(M.DUMMY_IMAGE),
         "sql": nothing,
+        "before_exact": nothing,
+        "after_exact": F.lit(M.DUMMY_IMAGE),
     }
-    fields = [F.when(is_dummy, stand_in[c]).otherwise(F.col(c)).alias(c) for c in FIELDS]
+    fields = [F.when(is_dummy, stand_in[c]).otherwise(F.col(c)).alias(c) for c in names]
     # Stand-ins never get a row id: that is how the null-key drop later removes them.
     columns = [*[F.col(c) for c in passed], *fields, is_dummy.alias("is_dummy")]
     return rows.emit(read, columns, F.col("reason").isNull() | is_dummy)

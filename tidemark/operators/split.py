@@ -47,19 +47,31 @@ def split_updates(changes: DataFrame, *, order: str = "delete_first") -> DataFra
     return changes.select(*kept, F.inline(rows))
 
 
-def target_value() -> Column:
+def exact_image(image: str) -> Column:
+    """An image whose numbers have all their digits, with the row id that the image in double form has; else that image."""
+    exact = F.col(f"{image}_exact")
+    row_id = F.get_json_object(image, f"$.{ROW_ID}")
+    has_id = F.array_contains(F.json_object_keys(exact), ROW_ID)
+    with_id = F.concat(F.lit(f'{{"{ROW_ID}":'), F.to_json(row_id.cast("variant")), F.lit(","), F.substring(exact, F.lit(2), F.length(exact)))
+    with_id = F.when(exact == "{}", F.col(image)).otherwise(with_id)
+    return F.when(exact.isNull(), F.col(image)).when(has_id | row_id.isNull(), exact).otherwise(with_id)
+
+
+def target_value(exact: bool = False) -> Column:
     """Message text with the fields in their fixed order, absent ones as null.
 
-    Images are spliced in as they are, so their key order and number spelling survive.
+    Images are spliced in as they are, so their key order and number spelling survive; with ``exact``,
+    those that have all digits.
     """
+    before, after = (exact_image(c) if exact else F.col(c) for c in ("before", "after"))
     keep_nulls = {"ignoreNullFields": "false"}
     head = F.to_json(F.struct("op", "schema", "row", "rid"), keep_nulls)
     return F.concat(
         F.substring(head, F.lit(1), F.length(head) - 1),
         F.lit(',"before":'),
-        F.coalesce("before", F.lit("null")),
+        F.coalesce(F.when(F.col("before").isNotNull(), before), F.lit("null")),
         F.lit(',"after":'),
-        F.coalesce("after", F.lit("null")),
+        F.coalesce(F.when(F.col("after").isNotNull(), after), F.lit("null")),
         F.lit(',"sql":'),
         F.expr(jsontext.quoted("sql")),
         F.lit("}"),
@@ -67,32 +79,38 @@ def target_value() -> Column:
 
 
 def to_messages(split: DataFrame, topic: Column) -> DataFrame:
-    """Split changes as outgoing messages, keyed by row id so that a row stays in one partition."""
+    """Split changes as outgoing messages, keyed by row id so that a row stays in one partition.
+
+    Changes that were read with exact images send those.
+    """
     columns = set(split.columns)
     pos = F.col("pos") if "pos" in columns else F.lit(0).cast("bigint")
     return split.select(
         topic.alias("topic"),
         F.col(ROW_ID).alias("key"),
-        target_value().alias("value"),
+        target_value("after_exact" in columns).alias("value"),
         "scn",
         pos.alias("pos"),
         "seq",
     )
 
 
-def decode_changelog(messages: DataFrame, *, on_bad: str = "fail") -> DataFrame:
+def decode_changelog(messages: DataFrame, *, on_bad: str = "fail", exact: bool = False) -> DataFrame:
     """Read outgoing messages back as row changes: ``+I``, ``-U``, ``+U`` or ``-D`` with an image.
 
     ``c`` and ``r`` insert, ``d`` deletes, ``u`` gives both sides. A message with another operation
     or without the image it needs stops the job; with ``on_bad="skip"`` it is left out, with
-    ``on_bad="keep"`` it is a row without kind whose image is the whole text.
+    ``on_bad="keep"`` it is a row without kind whose image is the whole text. With ``exact`` the numbers of an
+    image keep their digits and its keys are sorted; else numbers have double form.
     """
     if on_bad not in ("fail", "skip", "keep"):
         raise ValueError(f"unknown on_bad: {on_bad}")
-    payload = F.from_json("value", _PAYLOAD, jsontext.STRICT)
+    images = ("before", "after")
+    kinds = _PAYLOAD.replace("before string, after string", "before variant, after variant") if exact else _PAYLOAD
+    payload = F.from_json("value", kinds, jsontext.STRICT)
     kept = [c for c in messages.columns if c not in ("value", "seq")]
     seq = F.col("seq") if "seq" in messages.columns else F.lit(0)
-    p = lambda name: F.col(f"_p.{name}")
+    p = lambda name: F.to_json(_present(f"_p.{name}")) if exact and name in images else F.col(f"_p.{name}")
 
     def row(kind: str, step: int, image: Column) -> Column:
         return F.struct(
@@ -122,6 +140,11 @@ def decode_changelog(messages: DataFrame, *, on_bad: str = "fail") -> DataFrame:
     return parsed.select(*kept, p("schema").alias("schema"), F.inline(rows))
 
 
+def _present(image: str) -> Column:
+    """A variant column, a variant that holds null as null."""
+    return F.when(~F.coalesce(F.is_variant_null(image), F.lit(True)), F.col(image))
+
+
 _PAYLOAD = (
     "op string, schema struct<owner:string,table:string>, row string, rid string, "
     "before string, after string, sql string"

@@ -29,8 +29,10 @@ _CHANGE_FIELDS = T.StructType(
         T.StructField("pos", T.LongType()),
         T.StructField("seq", T.IntegerType()),
         T.StructField("bad_cells", T.IntegerType()),
+        T.StructField("lossy_cells", T.IntegerType()),
     ]
 )
+_COUNTERS = ("bad_cells", "lossy_cells")
 _PLACE = ("bucket", "run", "batch")
 
 
@@ -70,10 +72,10 @@ class KeyedTable:
         """Add a batch of typed changes; the same ``run`` and ``batch`` again replaces it.
 
         Only the last change per key of the batch is kept, cut down before the shuffle. A delete
-        needs no more than its key. ``bad_cells``, if there, is kept with the row. Rows without a key
-        must be gone before.
+        needs no more than its key. ``bad_cells`` and ``lossy_cells``, if there, are kept with the row.
+        Rows without a key must be gone before.
         """
-        latest = keyed.latest_changes(_with_bad_cells(changes))
+        latest = keyed.latest_changes(_with_counters(changes))
         tombstone = F.col("op") == M.DELETE
         columns = [
             F.when(~tombstone, F.col(f.name)).alias(f.name) if f.name != ROW_ID else F.col(ROW_ID)
@@ -160,8 +162,8 @@ class KeyedTable:
         return KeyedTable(target, self.schema, self.buckets, self.content_ids)
 
 
-def _with_bad_cells(changes: DataFrame) -> DataFrame:
-    return changes if "bad_cells" in changes.columns else changes.withColumn("bad_cells", F.lit(0))
+def _with_counters(changes: DataFrame) -> DataFrame:
+    return changes.withColumns({c: F.lit(0) for c in _COUNTERS if c not in changes.columns})
 
 
 def _ordered(placed: DataFrame) -> DataFrame:

@@ -29,9 +29,10 @@ def row_changes(
     on_bad: str = "quarantine",
     split_order: str = "delete_first",
     strict_ops: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Messages to row changes: read, identify, drop schema changes, split updates. No shuffle."""
-    changes = envelope.parse_changes(messages, on_bad=on_bad, strict_ops=strict_ops)
+    changes = envelope.parse_changes(messages, on_bad=on_bad, strict_ops=strict_ops, exact=exact)
     return split.split_updates(identity.add_row_ids(envelope.drop_ddl(changes)), order=split_order)
 
 
@@ -54,20 +55,23 @@ def start_normaliser(
     on_bad: str = "quarantine",
     split_order: str = "delete_first",
     strict_ops: bool = False,
+    exact: bool = False,
 ) -> StreamingQuery:
     """Normalise a stream of many topics in one query. An empty topic list means all.
 
+    With ``exact`` the images that go out have all digits of their numbers; ids are the same either way.
+
     Messages that cannot be used go to the ``quarantine`` folder, a folder per batch, with the cause:
     both outputs come from one reading of the batch. Without such a folder, choose another ``on_bad``.
     A batch that is run again writes its messages again, at least once.
     """
     chosen = source.filter(F.col("topic").isin(*topics)) if topics else source
     if on_bad != "quarantine":
-        rows = normalise(chosen, on_bad=on_bad, split_order=split_order, strict_ops=strict_ops)
+        rows = normalise(chosen, on_bad=on_bad, split_order=split_order, strict_ops=strict_ops, exact=exact)
         return msg.stream_messages(rows, fmt, checkpoint, path=path, options=options, trigger=trigger)
     if quarantine is None:
         raise ValueError("name a folder for messages that cannot be used, or choose on_bad")
-    flagged = envelope.parse_changes(chosen, on_bad="flag", strict_ops=strict_ops)
+    flagged = envelope.parse_changes(chosen, on_bad="flag", strict_ops=strict_ops, exact=exact)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,10 +118,11 @@ def row_key() -> Column:
     return F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
 
 
-def table_changes(decoded: DataFrame, schema: T.StructType) -> DataFrame:
+def table_changes(decoded: DataFrame, schema: T.StructType, *, exact: bool = False) -> DataFrame:
     """Decoded row changes of one table as typed changes, without those that have no key.
 
-    ``bad_cells`` counts the cells of a row that did not fit. A change without its place in the order stops
+    ``exact`` says that the images were decoded with all digits. ``bad_cells`` counts the cells of a row that
+    did not fit, ``lossy_cells`` those that lost digits. A change without its place in the order stops
     the job: the last of two changes could not be told.
     """
     ops = F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
@@ -126,7 +131,7 @@ def table_changes(decoded: DataFrame, schema: T.StructType) -> DataFrame:
     keyed_rows = keyed_rows.withColumn("image", F.when(F.col("op") == M.INSERT, F.col("image")))
     lost = {c: F.raise_error(F.lit(f"a change without {c}: this source does not keep the order")) for c in M.ORDER}
     ordered = keyed_rows.withColumns({c: F.coalesce(F.col(c), lost[c].cast(keyed_rows.schema[c].dataType)) for c in M.ORDER})
-    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER))
+    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER), exact="image" if exact else None)
 
 
 def start_table_sync(
@@ -140,6 +145,7 @@ def start_table_sync(
     on_bad: str = "fail",
     buckets: int = 8,
     writers: int = 4,
+    exact: bool = False,
 ) -> StreamingQuery:
     """Keep the keyed tables of all plans in step with one stream of target messages.
 
@@ -152,7 +158,7 @@ def start_table_sync(
     """
     topics = [p.target_topic for p in plans]
     mine = source.filter(F.col("topic").isin(*topics))
-    decoded = split.decode_changelog(mine, on_bad=on_bad)
+    decoded = split.decode_changelog(mine, on_bad=on_bad, exact=exact)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         held = batch.withColumn("_usable", F.col("kind").isNotNull() & row_key().isNotNull())
@@ -161,7 +167,7 @@ def start_table_sync(
         def write(plan: TablePlan) -> None:
             part = held.filter(F.col("_usable") & (F.col("topic") == plan.target_topic))
             table = KeyedTable(f"{warehouse}/{plan.keyed_table}", plan.schema, buckets)
-            table.append(table_changes(part, plan.schema), run=run, batch=batch_id)
+            table.append(table_changes(part, plan.schema, exact=exact), run=run, batch=batch_id)
 
         try:
             present = {r.topic for r in held.select("topic").distinct().collect()}

@@ -130,6 +130,27 @@ def orders_own_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One insert per order with numbers that no double holds: 38 digits, 18 before and 2 behind the point, 9 and 18,
+    one with more places than its column has, and one of 45 digits."""
+    df = table(spark, sf_dir, "orders")
+    key, customer_key = (F.lpad(F.col(c).cast("string"), 9, d) for c, d in (("o_orderkey", "7"), ("o_custkey", "3")))
+    big = F.concat(F.lit("1"), key, customer_key, key, customer_key, F.lit("1"))
+    numbers = {
+        "O_ORDERKEY": F.col("o_orderkey").cast("string"),
+        "BIG": big,
+        "MONEY": F.concat(key, customer_key, F.lit("."), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0")),
+        "FINE": F.concat(F.lit("-"), key, F.lit("."), customer_key, F.lit("123456789")),
+        "CUT": F.concat(F.lit("5"), customer_key, F.lit("."), key),
+        "HUGE": F.concat(big, F.lit("9999999")),
+    }
+    members = [F.concat(F.lit(f'{"," if i else ""}"{name}":'), text) for i, (name, text) in enumerate(numbers.items())]
+    image = F.concat(F.lit("{"), *members, F.lit("}"))
+    scn = F.col("o_orderkey") * 10
+    message = F.replace(envelope("c", OWNER, "NUMBERS", scn, after=F.lit("@")), F.lit('"@"'), image)
+    return _messages(df, _at(scn, message))
+
+
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of CUSTOMER: all inserted, BUILDING moved to GARDEN, AUTOMOBILE deleted."""
     df = table(spark, sf_dir, "customer")

@@ -254,6 +254,11 @@ SELECT scn, seq, o_orderkey::varchar AS o_orderkey,
   CASE WHEN o_totalprice < 9999.995 THEN o_totalprice::decimal(6,2)::varchar END AS o_totalprice,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, NULL::double AS o_orderstatus, o_orderpriority,
   1 + CASE WHEN o_totalprice < 9999.995 THEN 0 ELSE 1 END AS bad_cells FROM sp WHERE sop = 'c'""",
+    "typed_exact_numbers": """WITH o AS (
+  SELECT o_orderkey, lpad(o_orderkey::varchar, 9, '7') AS k, lpad(o_custkey::varchar, 9, '3') AS c FROM orders)
+SELECT o_orderkey, '1' || k || c || k || c || '1' AS big, k || c || '.' || lpad((o_orderkey % 100)::varchar, 2, '0') AS money,
+  '-' || k || '.' || c || '123456789' AS fine, ('5' || c || '.' || k)::decimal(30,9)::decimal(15,2)::varchar AS cut,
+  NULL::varchar AS huge, 1 AS bad_cells, 1 AS lossy_cells FROM o""",
     "batch_scan": _orders_state(),
     "current_bucketed": _orders_state(),
     "filtered_scan": _orders_state(where="o_orderpriority = '2-HIGH'"),

@@ -205,6 +205,19 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_exact_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that no double holds, from messages through target messages to typed columns."""
+    schema = _table(
+        O_ORDERKEY=_LONG, BIG=T.DecimalType(38, 0), MONEY=T.DecimalType(20, 2), FINE=T.DecimalType(38, 18),
+        CUT=T.DecimalType(15, 2), HUGE=T.DecimalType(38, 0),
+    )
+    feed = feeds.as_topic(feeds.orders_numbers(spark, sf_dir), "orcl-dds-numbers")
+    decoded = split.decode_changelog(jobs.normalise(feed, exact=True), exact=True)
+    rows = jobs.table_changes(decoded, schema, exact=True)
+    texts = [F.col(c).cast("string").alias(c.lower()) for c in ("BIG", "MONEY", "FINE", "CUT", "HUGE")]
+    return rows.select(F.col("O_ORDERKEY").alias("o_orderkey"), *texts, "bad_cells", "lossy_cells")
+
+
 _IN_TWO = ("op = 'c'", "op = 'd'")
 
 
@@ -617,6 +630,7 @@ REGISTERED = (
     row_md5_insert, row_md5_update, row_md5_delete, row_md5_nested, op_passthrough, split_rows,
     target_json, changelog_decode, changelog_decode_unsplit,
     current_state, current_state_create_first, lineitem_state, null_key_drop, typed_rows,
+    typed_exact_numbers,
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried,
     stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
