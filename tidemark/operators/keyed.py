@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark import model as M
@@ -34,6 +35,52 @@ def latest_changes(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+COPIES = "copies"
+#: Equal rows that one task makes out of a count at once.
+COPIES_PER_TASK = 10_000
+
+
+def copies_as_rows(counted: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its count says, not at all below one.
+
+    A row that occurs very often is cut into shares that go to different tasks, so none makes more than
+    ``COPIES_PER_TASK`` of it.
+    """
+    share = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(copies) - 1) / COPIES_PER_TASK)))
+    shares = counted.filter(F.col(copies) > 0).withColumn("_share", share)
+    size = F.least(F.lit(COPIES_PER_TASK).cast("bigint"), F.col(copies) - F.col("_share") * COPIES_PER_TASK)
+    spread = shares.withColumn("_size", size).hint("rebalance")
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))).alias("_copy")
+    return spread.select(*[c for c in counted.columns if c != copies], each).drop("_copy")
+
+
+def current_multiset(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows that exist now, equal rows as often as they were inserted and not deleted: an id's inserts less its deletes."""
+    return copies_as_rows(signed_counts(changes, columns), COPIES)
+
+
+def signed_counts(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per id: ``columns`` of an insert, or null if there is none, and the inserts less the deletes."""
+    deleted = F.col("op") == M.DELETE
+    once = changes.dropDuplicates([ROW_ID, *ORDER])
+    image = F.when(~deleted, F.struct(*columns))
+    sign = F.when(deleted, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
+    rows = once.select(ROW_ID, image.alias("_row"), sign.alias(COPIES))
+    return _summed(rows).select(ROW_ID, "_row.*", COPIES)
+
+
+def merged_counts(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per id out of the signed counts of several batches."""
+    known = functools.reduce(Column.__or__, (F.col(c).isNotNull() for c in columns))
+    rows = counted.select(ROW_ID, F.when(known, F.struct(*columns)).alias("_row"), COPIES)
+    return _summed(rows).select(ROW_ID, "_row.*", COPIES)
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    # Rows of one id are equal, so any insert's columns will do.
+    return rows.groupBy(ROW_ID).agg(F.first("_row", ignorenulls=True).alias("_row"), F.sum(COPIES).alias(COPIES))
+
+
 def current_rows(
     changes: DataFrame, *, key: Sequence[str] = (ROW_ID,), order: Sequence[str] = ORDER
 ) -> DataFrame:

@@ -218,6 +218,29 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of LINEITEM where each line is loaded as often as its tax's last digit says, once to three times;
+    one copy of every returned line is closed, one of every accepted line is deleted."""
+    df = table(spark, sf_dir, "lineitem")
+    flag = F.col("l_returnflag")
+    day = {"l_shipdate": _day_text("l_shipdate")}
+    row, closed = row_image(df, **day), row_image(df, **day, l_linestatus=F.lit("X"))
+    pos = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10
+    times = F.round(F.col("l_tax") * 100).cast("bigint") % 3
+
+    def change(op: str, step: int, **images: Column) -> Column:
+        return _at(pos + step, envelope(op, OWNER, "LINEITEM", F.lit(step).cast("bigint"), **images))
+
+    return _messages(
+        df,
+        change("c", 1, after=row),
+        F.when(times > 0, change("c", 2, after=row)),
+        F.when(times > 1, change("c", 3, after=row)),
+        F.when(flag == "R", change("u", 4, before=row, after=closed)),
+        F.when(flag == "A", change("d", 5, before=row)),
+    )
+
+
 def as_topic(feed: DataFrame, topic: str) -> DataFrame:
     """A feed as messages of a topic."""
     return feed.select(

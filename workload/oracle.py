@@ -207,7 +207,19 @@ last AS (SELECT * FROM sp {_LATEST})
 SELECT id AS auto_md5_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
   l_tax, l_returnflag, st AS l_linestatus, l_shipdate::date::varchar AS l_shipdate FROM last WHERE op = 'c'"""
 
+# The same lines as often as the feed loads them: one of the returned is closed, one of the accepted goes.
+_LINEITEM_MULTISET = f"""WITH li AS (
+  SELECT *, {_hash(_LINEITEM, linestatus="l_linestatus")} AS row_id, {_hash(_LINEITEM, linestatus="'X'")} AS x_id,
+    1 + round(l_tax * 100)::bigint % 3 AS times FROM lineitem),
+n AS (
+  SELECT *, row_id AS id, l_linestatus AS st, times - CASE WHEN l_returnflag IN ('R', 'A') THEN 1 ELSE 0 END AS copies FROM li
+  UNION ALL SELECT *, x_id, 'X', 1 FROM li WHERE l_returnflag = 'R')
+SELECT id AS auto_md5_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+  l_tax, l_returnflag, st AS l_linestatus, l_shipdate::date::varchar AS l_shipdate
+FROM (SELECT *, unnest(range(copies)) FROM n WHERE copies > 0)"""
+
 ORACLE: dict[str, str] = {
+    "current_multiset": _LINEITEM_MULTISET,
     "envelope_parse": f"""WITH {_O}, {_CH}
 SELECT scn, d AS tms, '1.2.3' AS xid, op, 'DDS' AS owner, 'ORDERS' AS table_name, 1 AS row_no, r AS rid,
   bimg AS before, aimg AS after,

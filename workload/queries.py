@@ -16,6 +16,7 @@ from tidemark.model import ROW_ID
 from tidemark.operators import envelope, identity, keyed, routing, split, typed
 from tidemark.plans import tables as plans
 from tidemark.plans.keyed_table import KeyedTable, write_layout
+from tidemark.plans.multiset_table import MultisetTable
 from tidemark.session import work_dir
 from tidemark.sources import messages as msg
 from tidemark.sources import metadata
@@ -183,6 +184,21 @@ def lineitem_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lower(rows.withColumn("L_SHIPDATE", F.col("L_SHIPDATE").cast("string")))
 
 
+def current_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LINEITEM with its equal rows as often as the source has them: applied in two batches, merged, and read."""
+    root = work_dir(spark, "multiset")
+    changes = _typed_changes(feeds.lineitem_twice(spark, sf_dir), LINEITEM_SCHEMA)
+    changes.write.parquet(f"{root}/changes")  # read and typed once for all batches
+    changes = spark.read.schema(changes.schema).parquet(f"{root}/changes")
+    table = MultisetTable(f"{root}/table", LINEITEM_SCHEMA)
+    # Deletes before the inserts: sums do not depend on the order.
+    table.append(changes.filter("op = 'd'"), run="load", batch=0)
+    table.append(changes.filter("op = 'c'"), run="load", batch=1)
+    table.append(changes.filter("op = 'c'"), run="load", batch=1)
+    rows = table.rewrite(spark, f"{table.path}-merged").current(spark)
+    return _lower(rows.withColumn("L_SHIPDATE", F.col("L_SHIPDATE").cast("string")))
+
+
 def null_key_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = jobs.row_changes(feeds.orders(spark, sf_dir, damaged=True), on_bad="dummy")
     kept = keyed.drop_null_keys(rows)
@@ -630,7 +646,7 @@ REGISTERED = (
     row_md5_insert, row_md5_update, row_md5_delete, row_md5_nested, op_passthrough, split_rows,
     target_json, changelog_decode, changelog_decode_unsplit,
     current_state, current_state_create_first, lineitem_state, null_key_drop, typed_rows,
-    typed_exact_numbers,
+    typed_exact_numbers, current_multiset,
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried,
     stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
