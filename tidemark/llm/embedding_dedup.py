@@ -93,9 +93,9 @@ def _split(dims: int, cell_rows: int, most_cells: int, slack: float):
 
 
 def _cells(nodes: DataFrame, dims: int, slack: float, cell_rows: int, sample_rows: int, most_cells: int) -> DataFrame:
-    """Every node in each cell that it belongs to, with the column ``cell``."""
+    """Every node in each cell that it belongs to; ``nodes`` have a ``cell`` to begin with."""
     fit, deal = _split(dims, cell_rows, most_cells, slack)
-    open_, done, level = nodes.withColumn("cell", F.lit("0")), [], 0
+    open_, done, level = nodes, [], 0
     sizes = open_.groupBy("cell").agg(F.count("*").alias("total")).withColumn("crowded", F.col("total") > cell_rows)
     while True:
         sizes = stored(sizes, "cells")
@@ -220,7 +220,7 @@ def near_duplicates(
     dims = max(1, rows.agg(F.max(F.size("v"))).first()[0] or 0)
     used = stored(bounded_batches(rows).mapInArrow(_units(dims), "node binary, id bigint, unit binary"), "vectors")
     nodes = used.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("unit").alias("unit"))
-    nodes = stored(nodes, "nodes")
+    nodes = stored(nodes.withColumn("cell", F.lit("0")), "nodes")
     slack = math.sqrt(2 - 2 * cosine) / 2 * (min(1.0, spread / math.sqrt(dims)) if reach is None else reach)
     placed = _cells(nodes, dims, slack, cell_rows, sample_rows, most_cells)
     placed = placed.groupBy(*NODE).agg(F.sort_array(F.collect_list("cell")).alias("cells"))
