@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.model import ORDER, ROW_ID
+from tidemark.streaming import net
+
+DECODED = "key string, kind string, image string, scn bigint, pos bigint, seq int"
+
+
+def batches(seed, n=5, size=400, keys=40):
+    """Changes in any order, some of them late or sent again; a third belong to one key."""
+    rng, out, sent = random.Random(seed), [], []
+    order = list(range(n * size))
+    for i in range(0, len(order) - 50, 50):  # shuffled over a batch's border
+        part = order[i : i + 100]
+        rng.shuffle(part)
+        order[i : i + 100] = part
+    for b in range(n):
+        rows = []
+        for at in order[b * size : (b + 1) * size]:
+            key = "hot" if rng.random() < 0.33 else f"k{rng.randrange(keys)}"
+            gone = rng.random() < 0.3
+            rows.append((key, "-D" if gone else "+U", None if gone else f'{{"v":{rng.randrange(3)}}}', at // 7, at, 0))
+        rows += rng.sample(sent, min(len(sent), 30))
+        sent += rows
+        out.append(rows)
+    return out
+
+
+def by_hand(parts):
+    """Per batch the net rows, from the views before and after it."""
+    last, out = {}, []
+    for rows in parts:
+        before, fresh, late = dict(last), {}, []
+        for key, _, image, *place in rows:
+            place = tuple(place)
+            known = before.get(key)
+            if known and place <= known[0]:
+                if place < known[0]:
+                    late.append((key, "late", image, *place))
+            elif key not in fresh or place > fresh[key][0]:
+                fresh[key] = (place, image)
+        last |= fresh
+        net_rows = late
+        for key, (place, image) in fresh.items():
+            was = before.get(key, (None, None))[1]
+            if was == image:
+                continue
+            if was is not None:
+                net_rows.append((key, "-D" if image is None else "-U", was, *place))
+            if image is not None:
+                net_rows.append((key, "+I" if was is None else "+U", image, *place))
+        out.append(net_rows)
+    return out, {k: v[1] for k, v in last.items() if v[1] is not None}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_the_difference_of_views(spark, folder, seed):
+    parts = batches(seed)
+    want, view = by_hand(parts)
+    setting = spark.conf.get(net._NO_DATA, "true")
+    for rows in parts:
+        spark.createDataFrame(rows, DECODED).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(DECODED).parquet(f"{folder}/in")
+        net.start_net_changes(source, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    found = spark.read.schema(net.NET).parquet(f"{folder}/out")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, found.collect()), key=key) == sorted((r for b in want for r in b), key=key)
+    # Applied in order, the rows are the view.
+    now = found.filter("kind <> 'late'").groupBy(ROW_ID).agg(
+        F.max_by(F.when(F.col("kind").startswith("+"), F.col("image")), F.struct(*ORDER, F.col("kind").startswith("+"))).alias("image")
+    )
+    assert {r[0]: r.image for r in now.filter("image IS NOT NULL").collect()} == view
+    assert spark.conf.get(net._NO_DATA, "true") == setting
+
+
+def test_keys_of_images_and_rows_without_a_key(spark, folder):
+    rows = [(None, "+I", f'{{"{ROW_ID}":"a","v":1}}', 1, 1, 0), (None, "+I", '{"v":1}', 2, 2, 0), ("b", "-D", "{}", 3, 3, 0)]
+    spark.createDataFrame(rows, DECODED).write.parquet(f"{folder}/in")
+    source = spark.readStream.schema(DECODED).parquet(f"{folder}/in")
+    net.start_net_changes(source, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    assert [(r[0], r.kind) for r in spark.read.schema(net.NET).parquet(f"{folder}/out").collect()] == [("a", "+I")]
+
+
+def test_deletes_are_forgotten_in_time(spark, folder):
+    """Whoever is gone long enough is new again, whatever the order says."""
+    import time
+
+    for i, (kind, scn) in enumerate([("+I", 5), ("-D", 9), ("+I", 20), ("+I", 3)]):
+        key = "other" if i == 2 else "a"
+        time.sleep(0.1)
+        spark.createDataFrame([(key, kind, "{}", scn, scn, 0)], DECODED).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(DECODED).parquet(f"{folder}/in")
+        net.start_net_changes(source, f"{folder}/out", f"{folder}/ck", keep_deletes_ms=10).awaitTermination()
+    found = spark.read.schema(net.NET).parquet(f"{folder}/out").orderBy("scn").collect()
+    assert [(r[0], r.kind, r.scn) for r in found] == [("a", "+I", 3), ("a", "+I", 5), ("a", "-D", 9), ("other", "+I", 20)]

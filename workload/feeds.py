@@ -130,6 +130,37 @@ def orders_own_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_in_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of ORDERS under ids of their own, ``stage`` 1 and then 2.
+
+    Stage 1 inserts all orders but those of high priority. Stage 2 brings those, moves status F to X and deletes the
+    urgent ones of them, updates low priority ones of status O without a change, repeats the inserts of medium priority,
+    and for status P brings an older insert that was late.
+    """
+    df = table(spark, sf_dir, "orders").withColumn("auto_md5_id", F.col("o_orderkey").cast("string"))
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    day = {"o_orderdate": _day_text("o_orderdate")}
+    row, shipped = row_image(df, **day), row_image(df, **day, o_orderstatus=F.lit("X"))
+    older = row_image(df, **day, o_orderstatus=F.lit("N"))
+    scn = F.col("o_orderkey") * 10
+    high = priority == "2-HIGH"
+
+    def change(stage: Column | int, op: str, step: int, **images: Column) -> Column:
+        value = envelope(op, OWNER, "ORDERS", scn + step, **images)
+        stage = F.lit(stage) if isinstance(stage, int) else stage
+        return F.struct(stage.alias("stage"), (scn + step).alias("pos"), value.alias("value"))
+
+    return _messages(
+        df,
+        change(F.when(high, 2).otherwise(1), "c", 0, after=row),
+        F.when(status == "F", change(2, "u", 1, before=row, after=shipped)),
+        F.when((status == "F") & (priority == "1-URGENT"), change(2, "d", 2, before=shipped)),
+        F.when((status == "O") & (priority == "5-LOW"), change(2, "u", 1, before=row, after=row)),
+        F.when(priority == "3-MEDIUM", change(2, "c", 0, after=row)),
+        F.when(status == "P", change(2, "c", -5, after=older)),
+    )
+
+
 def orders_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One insert per order with numbers that no double holds: 38 digits, 18 before and 2 behind the point, 9 and 18,
     one with more places than its column has, and one of 45 digits."""

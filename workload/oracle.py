@@ -325,6 +325,17 @@ FROM cu WHERE c_mktsegment <> 'AUTOMOBILE'
 UNION ALL SELECT 'ice_orcl_dds_supplier', {_hash(_SUPPLIER)}, s_suppkey FROM supplier""",
     "stream_incremental": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
 SELECT id AS row_id, scn FROM last WHERE sop = 'c'""",
+    "net_changes": """WITH o AS (
+  SELECT *, o_orderkey::varchar AS row_id, o_orderkey * 10 AS scn, o_orderpriority = '2-HIGH' AS high FROM orders),
+n AS (
+  SELECT row_id, '+I' AS kind, o_orderstatus AS st, o_custkey, scn FROM o WHERE NOT high
+  UNION ALL SELECT row_id, '+I', CASE WHEN o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END, o_custkey,
+    scn + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS scn FROM o WHERE high
+  UNION ALL SELECT row_id, '-D', 'F', o_custkey, scn + 2 FROM o WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+  UNION ALL SELECT row_id, unnest(['-U', '+U']), unnest(['F', 'X']), o_custkey, scn + 1 FROM o
+    WHERE o_orderstatus = 'F' AND NOT high AND o_orderpriority <> '1-URGENT'
+  UNION ALL SELECT row_id, 'late', 'N', o_custkey, scn - 5 FROM o WHERE o_orderstatus = 'P' AND NOT high)
+SELECT row_id, kind, st AS o_orderstatus, o_custkey::varchar AS o_custkey, scn FROM n""",
     "stream_relay": f"""SELECT 'copy' AS topic, '{{"scn":' || s_suppkey * 10
   || ',"payload":{{"op":"c","schema":{{"owner":"DDS","table":"SUPPLIER"}},"row":1,"after":' || {_json(_SUPPLIER)}
   || '}}}}' AS value, s_suppkey * 10 AS pos FROM supplier""",

@@ -20,7 +20,7 @@ from tidemark.plans.multiset_table import MultisetTable
 from tidemark.session import work_dir
 from tidemark.sources import messages as msg
 from tidemark.sources import metadata
-from tidemark.streaming import jobs, scoring
+from tidemark.streaming import jobs, net, scoring
 from workload import feeds
 
 
@@ -465,6 +465,24 @@ def stream_incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early.union(late)
 
 
+def net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of two deliveries comes to, as a stream that goes on tells it."""
+    root = work_dir(spark, "net_changes")
+    feed = feeds.orders_in_two(spark, sf_dir)
+    for stage in (1, 2):
+        _publish(feed.filter(F.col("stage") == stage).drop("stage"), "orcl-dds-orders", f"{root}/source")
+        source = msg.read_messages(spark, "parquet", path=f"{root}/source")
+        _finish(jobs.start_normaliser(source, "parquet", f"{root}/ck_normalise", path=f"{root}/target", on_bad="fail"))
+        rows = split.decode_changelog(msg.read_messages(spark, "parquet", path=f"{root}/target"))
+        _finish(net.start_net_changes(rows, f"{root}/net", f"{root}/ck"))
+    found = spark.read.schema(net.NET).parquet(f"{root}/net")
+    cell = lambda name: F.get_json_object("image", f"$.{name}")
+    return found.select(
+        F.col(ROW_ID).alias("row_id"), "kind", cell("O_ORDERSTATUS").alias("o_orderstatus"),
+        cell("O_CUSTKEY").alias("o_custkey"), "scn",
+    )
+
+
 def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "stream_relay")
     _publish(feeds.supplier(spark, sf_dir), "orcl-dds-supplier", f"{root}/source")
@@ -650,7 +668,7 @@ REGISTERED = (
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried,
     stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
-    stream_incremental, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
+    stream_incremental, net_changes, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
     score_requests, score_results, score_stream, tag_window_counts, redacted_text, redacted_documents,
