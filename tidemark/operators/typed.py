@@ -56,6 +56,26 @@ def typed_rows(
     return cells.select(*keep, *typed, bad.alias("bad_cells"), lossy.alias("lossy_cells"))
 
 
+def typed_variants(df: DataFrame, schema: T.StructType, *, row: str = "row", keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``schema`` out of each row's variant, plus the columns in ``keep``; the counters as in :func:`typed_rows`.
+
+    Nested values come as compact JSON text.
+    """
+    typed, bad, lossy = [], F.lit(0), F.lit(0)
+    for field in (f for f in schema.fields if f.name not in keep):
+        value = F.try_variant_get(row, f'$["{field.name}"]', "variant")
+        text = F.try_variant_get(value, "$", "string")
+        cell = typemap.parse_cell(text, field.dataType)
+        typed.append(cell.alias(field.name))
+        if isinstance(field.dataType, T.DecimalType):
+            double = F.when(F.schema_of_variant(value).isin("DOUBLE", "FLOAT"), text)
+            loss = typemap.is_cut(text, field.dataType.scale) | _many_digits(double)
+            lossy = lossy + F.coalesce(loss & cell.isNotNull(), F.lit(False)).cast("int")
+        if not isinstance(field.dataType, T.StringType):
+            bad = bad + F.coalesce(text.isNotNull() & cell.isNull(), F.lit(False)).cast("int")
+    return df.select(*keep, *typed, bad.alias("bad_cells"), lossy.alias("lossy_cells"))
+
+
 def _many_digits(number: Column) -> Column:
     """Has a number more digits than a double surely holds? Whole numbers without an exponent never were one."""
     digits = F.regexp_replace(F.regexp_replace(number, r"E.*$", ""), r"[-.]|\.0$", "")

@@ -15,6 +15,7 @@ from tidemark import model as M
 from tidemark.model import ROW_ID
 from tidemark.operators import envelope, identity, keyed, split, typed
 from tidemark.plans.keyed_table import KeyedTable
+from tidemark.plans.table_log import TableLog
 from tidemark.plans.tables import TablePlan
 from tidemark.sources import messages as msg
 
@@ -113,6 +114,12 @@ def start_relay(
     return msg.stream_messages(copied, fmt, checkpoint, path=path, options=options, trigger=trigger)
 
 
+def with_order(rows: DataFrame) -> DataFrame:
+    """``rows``, stopped at one without its place in the order: the last of two changes could not be told."""
+    lost = {c: F.raise_error(F.lit(f"a change without {c}: this source does not keep the order")) for c in M.ORDER}
+    return rows.withColumns({c: F.coalesce(F.col(c), lost[c].cast(rows.schema[c].dataType)) for c in M.ORDER})
+
+
 def row_key() -> Column:
     """The row id of a decoded change: the message key, and only without one the image is searched for it."""
     return F.coalesce("key", F.get_json_object("image", f"$.{ROW_ID}"))
@@ -129,9 +136,41 @@ def table_changes(decoded: DataFrame, schema: T.StructType, *, exact: bool = Fal
     keyed_rows = keyed.drop_null_keys(decoded.withColumns({ROW_ID: row_key(), "op": ops}))
     # A delete needs no more than its key, so only inserts have an image to parse.
     keyed_rows = keyed_rows.withColumn("image", F.when(F.col("op") == M.INSERT, F.col("image")))
-    lost = {c: F.raise_error(F.lit(f"a change without {c}: this source does not keep the order")) for c in M.ORDER}
-    ordered = keyed_rows.withColumns({c: F.coalesce(F.col(c), lost[c].cast(keyed_rows.schema[c].dataType)) for c in M.ORDER})
-    return typed.typed_rows(ordered, schema, keep=(ROW_ID, "op", *M.ORDER), exact="image" if exact else None)
+    return typed.typed_rows(with_order(keyed_rows), schema, keep=(ROW_ID, "op", *M.ORDER), exact="image" if exact else None)
+
+
+def start_log_sync(
+    source: DataFrame,
+    log: TableLog,
+    checkpoint: str,
+    *,
+    run: str,
+    topics: Sequence[str] = (),
+    trigger: Trigger = AVAILABLE_NOW,
+    on_bad: str = "fail",
+) -> StreamingQuery:
+    """Keep one log in step with the target messages of any number of tables; an empty topic list means all.
+
+    A batch is decoded once, held, and written by two jobs: the changes of all tables to the log, and those without
+    a row id or, with ``on_bad="keep"``, that are no row change, as they came, to ``rejected/run=/batch=`` beside
+    it. Neither grows with the number of tables. ``run`` is as in :func:`start_table_sync`.
+    """
+    mine = source.filter(F.col("topic").isin(*topics)) if topics else source
+    decoded = split.decode_changelog(mine, on_bad=on_bad, exact=True)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        held = batch.withColumn(ROW_ID, F.when(F.col("kind").isNotNull(), row_key())).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejected = held.filter(F.col(ROW_ID).isNull()).select("topic", "key", "kind", "image", *M.ORDER)
+            rejected.write.mode("overwrite").parquet(f"{log.path}/rejected/run={run}/batch={batch_id}")
+            op = F.when(F.col("kind").startswith("+"), M.INSERT).otherwise(M.DELETE)
+            placed = with_order(held.filter(F.col(ROW_ID).isNotNull()).withColumn("op", op))
+            log.append(placed, run=run, batch=batch_id)
+        finally:
+            held.unpersist()
+
+    writer = decoded.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def start_table_sync(

@@ -381,3 +381,4 @@ FROM documents WHERE lang <> 'de'""",
   SELECT doc_id, {_redact("(text || ' secret=' || source || ' pass:' || lang)")} AS t FROM documents)
 SELECT doc_id, md5(t) AS text_hash, length(t)::integer AS chars FROM d""",
 }
+ORACLE["multi_table_log"] = ORACLE["multi_table"]

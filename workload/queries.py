@@ -17,6 +17,7 @@ from tidemark.operators import envelope, identity, keyed, routing, split, typed
 from tidemark.plans import tables as plans
 from tidemark.plans.keyed_table import KeyedTable, write_layout
 from tidemark.plans.multiset_table import MultisetTable
+from tidemark.plans.table_log import TableLog
 from tidemark.session import work_dir
 from tidemark.sources import messages as msg
 from tidemark.sources import metadata
@@ -401,6 +402,30 @@ def multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def multi_table_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables kept in one log by one write per batch, each read back under its own columns."""
+    root = work_dir(spark, "multi_table_log")
+    wanted = (
+        ("ORDERS", ORDERS_SCHEMA, feeds.orders, "O_ORDERKEY"),
+        ("CUSTOMER", CUSTOMER_SCHEMA, feeds.customer, "C_CUSTKEY"),
+        ("SUPPLIER", SUPPLIER_SCHEMA, feeds.supplier, "S_SUPPKEY"),
+    )
+    table_plans = [_plan(name, schema) for name, schema, _, _ in wanted]
+    for plan, (_, _, feed, _) in zip(table_plans, wanted, strict=True):
+        _publish(feed(spark, sf_dir), plan.source_topic, f"{root}/source")
+    source = msg.read_messages(spark, "parquet", path=f"{root}/source")
+    _finish(jobs.start_normaliser(source, "parquet", f"{root}/ck1", path=f"{root}/target", on_bad="fail", exact=True))
+    log = TableLog(f"{root}/all")
+    _finish(jobs.start_log_sync(msg.read_messages(spark, "parquet", path=f"{root}/target"), log, f"{root}/ck2", run="sync"))
+    parts = [
+        log.current(spark, plan.target_topic, plan.schema).select(
+            F.lit(plan.keyed_table).alias("keyed_table"), F.col(ROW_ID).alias("row_id"), F.col(key).alias("source_key")
+        )
+        for plan, (_, _, _, key) in zip(table_plans, wanted, strict=True)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def lineitem_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of LINEITEM through both streaming jobs."""
     root = work_dir(spark, "lineitem_sync")
@@ -667,7 +692,7 @@ REGISTERED = (
     typed_exact_numbers, current_multiset,
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried,
-    stream_apply, multi_table, lineitem_sync, text_sync, normalise_both_outputs,
+    stream_apply, multi_table, multi_table_log, lineitem_sync, text_sync, normalise_both_outputs,
     stream_incremental, net_changes, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
