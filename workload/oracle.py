@@ -285,6 +285,15 @@ SELECT 'load' AS run, 0 AS batch, count(*) AS changes,
     "layout_partitioned": "SELECT c_mktsegment, c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
     "layout_buckets": "SELECT o_orderkey, o_custkey, true AS in_bucket FROM orders",
     "compaction": _orders_state(),
+    "compaction_packed": f"SELECT *, true AS fewer_files FROM ({_orders_state()})",
+    "deletes_retired": f"""WITH {_O}, {_CH}, {_split()}, last AS (SELECT * FROM sp {_LATEST})
+SELECT id AS row_id, sop AS op, scn, true AS refused, true AS stated FROM last
+WHERE sop = 'c' OR scn >= (SELECT max(o_orderkey) FROM orders) * 5""",
+    "planned_files": f"""WITH {_O}, {_CH}, {_split()},
+m AS (SELECT max(o_orderkey) // 2 AS middle FROM orders),
+last AS (SELECT * FROM sp, m QUALIFY row_number() OVER (PARTITION BY id, scn < middle * 10 ORDER BY scn DESC, seq DESC) = 1)
+SELECT count(*) AS matching_rows, 0 AS files_missed, true AS half_left_out FROM last
+WHERE sop = 'c' AND o_orderkey <= middle // 2""",
     "compaction_some_buckets": _orders_state(),
     "compaction_retried": f"""SELECT *, unnest(['old', 'new']) AS read_from, 'PATH_ALREADY_EXISTS' AS second
 FROM ({_orders_state()})""",

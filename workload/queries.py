@@ -340,6 +340,52 @@ def compaction_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.union(new)
 
 
+def compaction_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files of three batches put together, by two writers; only rows and files that count are read after it."""
+    orders = _orders_table(spark, sf_dir, "compaction_packed", (*_IN_TWO, "true"))
+    files = orders.changes(spark).select("_metadata.file_path").distinct().count()
+    replaced = orders.pack(spark, target_bytes=32 << 20, writers=2)
+    left = orders.changes(spark).select("_metadata.file_path").distinct().count()
+    fewer = F.lit(replaced == files and left <= 2 * orders.buckets < files)
+    return _orders_out(orders.current(spark)).withColumn("fewer_files", fewer)
+
+
+def deletes_retired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rewrite that lets old deletes go: the rows, the deletes that are left, and what a late batch meets."""
+    orders = _orders_table(spark, sf_dir, "deletes_retired", _IN_TWO)
+    middle = feeds.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] * 5
+    table = orders.rewrite(spark, f"{orders.path}-next", retire_before=middle)
+    late = _typed_changes(feeds.orders(spark, sf_dir), ORDERS_SCHEMA).filter(F.col("scn") < middle)
+    try:
+        table.append(late, run="load", batch=9)
+        refused = False
+    except Exception as e:  # the job's failure says why
+        refused = "is too late" in str(e)
+    kept = table.changes(spark).select(
+        F.col(ROW_ID).alias("row_id"), "op", "scn", F.lit(refused).alias("refused"), F.lit(table.since(spark) == middle).alias("stated")
+    )
+    return kept
+
+
+def planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files planned for a range of order numbers from the kept ranges, against those that hold such rows."""
+    feed = feeds.orders(spark, sf_dir)
+    orders = KeyedTable(work_dir(spark, "planned"), ORDERS_SCHEMA, ranges=("O_ORDERKEY", "O_ORDERDATE"), cluster_by=("O_ORDERKEY",))
+    changes = _typed_changes(feed, ORDERS_SCHEMA)
+    middle = feeds.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] // 2
+    for i, part in enumerate((F.col("scn") < middle * 10, F.col("scn") >= middle * 10)):
+        orders.append(changes.filter(part), run="load", batch=i)
+    planned = orders.planned_files(spark, "O_ORDERKEY", 0, middle // 2).select("file_path", F.lit(1).alias("planned"))
+    wanted = F.col("O_ORDERKEY") <= middle // 2
+    held = orders.changes(spark).filter("kind = 'row'").withColumn("file_path", F.col("_metadata.file_path"))
+    held = held.groupBy("file_path").agg(F.count_if(wanted).alias("rows"))
+    return held.join(planned, "file_path", "full").agg(
+        F.sum("rows").alias("matching_rows"),
+        F.count_if((F.col("rows") > 0) & F.col("planned").isNull()).alias("files_missed"),
+        (2 * F.count("planned") <= F.count("*")).alias("half_left_out"),
+    )
+
+
 # Streams
 
 
@@ -691,7 +737,7 @@ REGISTERED = (
     current_state, current_state_create_first, lineitem_state, null_key_drop, typed_rows,
     typed_exact_numbers, current_multiset,
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
-    compaction, compaction_some_buckets, compaction_retried,
+    compaction, compaction_some_buckets, compaction_retried, compaction_packed, deletes_retired, planned_files,
     stream_apply, multi_table, multi_table_log, lineitem_sync, text_sync, normalise_both_outputs,
     stream_incremental, net_changes, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
