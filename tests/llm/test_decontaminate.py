@@ -41,6 +41,35 @@ def test_disagreeing_slots_drop_only_their_windows(spark, how):
     assert found(spark, texts, [(1, name), (2, pears)], **how) == {0: [1], 1: [1], 2: [2]}
 
 
+def test_a_text_that_repeats_a_word_is_no_product(spark):
+    """Windows without placeholders are there once, however often a text and an item repeat them."""
+    docs = spark.createDataFrame([(1, "word " * 20_000), (2, "7 word " * 300)], "doc_id bigint, text string")
+    made = decontaminate.windows(decontaminate.templates(docs, "doc_id", "text"), [8])
+    assert {r.id: r["count"] for r in made.groupBy("id").count().collect()} == {1: 1, 2: 593}
+    assert found(spark, ["word " * 20_000], [(1, "word " * 50)]) == {0: [1]}
+
+
+def test_query_and_sql_drop_only_windows_that_disagree(spark, tmp_path):
+    """Of three equal numbers one is changed: the other windows count, in the code and in the SQL."""
+    import duckdb
+
+    from tidemark.llm import queries
+
+    item = "a box holds 3 red balls and another box near the old wooden door holds 3 green balls while the last one under the long table by the window has room for 3 blue balls of the same size"
+    texts = [(1, item.replace("3 blue", "5 blue")), (2, item), (3, item.replace("3", "8")), (4, "nothing to see"), (5, None)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(9, item)], "item_id bigint, text string").coalesce(1).write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    df = queries.op9_decontamination(spark, f"file://{tmp_path}")
+    got = sorted(tuple(r) for r in df.collect())
+    assert [(r[0], r[4]) for r in got] == [(1, True), (2, True), (3, True), (4, False), (5, False)]
+    assert 18 < got[0][3] < got[1][3] == got[2][3] == len(item.split())
+    db = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    columns = ", ".join(df.columns)
+    assert sorted(db.execute(f"SELECT {columns} FROM ({queries.ORACLE['op9_decontamination']})").fetchall()) == got
+
+
 def test_empty_tables_ties_and_null_ids(spark):
     assert found(spark, [], ITEMS) == {}
     assert found(spark, [PLAIN], []) == {}
@@ -52,5 +81,5 @@ def test_empty_tables_ties_and_null_ids(spark):
 
 def test_main_path_has_no_python(spark):
     docs = spark.createDataFrame([(1, PLAIN)], "doc_id bigint, text string")
-    plan = decontaminate.windows(decontaminate.templates(docs, "doc_id", "text"), 8)._jdf.queryExecution().executedPlan().toString()
+    plan = decontaminate.windows(decontaminate.templates(docs, "doc_id", "text"), [5, 8])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -17,6 +17,8 @@ counts as an id. Empty tables: nothing is contaminated. Other columns are not re
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,21 +60,63 @@ def templates(df: DataFrame, record_id: str, text: str) -> DataFrame:
     return emit(rows, [F.col("id"), _words(template).alias("words"), F.when(has, _words(F.col("marked"))).alias("values")])
 
 
-def windows(rows: DataFrame, width: int) -> DataFrame:
-    """``(id, at, key, values)``: a row per window of ``width`` words that is not of placeholders alone."""
-    starts = F.when(F.size("words") >= width, F.sequence(F.lit(1), F.size("words") - (width - 1)))
+def windows(rows: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """``(id, at, width, key, values)``: a row per window of ``widths`` words that is not of placeholders alone.
+
+    Where a window stands matters only to its values: a window without placeholders has neither place nor values, and
+    is there once however often its text repeats it.
+    """
+    # Every word is hashed, and looked at for a placeholder, once; windows are slices of that.
+    open_ = F.when(F.col("values").isNotNull(), _open(F.col("words")))
+    named = emit(rows, [F.col("id"), _names(F.col("words")).alias("names"), open_.alias("open"), F.col("values")])
+    each = [part for width in widths for part in _windows_of(width)]
+    return named.select("id", F.inline(F.concat(*(F.coalesce(x, F.array().cast(f"array<{WINDOW}>")) for x in each))))
+
+
+WINDOW = "struct<at:int,width:int,key:bigint,values:array<string>>"
+
+
+def _open(words: Column) -> Column:
+    """Which words are placeholders."""
+    return F.transform(words, lambda w: (w >= NAME) & (w < chr(ord(UNIT) + 1)))
+
+
+def _names(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _windows_of(width: int) -> tuple[Column, Column]:
+    """Windows without placeholders, each once, and those with some, with places and values."""
+    starts = F.when(F.size("names") >= width, F.sequence(F.lit(1), F.size("names") - (width - 1)))
+
+    def key(i: Column) -> Column:
+        return F.xxhash64(F.slice("names", i, width))
+
+    def holds(i: Column, placeholder: bool) -> Column:
+        return F.array_contains(F.slice("open", i, width), placeholder)
+
+    def plain(k: Column) -> Column:
+        nothing = F.lit(None)
+        return F.struct(nothing.cast("int").alias("at"), F.lit(width).alias("width"), k.alias("key"), nothing.cast("array<string>").alias("values"))
+
+    def slotted(i: Column) -> Column:
+        return F.struct(i.alias("at"), F.lit(width).alias("width"), key(i).alias("key"), F.slice("values", i, width).alias("values"))
 
-    def plain(words: Column) -> Column:
-        return F.exists(words, lambda w: ~w.rlike(f"^[{MARKS}]"))
+    without = F.when(F.col("open").isNull(), starts).otherwise(F.filter(starts, lambda i: ~holds(i, True)))
+    mixed = F.when(F.col("open").isNotNull(), F.filter(starts, lambda i: holds(i, True) & holds(i, False)))
+    return F.transform(F.array_distinct(F.transform(without, key)), plain), F.transform(mixed, slotted)
 
-    def window(i: Column) -> Column:
-        words, values = F.slice("words", i, width), F.slice("values", i, width)
-        key = F.when(F.col("values").isNull() | plain(words), F.xxhash64(words))
-        slots = F.when(F.exists(values, lambda w: w.rlike(f"^[{MARKS}]")), values)
-        return F.struct(i.alias("at"), key.alias("key"), slots.alias("values"))
 
-    spread = rows.select("id", F.inline(F.transform(starts, window)))
-    return spread.filter("key IS NOT NULL")
+def _item_windows(items: DataFrame, widths: Sequence[int], width: int) -> DataFrame:
+    """``(item, item_at, width, key, item_values)`` of every window of an item: of ``width`` words, or the whole of a shorter one."""
+    named = items.select("id", "size", _names(F.col("words")).alias("names"), _open(F.col("words")).alias("open"), "values")
+    own = F.least("size", F.lit(width))
+    starts = F.explode(F.sequence(F.lit(1), F.col("size") - own + 1)).alias("item_at")
+    spread = named.select(F.col("id").alias("item"), own.alias("width"), "names", "open", "values", starts)
+    part = lambda c: F.slice(c, F.col("item_at"), F.col("width"))
+    spread = spread.filter(F.array_contains(part("open"), False))
+    values = F.when(F.array_contains(part("open"), True), part("values"))
+    return spread.select("item", "item_at", "width", F.xxhash64(part("names")).alias("key"), values.alias("item_values"))
 
 
 def contaminated(
@@ -101,19 +145,15 @@ def contaminated(
     )
     items = stored(items.select("id", "ids", "size", "words", "values"), "items")
     rows = templates(docs, record_id, text)
-    matches = None
-    short = sorted(r[0] for r in items.select(F.least("size", F.lit(width))).distinct().collect())
-    for own in short:  # one width, and one more for each length below it: at most width - least_words + 1
-        mine = items.filter(F.col("size") >= width if own == width else F.col("size") == own)
-        keys = windows(mine, own).select(F.col("id").alias("item"), F.col("at").alias("item_at"), "key", F.col("values").alias("item_values"))
-        keys = stored(keys, "keys")
-        if keys.count() <= broadcast_windows:
-            keys = F.broadcast(keys)
-        found = windows(rows, own).join(keys, "key").withColumn("width", F.lit(own))
-        matches = found if matches is None else matches.union(found)
-    if matches is None:
+    # One width, and one more for each length below it: at most width - least_words + 1.
+    widths = sorted(r[0] for r in items.select(F.least("size", F.lit(width))).distinct().collect())
+    if not widths:
         return docs.sparkSession.createDataFrame([], "id bigint, items array<bigint>, covered bigint")
-    # What a window's placeholders stand for; null without any.
+    keys = stored(_item_windows(items, widths, width), "keys")
+    if keys.count() <= broadcast_windows:
+        keys = F.broadcast(keys)
+    matches = windows(rows, widths).join(keys, ["width", "key"])
+    # What a window's placeholders stand for; null without any, and then the place in the text is null too.
     pairs = F.filter(F.arrays_zip(F.col("item_values").alias("of"), F.col("values").alias("value")), lambda p: p["of"].rlike(f"^[{MARKS}]"))
     pairs = F.when(F.col("item_values").isNotNull(), F.array_sort(F.array_distinct(pairs)))
     matches = matches.select("id", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), "width", pairs.alias("pairs"))

@@ -190,7 +190,12 @@ QUERIES = {
     "op13_embedding_dedup": op13_embedding_dedup,
 }
 
-_UNITS = "|".join(decontaminate.UNITS)
+# Units, written out for the SQL.
+_UNITS = (
+    "kilometers|kilometres|kilometer|kilometre|kilograms|kilogram|centimeters|centimeter|percent|dollars|dollar|euros|euro|"
+    "pounds|pound|cents|cent|meters|metres|meter|metre|grams|gram|liters|litres|liter|litre|miles|mile|inches|inch|feet|foot|"
+    "hours|hour|minutes|minute|seconds|second|days|day|weeks|week|months|month|years|year|kg|mg|km|cm|mm|ml|lb|oz|kwh|mph|usd|eur"
+)
 
 ORACLE = {
     "op1_quality": r"""
@@ -243,10 +248,12 @@ ORACLE = {
                 FROM w, (SELECT DISTINCT width FROM iw) WHERE side = 0)),
         hit AS (SELECT DISTINCT id, item, item_at, place - item_at AS shift, width, k, iv, dv FROM dw JOIN iw USING (width, k)
             WHERE len(list_filter(k, lambda x: ord(x) NOT BETWEEN 57344 AND 57346)) > 0),
-        slot AS (SELECT id, item, shift, unnest(k) AS kind, unnest(iv) AS iv, unnest(dv) AS dv FROM hit),
-        broken AS (SELECT DISTINCT id, item, shift FROM (SELECT id, item, shift, iv FROM slot
-            WHERE ord(kind) BETWEEN 57344 AND 57346 GROUP BY ALL HAVING min(dv) <> max(dv))),
-        good AS (SELECT DISTINCT id, item, item_at, width FROM hit ANTI JOIN broken USING (id, item, shift)),
+        slot AS (SELECT id, item, shift, item_at, unnest(k) AS kind, unnest(iv) AS iv, unnest(dv) AS dv FROM hit),
+        broken AS (SELECT id, item, shift, iv FROM slot
+            WHERE ord(kind) BETWEEN 57344 AND 57346 GROUP BY ALL HAVING min(dv) <> max(dv)),
+        lost AS (SELECT DISTINCT id, item, shift, item_at FROM slot JOIN broken USING (id, item, shift, iv)
+            WHERE ord(kind) BETWEEN 57344 AND 57346),
+        good AS (SELECT DISTINCT id, item, item_at, width FROM hit ANTI JOIN lost USING (id, item, shift, item_at)),
         gain AS (SELECT id, item, least(width, coalesce(lead(item_at) OVER (PARTITION BY id, item ORDER BY item_at) - item_at, width)) AS n FROM good),
         cov AS (SELECT id, item, sum(n) AS n FROM gain GROUP BY 1, 2),
         bad AS (SELECT id, n, ids FROM cov JOIN first USING (item) WHERE 100 * n >= 50 * size),
