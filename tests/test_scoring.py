@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.redact import redact
@@ -101,3 +102,79 @@ def test_redaction(spark):
     df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)] + [(99, None)], "i int, line string")
     got = {r.i: r.line for r in redact(df, "line").collect()}
     assert got == {**{i: b for i, (_, b) in enumerate(cases)}, 99: None}
+
+
+def _rows(spark, n):
+    return spark.range(n).select(F.col("id").alias("pos"), F.col("id").alias("sentence_id"), F.concat(F.lit("s"), "id").alias("content")).coalesce(1)
+
+
+def test_never_more_in_flight_than_allowed(spark):
+    def factory():
+        import threading
+        import time
+
+        lock, now, most = threading.Lock(), [0], [0]
+
+        def ask(requests):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+                seen = most[0]
+            time.sleep(0.02)
+            with lock:
+                now[0] -= 1
+            return [(200, f"{r['sentence_id']} {seen}") for r in requests]
+
+        return ask
+
+    for limit in (1, 3):
+        rows = scoring.score(_rows(spark, 40), factory, in_flight=limit, ask_rows=2).orderBy("pos").collect()
+        assert [int(r.output.split()[0]) for r in rows] == list(range(40))  # in order, each once
+        assert max(int(r.output.split()[1]) for r in rows) == limit
+
+
+def test_failures_are_asked_again_up_to_a_limit(spark):
+    def factory():
+        asks = {}
+
+        def ask(requests):
+            out = []
+            for r in requests:
+                i = int(r["sentence_id"])
+                asks[i] = asks.get(i, 0) + 1
+                if i % 5 == 0:  # recovers at the third ask
+                    out.append((200, f"asks {asks[i]}") if asks[i] == 3 else (503, "busy"))
+                elif i % 5 == 1:  # never recovers
+                    out.append(ValueError(f"broken {asks[i]}"))
+                elif i % 5 == 2:  # an answer, though no good one
+                    out.append((404, "gone"))
+                else:
+                    out.append((200, f"asks {asks[i]}"))
+            return out
+
+        return ask
+
+    rows = scoring.score(_rows(spark, 10), factory, in_flight=2, ask_rows=3, attempts=3, pause_s=0.001).orderBy("pos").collect()
+    want = ["asks 3", "Request failed: broken 3", "Error: 404", "asks 1", "asks 1"] * 2
+    assert [r.output for r in rows] == want
+    rows = scoring.score(_rows(spark, 10), factory, attempts=2, pause_s=0.001).orderBy("pos").collect()
+    assert [r.output for r in rows[:2]] == ["Error: 503", "Request failed: broken 2"]
+
+
+def test_an_ask_that_fails_as_a_whole(spark):
+    def factory():
+        def ask(requests):
+            if len(requests) > 1 or requests[0]["sentence_id"] == "3":
+                raise RuntimeError("too much")
+            return [(200, requests[0]["sentence"])]
+
+        return ask
+
+    rows = scoring.score(_rows(spark, 6), factory, in_flight=2, ask_rows=4, attempts=2, pause_s=0.001).orderBy("pos").collect()
+    assert [r.output for r in rows] == ["s0", "s1", "s2", "Request failed: too much", "s4", "s5"]
+
+
+def test_limits_must_be_positive(spark):
+    for how in ({"in_flight": 0}, {"attempts": 0}, {"ask_rows": -1}):
+        with pytest.raises(ValueError):
+            scoring.score(_rows(spark, 1), lambda: None, **how)

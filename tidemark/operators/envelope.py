@@ -14,6 +14,11 @@ from tidemark.functions import images, jsontext, rows
 # lacks something a later step needs.
 UNREADABLE = ("empty", "bad_json", "unknown_key", "bad_number")
 
+#: All causes, unknown operations only with ``strict_ops``.
+REASONS = (
+    *UNREADABLE, "missing_payload", "missing_op", "missing_image", "image_not_object", "repeated_inner_key", "unknown_op",
+)
+
 FIELDS = ("scn", "tms", "xid", "op", "schema", "row", "rid", "before", "after", "sql")
 
 EXACT = ("before_exact", "after_exact")

@@ -18,6 +18,7 @@ from tidemark.plans.keyed_table import KeyedTable
 from tidemark.plans.table_log import TableLog
 from tidemark.plans.tables import TablePlan
 from tidemark.sources import messages as msg
+from tidemark.streaming import counters
 
 Trigger = Mapping[str, object]
 # Runs what has arrived and stops; for continuous runs pass for example {"processingTime": "1 second"}.
@@ -63,8 +64,8 @@ def start_normaliser(
     With ``exact`` the images that go out have all digits of their numbers; ids are the same either way.
 
     Messages that cannot be used go to the ``quarantine`` folder, a folder per batch, with the cause:
-    both outputs come from one reading of the batch. Without such a folder, choose another ``on_bad``.
-    A batch that is run again writes its messages again, at least once.
+    both outputs come from one reading of the batch, which also counts what was read and what was bad, by cause
+    (see ``counters``). Without such a folder, choose another ``on_bad``. A batch that is run again writes its messages again, at least once.
     """
     chosen = source.filter(F.col("topic").isin(*topics)) if topics else source
     if on_bad != "quarantine":
@@ -73,6 +74,8 @@ def start_normaliser(
     if quarantine is None:
         raise ValueError("name a folder for messages that cannot be used, or choose on_bad")
     flagged = envelope.parse_changes(chosen, on_bad="flag", strict_ops=strict_ops, exact=exact)
+    bad = {f"bad_{r}": F.count_if(F.col("reason") == r) for r in envelope.REASONS}
+    flagged = counters.counted(flagged, "messages", read=F.count(F.lit(1)), **bad)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -153,10 +156,14 @@ def start_log_sync(
 
     A batch is decoded once, held, and written by two jobs: the changes of all tables to the log, and those without
     a row id or, with ``on_bad="keep"``, that are no row change, as they came, to ``rejected/run=/batch=`` beside
-    it. Neither grows with the number of tables. ``run`` is as in :func:`start_table_sync`.
+    it. Neither grows with the number of tables. What was read and rejected is counted (see ``counters``). ``run`` is as in :func:`start_table_sync`.
     """
     mine = source.filter(F.col("topic").isin(*topics)) if topics else source
     decoded = split.decode_changelog(mine, on_bad=on_bad, exact=True)
+    known = F.col("kind").isNotNull()
+    decoded = counters.counted(
+        decoded, "changes", read=F.count(F.lit(1)), no_change=F.count_if(~known), null_keys=F.count_if(known & row_key().isNull())
+    )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         held = batch.withColumn(ROW_ID, F.when(F.col("kind").isNotNull(), row_key())).persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -49,24 +52,53 @@ def request(sentence_id: Column, content: Column) -> Column:
     )
 
 
-def score(sentences: DataFrame, factory: ScorerFactory) -> DataFrame:
+# Statuses that say: later.
+LATER = (429, 503)
+
+
+def score(
+    sentences: DataFrame,
+    factory: ScorerFactory,
+    *,
+    in_flight: int = 1,
+    ask_rows: int | None = None,
+    attempts: int = 1,
+    pause_s: float = 0.5,
+    later: Sequence[int] = LATER,
+) -> DataFrame:
     """Add ``result``, ``status`` and ``error`` of the model, and ``output``, the message text.
 
     No row is dropped and no failure stops the job: ``output`` is the body, ``Error: <status>`` for
     another status than 200, or ``Request failed: <cause>``. Rows that could not be read are not
-    sent. Requests go to the model by the Arrow batch; other columns stay behind.
+    sent; other columns stay behind.
+
+    Requests go to the model ``ask_rows`` at a time, by default an Arrow batch. A task has at most ``in_flight``
+    asks out at once, more than one only for a scorer that several threads may call; answers come back in order,
+    and no request waits in memory but those of one Arrow batch. A request that failed, or whose status is in
+    ``later``, is asked again until it has had ``attempts`` asks, after a pause that doubles; the last answer
+    counts. If an ask of several requests fails as a whole, each of them is asked alone within the same attempt,
+    also those that the model had answered before it failed: a scorer that must not be asked twice returns
+    failures by request, as exceptions among its answers.
     """
+    if min(in_flight, attempts, ask_rows or 1) < 1:
+        raise ValueError("in_flight, attempts and ask_rows are at least one")
 
     @F.pandas_udf(_RESULT)
     def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = factory()
-        for batch in batches:
-            asked = batch[batch["asked"]]
-            requests = asked[["sentence", "sentence_id"]].astype(object).where(asked.notna(), None).to_dict("records")
-            rows = pd.DataFrame(
-                [_row(a) for a in _asked(scorer, requests)], columns=["result", "status", "error"], index=asked.index
-            )
-            yield rows.reindex(batch.index).astype({"status": "Int32"})
+
+        def ask(requests: list[dict]) -> list[Answer]:
+            return _insisted(scorer, requests, attempts, pause_s, later)
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                asked = batch[batch["asked"]]
+                requests = asked[["sentence", "sentence_id"]].astype(object).where(asked.notna(), None).to_dict("records")
+                size = ask_rows or max(1, len(requests))
+                parts = [requests[i : i + size] for i in range(0, len(requests), size)]
+                given = [a for part in _in_order(pool, ask, parts, in_flight) for a in part]
+                rows = pd.DataFrame([_row(a) for a in given], columns=["result", "status", "error"], index=asked.index)
+                yield rows.reindex(batch.index).astype({"status": "Int32"})
 
     problem = F.col("parse_error") if "parse_error" in sentences.columns else F.lit(None).cast("string")
     body = request(F.col("sentence_id"), F.col("content"))
@@ -120,6 +152,30 @@ def one_by_one(ask: Callable[[dict], tuple[int, str]]) -> Scorer:
     return lambda requests: [answer(body) for body in requests]
 
 
+def _in_order(pool: ThreadPoolExecutor, ask: Callable, parts: list, window: int) -> Iterator:
+    """``ask(part)`` of all parts in their order, at most ``window`` of them begun and not yet given out."""
+    begun: deque = deque()
+    for part in parts:
+        if len(begun) == window:
+            yield begun.popleft().result()
+        begun.append(pool.submit(ask, part))
+    while begun:
+        yield begun.popleft().result()
+
+
+def _insisted(scorer: Scorer, requests: list[dict], attempts: int, pause_s: float, later: Sequence[int]) -> list[Answer]:
+    """An answer per request; those that failed or were put off are asked again."""
+    answers = _asked(scorer, requests)
+    for attempt in range(1, attempts):
+        again = [i for i, a in enumerate(answers) if isinstance(a, Exception) or a[0] in later]
+        if not again:
+            break
+        time.sleep(pause_s * 2 ** (attempt - 1))
+        for i, answer in zip(again, _asked(scorer, [requests[i] for i in again]), strict=True):
+            answers[i] = answer
+    return answers
+
+
 def _asked(scorer: Scorer, requests: list[dict]) -> list[Answer]:
     """An answer per request. If the model fails on a batch, each request is asked alone."""
     if not requests:

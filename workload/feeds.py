@@ -47,8 +47,13 @@ VIEW_TYPES = (
 
 
 def _messages(df: DataFrame, *messages: Column) -> DataFrame:
-    """One row per message that applies; each is a struct of pos and value, or null."""
-    return df.select(F.inline(F.array_compact(F.array(*messages))))
+    """One row per message that applies; each is a struct of pos and value, or null.
+
+    The messages of a row lie in one of as many partitions as there are cores, as in a topic that is dealt by key: a table's
+    single row group would else be one task.
+    """
+    partitions = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(partitions, df.columns[0]).select(F.inline(F.array_compact(F.array(*messages))))
 
 
 def _at(pos: Column, value: Column) -> Column:

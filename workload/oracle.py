@@ -391,3 +391,7 @@ FROM documents WHERE lang <> 'de'""",
 SELECT doc_id, md5(t) AS text_hash, length(t)::integer AS chars FROM d""",
 }
 ORACLE["multi_table_log"] = ORACLE["multi_table"]
+ORACLE["score_concurrent"] = ORACLE["score_results"]
+ORACLE["stream_counters"] = f"""WITH {_O}, {_CH}, {_DAMAGE}
+SELECT 'read' AS metric, (SELECT count(*) FROM ch) + (SELECT count(*) FROM bad WHERE reason IS NOT NULL) AS n
+UNION ALL SELECT 'bad_' || reason, count(*) FROM bad WHERE reason IS NOT NULL GROUP BY reason"""

@@ -22,6 +22,7 @@ from tidemark.session import work_dir
 from tidemark.sources import messages as msg
 from tidemark.sources import metadata
 from tidemark.streaming import jobs, net, scoring
+from tidemark.streaming.counters import BatchCounts
 from workload import feeds
 
 
@@ -698,6 +699,41 @@ def score_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(parsed, length_scorer).select("pos", "status", "error", "output")
 
 
+def busy_scorer():
+    """:func:`length_scorer` behind a service that puts off every third request once."""
+    answer, seen = length_scorer(), set()
+
+    def ask(requests: list[dict]) -> list:
+        fresh = [int(r["sentence_id"]) % 3 == 0 and r["sentence_id"] not in seen for r in requests]
+        seen.update(r["sentence_id"] for r in requests)
+        return [(503, "busy") if f else a for f, a in zip(fresh, answer(requests), strict=True)]
+
+    return ask
+
+
+def score_concurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four asks of ten requests in flight per task, those that are put off asked again."""
+    parsed = scoring.parse_sentences(feeds.sentences(spark, sf_dir))
+    scored = scoring.score(parsed, busy_scorer, in_flight=4, ask_rows=10, attempts=3, pause_s=0.01)
+    return scored.select("pos", "status", "error", "output")
+
+
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a normalising stream counted on its way, over all its batches."""
+    root = work_dir(spark, "counters")
+    _publish(feeds.orders(spark, sf_dir, damaged=True), "orcl-dds-orders", f"{root}/source")
+    listener = BatchCounts(spark, f"{root}/counts").attach()
+    try:
+        source = msg.read_messages(spark, "parquet", path=f"{root}/source", options={"maxFilesPerTrigger": "3"})
+        query = jobs.start_normaliser(source, "parquet", f"{root}/ck", path=f"{root}/target", quarantine=f"{root}/bad")
+        _finish(query)
+        listener.settle(query)
+    finally:
+        listener.detach()
+    counts = listener.counts().filter("of = 'messages'")
+    return counts.groupBy("metric").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring from topic to topic."""
     root = work_dir(spark, "score_stream")
@@ -742,6 +778,6 @@ REGISTERED = (
     stream_incremental, net_changes, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
-    score_requests, score_results, score_stream, tag_window_counts, redacted_text, redacted_documents,
+    score_requests, score_results, score_concurrent, score_stream, stream_counters, tag_window_counts, redacted_text, redacted_documents,
 )
 QUERIES = {f.__name__: f for f in REGISTERED}
