@@ -395,3 +395,6 @@ ORACLE["score_concurrent"] = ORACLE["score_results"]
 ORACLE["stream_counters"] = f"""WITH {_O}, {_CH}, {_DAMAGE}
 SELECT 'read' AS metric, (SELECT count(*) FROM ch) + (SELECT count(*) FROM bad WHERE reason IS NOT NULL) AS n
 UNION ALL SELECT 'bad_' || reason, count(*) FROM bad WHERE reason IS NOT NULL GROUP BY reason"""
+# A stream that starts at the latest message skips the first third: it was there before.
+ORACLE["log_from_latest"] = f"""WITH r AS ({ORACLE["stream_relay"]})
+SELECT 'earliest' AS topic, value, pos FROM r UNION ALL SELECT 'latest', value, pos FROM r WHERE pos // 10 % 3 > 0"""

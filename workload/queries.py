@@ -555,6 +555,25 @@ def net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two relays from a log to logs, one from the latest message on, one from the first, stopped and started again."""
+    root = work_dir(spark, "log")
+    feed = feeds.as_topic(feeds.supplier(spark, sf_dir), "orcl-dds-supplier")
+
+    def relays() -> None:
+        for start in ("latest", "earliest"):
+            source = msg.read_messages(spark, "log", path=f"{root}/source", options={"startingOffsets": start})
+            copied = source.withColumn("topic", F.lit(start))
+            _finish(msg.stream_messages(copied, "log", f"{root}/ck_{start}", path=f"{root}/{start}", options={"writer": start}, trigger={"availableNow": True}))
+
+    # Before the streams start, when they have started, and after they have stopped.
+    for part in range(3):
+        msg.write_messages(feed.filter(F.col("pos") / 10 % 3 == part), "log", path=f"{root}/source")
+        relays()
+    copies = [msg.read_messages(spark, "log", path=f"{root}/{start}", streaming=False) for start in ("latest", "earliest")]
+    return copies[0].union(copies[1]).select("topic", "value", "pos")
+
+
 def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "stream_relay")
     _publish(feeds.supplier(spark, sf_dir), "orcl-dds-supplier", f"{root}/source")
@@ -775,7 +794,7 @@ REGISTERED = (
     batch_scan, current_bucketed, filtered_scan, filtered_scan_own_id, matching_files, bad_cells_counted, layout_partitioned, layout_buckets,
     compaction, compaction_some_buckets, compaction_retried, compaction_packed, deletes_retired, planned_files,
     stream_apply, multi_table, multi_table_log, lineitem_sync, text_sync, normalise_both_outputs,
-    stream_incremental, net_changes, stream_incremental_compacted, stream_relay, text_source_sink, stream_quarantine,
+    stream_incremental, net_changes, stream_incremental_compacted, log_from_latest, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
     score_requests, score_results, score_concurrent, score_stream, stream_counters, tag_window_counts, redacted_text, redacted_documents,
