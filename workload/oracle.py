@@ -398,3 +398,6 @@ UNION ALL SELECT 'bad_' || reason, count(*) FROM bad WHERE reason IS NOT NULL GR
 # A stream that starts at the latest message skips the first third: it was there before.
 ORACLE["log_from_latest"] = f"""WITH r AS ({ORACLE["stream_relay"]})
 SELECT 'earliest' AS topic, value, pos FROM r UNION ALL SELECT 'latest', value, pos FROM r WHERE pos // 10 % 3 > 0"""
+ORACLE["tag_hour_statistics"] = """SELECT time_bucket(INTERVAL '1 hour', ts)::varchar AS window_start, event_type AS tag,
+  count(*) AS messages, true AS distinct_near, true AS median_near, true AS high_near, true AS top_exact FROM events GROUP BY ALL"""
+ORACLE["tag_statistics_stream"] = ORACLE["tag_hour_statistics"]

@@ -21,7 +21,7 @@ from tidemark.plans.table_log import TableLog
 from tidemark.session import work_dir
 from tidemark.sources import messages as msg
 from tidemark.sources import metadata
-from tidemark.streaming import jobs, net, scoring
+from tidemark.streaming import jobs, net, scoring, statistics
 from tidemark.streaming.counters import BatchCounts
 from workload import feeds
 
@@ -772,6 +772,56 @@ def tag_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_statistics(rows: DataFrame, **how) -> DataFrame:
+    user, value = F.col("user_id"), F.col("value")
+    return statistics.tag_statistics(rows, "ts", F.col("event_type"), distinct=user, number=value, frequent=user % 7, **how)
+
+
+def _within_errors(spark: SparkSession, sf_dir: str, stats: DataFrame) -> DataFrame:
+    """Hourly statistics beside exact ones: counts, and whether each estimate is within its stated error."""
+    hours = statistics.estimates(statistics.merged(stats, "1 hour"), quantiles={"median": 0.5, "high": 0.9}, top=3)
+    events = feeds.table(spark, sf_dir, "events")
+    hour = F.window("ts", "1 hour")["start"].alias("window_start")
+    by_hour = events.select(hour, F.col("event_type").alias("tag"), "user_id", "value")
+    exact = by_hour.groupBy("window_start", "tag").agg(F.count_distinct("user_id").alias("users"), F.count("value").alias("values"))
+    counted = by_hour.groupBy("window_start", "tag", (F.col("user_id") % 7).cast("string").alias("v")).agg(F.count("*").alias("n"))
+    tops = counted.groupBy("window_start", "tag").agg(F.slice(F.reverse(F.array_sort(F.collect_list("n"))), 1, 3).alias("tops"))
+    ranks = by_hour.join(hours, ["window_start", "tag"]).groupBy("window_start", "tag").agg(
+        *(F.count_if(F.col("value") <= F.col(q)).alias(f"upto_{q}") for q in ("median", "high")),
+        *(F.count_if(F.col("value") < F.col(q)).alias(f"below_{q}") for q in ("median", "high")),
+    )
+    both = hours.join(exact, ["window_start", "tag"]).join(ranks, ["window_start", "tag"]).join(tops, ["window_start", "tag"])
+    n, most = F.col("values"), statistics.RANK_ERROR
+
+    def near(q: str, rank: float):
+        return (F.col(f"upto_{q}") >= (rank - most) * n - 1) & (F.col(f"below_{q}") <= (rank + most) * n + 1)
+
+    return both.select(
+        F.col("window_start").cast("string").alias("window_start"), "tag", "messages",
+        (F.abs(F.col("distinct_values") - F.col("users")) <= F.ceil(statistics.DISTINCT_ERROR * F.col("users"))).alias("distinct_near"),
+        near("median", 0.5).alias("median_near"), near("high", 0.9).alias("high_near"),
+        (F.transform("top", lambda t: t["count"]) == F.col("tops")).alias("top_exact"),
+    )
+
+
+def tag_hour_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours merged from sketches of ten minutes."""
+    return _within_errors(spark, sf_dir, _event_statistics(feeds.table(spark, sf_dir, "events")))
+
+
+def tag_statistics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream in update mode over several batches, in which no message is late."""
+    root = work_dir(spark, "statistics")
+    events = feeds.table(spark, sf_dir, "events").select("ts", "event_type", "user_id", "value")
+    day = F.dayofmonth("ts") % 4
+    for part in range(4):
+        events.filter(day == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stats = _event_statistics(source, late="400 days")
+    _finish(statistics.start_tag_statistics(stats, f"{root}/out", f"{root}/ck"))
+    return _within_errors(spark, sf_dir, statistics.latest(spark.read.parquet(f"{root}/out")))
+
+
 def redacted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masking.redact(feeds.log_lines(spark, sf_dir), "line")
 
@@ -797,6 +847,7 @@ REGISTERED = (
     stream_incremental, net_changes, stream_incremental_compacted, log_from_latest, stream_relay, text_source_sink, stream_quarantine,
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
-    score_requests, score_results, score_concurrent, score_stream, stream_counters, tag_window_counts, redacted_text, redacted_documents,
+    score_requests, score_results, score_concurrent, score_stream, stream_counters, tag_window_counts,
+    tag_hour_statistics, tag_statistics_stream, redacted_text, redacted_documents,
 )
 QUERIES = {f.__name__: f for f in REGISTERED}
