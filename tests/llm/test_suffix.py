@@ -76,6 +76,23 @@ def test_what_is_left_equals_brute_force(spark, how):
     assert got == dict(enumerate(kept([t.encode() for t in texts], 200)))
 
 
+@pytest.mark.parametrize("most", [2, 20])
+def test_a_crowd_falls_into_finer_segments(spark, monkeypatch, most):
+    """A passage that all documents share, each time between other words: anchors of several levels settle it."""
+    rng = random.Random(3)
+    letters = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    passage = letters(330)
+    texts = [letters(rng.randint(0, 260)) + passage[: rng.choice([330, 330, 250])] + letters(rng.randint(0, 260)) for _ in range(120)]
+    texts += texts[:7]
+    levels = []
+    finer = suffix._finer
+    monkeypatch.setattr(suffix, "_finer", lambda level, *a: levels.append(level) or finer(level, *a))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in suffix.remove_repeats(df, "i", "t", most=most).collect()}
+    assert got == dict(enumerate(kept([t.encode() for t in texts], 200)))
+    assert levels[:1] == [1] and (most > 2 or len(levels) > 1)
+
+
 def test_nulls_repeated_rows_and_cut_characters(spark):
     long = "é" * 120 + "".join(chr(97 + i % 26) * (i % 7 + 1) for i in range(300))
     rows = [(1, None), (None, "short"), (2, long), (2, long), (None, "x" + long[20:]), (3, "")]

@@ -32,7 +32,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(folder)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._stored_in = folder
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove what :func:`stored` wrote, once all that is computed from it is stored itself."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df._stored_in)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -17,8 +17,11 @@ which sorts by one more symbol, until ``length`` bytes are sorted. Suffixes are
 borders that appear in a round give the common prefixes, blocks that last through all rounds are the
 repeated intervals. Suffixes whose symbols do not all occur twice are left out beforehand.
 
-Skew. Copies collapse by partial aggregation. An anchor with more than ``most`` distinct segments is not
-put into a bucket: its windows are counted as rows, which aggregates before the shuffle.
+Skew. Copies collapse by partial aggregation. An anchor with more than ``most`` distinct segments is a crowd, mostly
+around a passage that very many documents share. Its segments are cut again by second anchors, the smallest of another
+hash, which fall to the texts around the passage as often as to the passage: so a crowd falls into segments that are
+settled by counting or meet in many buckets, and what is still crowded is cut again, ``LEVELS`` times. Windows that are
+crowded even then are counted as rows, which aggregates before the shuffle.
 
 Null text is empty. Texts shorter than ``length`` bytes have no window. Rows of one id are one document and
 must hold one text; a row without id is known by the hash of its text. Very long texts are cut into overlapping blocks of windows. An
@@ -27,6 +30,7 @@ empty table gives an empty result. Other columns are kept; input columns named l
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +39,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches, parts_of, stored
+from tidemark.llm.common import bounded_batches, dropped, parts_of, stored
 from tidemark.llm.minhash import ODD, mixed
 
+LEVELS = 4  # of anchors beyond the first
 STEP = 25  # bytes of a symbol; a window is a whole number of symbols
 
 
@@ -58,14 +63,16 @@ def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - (width - size)], keys[width - size :]) if width > size else keys
 
 
-def segments_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Text, first window, windows, anchor's hash and content's hash of all segments of the texts."""
+def segments_of(texts: list[bytes], length: int, gram: int, level: int = 0) -> tuple[np.ndarray, ...]:
+    """Text, first window, windows, anchor's hash and content's hash of all segments of the texts; levels hash differently."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if len(data) < length:
         return nothing
     sums, back = _sums(data)
     grams = mixed((sums[gram:] - sums[:-gram]) * back[: len(data) - gram + 1])
+    for k in range(level):
+        grams = mixed(grams ^ np.uint64(k + 1))
     low = np.uint64((1 << max(16, len(grams).bit_length())) - 1)
     best = _smallest((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - gram + 1) & low
     anchor = best.astype(np.int64)  # of equal hashes the leftmost
@@ -112,6 +119,25 @@ def segments(df: DataFrame, *, length: int, gram: int, slice_bytes: int) -> Data
     return bounded_batches(df).mapInArrow(run, "anchor bigint, content bigint, id bigint, place bigint")
 
 
+def _finer(level: int, length: int, gram: int, slice_bytes: int):
+    """Segments of segments, by the anchors of a level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts_of(batches, "bytes", slice_bytes):
+            texts = batch.column("bytes").to_pylist()
+            owner, first, windows, anchor, content = segments_of(texts, length, gram, level)
+            above, ids, n, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "id", "n", "place"))
+            key = mixed(anchor ^ mixed(above[owner].view(np.uint64)))  # equal windows agree in every level's anchor
+            places = (((place[owner] >> 16) + first) << 16) | windows
+            parts = [texts[o][f : f + w + length - 1] for o, f, w in zip(owner.tolist(), first.tolist(), windows.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids[owner]), pa.array(places), pa.array(n[owner]), pa.array(parts, pa.binary())],
+                names=["anchor", "content", "id", "place", "n", "bytes"],
+            )
+
+    return run
+
+
 def _stable(keys: np.ndarray) -> np.ndarray:
     """A stable order by whole numbers below 2^32, by halves."""
     order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
@@ -238,6 +264,7 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
     # Counts are written before they are joined: Spark splits a hot key only between plain shuffles.
     anchors = stored(anchors.filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("equal")), "anchors")
     shared = stored(every.join(anchors, "anchor"), "shared")
+    dropped(every)
     first, windows = F.shiftright("place", 16), F.col("place").bitwiseAND(0xFFFF)
     spans = _spans(shared.filter("equal"), first, windows, length)
 
@@ -260,7 +287,27 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
     )
     pieces = stored(raw.join(per_text, "id").select("id", F.inline(cut)), "pieces")
 
-    size = pieces.filter(F.col("members") <= most).agg(F.sum(F.length("bytes"))).first()[0] or 0
+    cold, hot, level = [pieces.filter(F.col("members") <= most)], pieces.filter(F.col("members") > most), 1
+    while level <= LEVELS and not hot.isEmpty():
+        finer = bounded_batches(hot.select("anchor", "id", "n", "place", "bytes")).mapInArrow(
+            _finer(level, length, gram, slice_bytes), "anchor bigint, content bigint, id bigint, place bigint, n bigint, bytes binary"
+        )
+        finer = stored(finer, "finer")
+        known = finer.groupBy("anchor", "content").agg(
+            F.sum("n").alias("n"), F.min(F.struct("id", "place")).alias("one"), F.any_value("bytes").alias("bytes")
+        )
+        known = stored(known, "known")
+        # A segment that is no copy itself, and equals another's.
+        again = finer.filter("n = 1").join(known.filter("n > 1").select("anchor", "content"), ["anchor", "content"])
+        spans = spans.union(_spans(again, first, windows, length))
+        crowds = stored(known.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1"), "crowds")
+        parts = known.join(crowds, "anchor").select(F.col("one.id").alias("id"), "anchor", "n", "members", F.col("one.place").alias("place"), "bytes")
+        parts = stored(parts, "pieces")
+        cold.append(parts.filter(F.col("members") <= most))
+        hot, level = parts.filter(F.col("members") > most), level + 1
+    cold = functools.reduce(DataFrame.unionByName, cold)
+
+    size = cold.agg(F.sum(F.length("bytes"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
 
     def run(table: pa.Table) -> pa.Table:
@@ -277,13 +324,11 @@ def repeated_spans(df: DataFrame, *, length: int, gram: int, most: int, bucket_b
         ids, begins, ends = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table([pa.array(x, pa.int64()) for x in (ids, begins, ends)], names=["id", "begin", "end"])
 
-    cold = pieces.filter(F.col("members") <= most)
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")
     merged = cold.select(bucket, "id", "n", "place", "bytes").groupBy("bucket").applyInArrow(run, "id bigint, begin bigint, end bigint")
     spans = spans.union(merged)
 
-    # Windows of crowded anchors as rows.
-    hot = pieces.filter(F.col("members") > most)
+    # Windows that are crowded still, as rows.
     starts = F.sequence(F.lit(0), (F.col("place").bitwiseAND(0xFFFF) - 1).cast("int"))
     rows = hot.select("id", "n", "place", "bytes", F.explode(starts).alias("at"))
     text = F.substring("bytes", F.col("at") + 1, F.lit(length))
