@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.redact import redact
+from tidemark.functions.redact import RULES, Rule, redact, rules_from
 from tidemark.streaming import scoring
 
 
@@ -178,3 +178,24 @@ def test_limits_must_be_positive(spark):
     for how in ({"in_flight": 0}, {"attempts": 0}, {"ask_rows": -1}):
         with pytest.raises(ValueError):
             scoring.score(_rows(spark, 1), lambda: None, **how)
+
+
+def test_rules_from_a_file(spark, tmp_path):
+    file = tmp_path / "rules.json"
+
+    def read(rules):
+        file.write_text(json.dumps({"version": 1, "rules": rules}))
+        return rules_from(spark, f"file://{file}")
+
+    listed = [{"trigger": r.trigger, "search": r.search, "replace": r.replace, "caseSensitive": r.case_sensitive} for r in RULES]
+    assert read(listed) == RULES
+    rules = read([{"description": "digits", "search": r"\d+", "replace": "$N"}, {"search": "X", "replace": "", "caseSensitive": True}])
+    assert rules == (Rule(None, r"\d+", "$N"), Rule(None, "X", "", True))
+    df = spark.createDataFrame([("a1 xX 22",), (None,)], "line string")
+    assert [r.line for r in redact(df, "line", rules).collect()] == ["a$N x $N", None]
+    for bad in ([{"search": "a"}], [{"replace": "a"}], ["a"], [{"search": "(", "replace": ""}]):
+        with pytest.raises(Exception, match="rule 0|regex|pattern|PATTERN|REGEX"):
+            read(bad)
+    file.write_text("{}")
+    with pytest.raises(ValueError):
+        rules_from(spark, f"file://{file}")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +32,27 @@ RULES = (
 )
 
 
+def rules_from(spark: SparkSession, path: str) -> tuple[Rule, ...]:
+    """Rules out of a JSON file, ``{"rules": [{"trigger", "search", "replace", "caseSensitive"}, ...]}``, in its order.
+
+    ``trigger`` and ``caseSensitive`` (false) may be left out, other keys are comments. A rule without ``search`` or
+    ``replace``, and a pattern that Spark cannot read, stop here and not in a job.
+    """
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    listed = json.loads(text).get("rules")
+    if not isinstance(listed, list):
+        raise ValueError(f"{path} has no list of rules")
+    rules = []
+    for i, r in enumerate(listed):
+        if not isinstance(r, dict) or not r.get("search") or "replace" not in r:
+            raise ValueError(f"rule {i} of {path} needs search and replace")
+        rules.append(Rule(r.get("trigger") or None, r["search"], r["replace"], bool(r.get("caseSensitive", False))))
+    # Patterns are Java's: Spark tries them on one row.
+    tried = redact(spark.range(1).select(F.lit("").alias("text")), "text", [r._replace(trigger=None) for r in rules])
+    tried.collect()
+    return tuple(rules)
+
+
 def redact(df: DataFrame, column: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """``df`` with every rule applied in turn to a text column.
 

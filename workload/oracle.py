@@ -401,3 +401,4 @@ SELECT 'earliest' AS topic, value, pos FROM r UNION ALL SELECT 'latest', value,
 ORACLE["tag_hour_statistics"] = """SELECT time_bucket(INTERVAL '1 hour', ts)::varchar AS window_start, event_type AS tag,
   count(*) AS messages, true AS distinct_near, true AS median_near, true AS high_near, true AS top_exact FROM events GROUP BY ALL"""
 ORACLE["tag_statistics_stream"] = ORACLE["tag_hour_statistics"]
+ORACLE["redacted_by_file"] = ORACLE["redacted_text"]

@@ -826,6 +826,16 @@ def redacted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masking.redact(feeds.log_lines(spark, sf_dir), "line")
 
 
+def redacted_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines masked by rules that were written to a file and read from there."""
+    path = work_dir(spark, "rules")
+    listed = [
+        {"trigger": r.trigger, "search": r.search, "replace": r.replace, "caseSensitive": r.case_sensitive} for r in masking.RULES
+    ]
+    spark.createDataFrame([(json.dumps({"version": 1, "rules": listed}),)], "value string").coalesce(1).write.text(path)
+    return masking.redact(feeds.log_lines(spark, sf_dir), "line", masking.rules_from(spark, path))
+
+
 def redacted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with a secret behind the text."""
     docs = feeds.table(spark, sf_dir, "documents").select(
@@ -848,6 +858,6 @@ REGISTERED = (
     type_map, type_map_native, table_plan, topic_names, list_tables, probe_columns,
     plan_from_dictionary, created_tables, allow_list, allow_list_per_owner, allow_list_table,
     score_requests, score_results, score_concurrent, score_stream, stream_counters, tag_window_counts,
-    tag_hour_statistics, tag_statistics_stream, redacted_text, redacted_documents,
+    tag_hour_statistics, tag_statistics_stream, redacted_text, redacted_by_file, redacted_documents,
 )
 QUERIES = {f.__name__: f for f in REGISTERED}
