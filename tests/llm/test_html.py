@@ -1,7 +1,9 @@
+from html.parser import HTMLParser
+
 import numpy as np
 import pytest
 
-from tidemark.llm import html
+from tidemark.llm import html, queries
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><style>p{margin:0}</style>
 <script>var t="</p><b"; if (a<b) x();</script></head><body class="has-sidebar"><nav><ul><li><a href="/a">Home</a></li>
@@ -85,3 +87,68 @@ def test_block_features():
 @pytest.mark.parametrize("page", ["<", "<a", "</", "<!", "<p <p>a", "a < b > c", "&", "<p class='x>y</p>"])
 def test_broken_markup_does_not_fail(page):
     assert isinstance(html.main_text(page, html.trained()), str)
+
+
+BODY = f"{PLAIN}<p>The end.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # words inside quoted values of attributes say nothing
+        (article(f'<p title="the hidden truth">One.</p><p data-note="a hidden gem">Two.</p>{PLAIN}'), f"One.\nTwo.\n{KEPT}"),
+        (article(f"<p data-x='class=ad id=\"menu\"'>One.</p>{PLAIN}"), f"One.\n{KEPT}"),
+        (article(f"<p hidden>One.</p><p aria-hidden=true>Two.</p><p class='sidebar left'>Three.</p>{PLAIN}"), KEPT),
+        # formulas are text, their sources are not
+        (article(f"<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>x=1</annotation></math> be.</p>{PLAIN}"),
+         f"Let x=1 be.\n{KEPT}"),
+        # sections named by their subject
+        (article(f"<section class='legal'>{PLAIN}</section><div class='related-work'><p>Others did this.</p></div>"), f"{KEPT}\nOthers did this."),
+        (article(f"<h2 id='search'>Search</h2>{PLAIN}"), f"Search\n{KEPT}"),
+        # wrappers of the whole page
+        (f"<body><div class='page form-page'><article>{BODY}</article></div>", f"{KEPT}\nThe end."),
+        (f"<body><form id='aspnetForm'><div class='has-sidebar'><main>{BODY}</main></div><p>Name</p></form>", f"{KEPT}\nThe end."),
+        (f"<body><div class='notice'><article>{BODY}</article></div>", f"{KEPT}\nThe end."),
+        # but not of teasers, footers and comments
+        (article(BODY) + f"<aside><article>{BODY}</article></aside><div class='related-posts'><article>{BODY}</article></div>", f"{KEPT}\nThe end."),
+        (article(BODY) + f"<div id='comments'><article>{BODY}</article></div><div class='page-footer'>{PLAIN}</div>", f"{KEPT}\nThe end."),
+        (article(f"<div class='share-buttons'><p>Tell all.</p></div><div class='ad-box'>{PLAIN}</div>{BODY}"), f"{KEPT}\nThe end."),
+    ],
+)
+def test_text_of_the_article_stays(page, text):
+    assert html.main_text(page, html.trained()) == text
+
+
+class Plain(HTMLParser):
+    """The article's blocks by the standard library's parser, for pages that have one article element."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.off, self.out = False, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.off += tag in {"script", "style"} or dict(attrs).get("class") == "ad"
+        self.inside |= tag == "article"
+        if tag not in {"b", "i", "em", "strong", "a", "span"}:
+            self.out.append("") if tag != "br" else self.handle_data(" ")
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        self.off -= tag in {"script", "style"} or (tag == "div" and self.off > 0)
+        if tag not in {"b", "i", "em", "strong", "a", "span"}:
+            self.out.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.off:
+            self.out[-1] += data
+
+
+def test_query_equals_a_plain_parser(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    got = queries.op3_html_text(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(pages) > 100
+    for r in got:
+        parser = Plain()
+        parser.feed(pages[r.page_id] or "")
+        parser.close()
+        assert r.text == "\n".join(" ".join(t.split()) for t in parser.out if t.strip()) and r.n_chars == len(r.text)

@@ -2,8 +2,10 @@
 
 A page is cut at block-level tags into a flat list of text blocks. A block is described by its word
 count and the share of its words inside links, by the same two numbers of the blocks before and behind
-it (beside other text, blocks of an aside are no neighbours), and by what encloses it: an article, or an element that says by its tag, class, id or role that it is
-not part of the main text. A decision tree, grown from a small labelled table, keeps or drops the block.
+it (beside other text, blocks of an aside are no neighbours), and by what encloses it: an article, or an
+element that says by its tag, class, id or role that it is not part of the main text. A class or id says so by its last
+word (``site-footer``), or by any if its other words are of layout only (``ad-box``): ``related-work`` and ``form-page``
+do not. Words that name page-wide wrappers as well (``form``, ``notice``) are forgotten inside of an article. A decision tree, grown from a small labelled table, keeps or drops the block.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one newline. Comments, scripts, styles, form fields and markup are no text; what
@@ -27,11 +29,13 @@ from pyspark.sql import types as T
 from tidemark.llm.common import bounded_batches, parts_of, texts_of
 
 # HTML's element names by kind.
-RAW = frozenset("script style noscript template textarea select option svg math iframe object canvas audio video button datalist".split())
+RAW = frozenset(
+    "script style noscript template textarea select option svg iframe object canvas audio video button datalist annotation annotation-xml".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr math semantics mrow mi mo mn ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle".split()
 )
 ASIDE_TAGS = frozenset("nav footer aside form fieldset dialog menu head title".split())
 ASIDE_WORDS = frozenset(
@@ -41,51 +45,82 @@ ASIDE_WORDS = frozenset(
     "social comment comments commentlist reply replies respond respondent disqus footer header masthead topbar toolbar pagination pager copyright "
     "legal disclaimer skip search form banner complementary contentinfo dialog teaser teasers outbrain taboola hidden feedback reactions".split()
 )
+# Words of wrappers around whole pages too: an article or main element inside is no aside.
+WRAPPERS = frozenset(
+    "form search legal notice notices alert alerts header share sharing social signup login subscribe subscription newsletter widget "
+    "widgets banner consent skip copyright disclaimer feedback reactions hidden respond".split()
+)
+# Words that may be an article's subject when they name its sections.
+SUBJECTS = frozenset("header legal disclaimer copyright search form feedback reactions login subscription".split())
+LAYOUT = frozenset(
+    "box block bar list lists item items wrap wrapper container content inner outer area section slot unit group panel row col column "
+    "columns grid card cards link links text title top bottom left right site global inline mobile desktop sticky fixed main primary "
+    "secondary post posts article articles story stories button buttons icon icons trail widget js ui the".split()
+)
+NOT_ITSELF = frozenset("has have with without no not non is hide show toggle after before".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIBLINGS = frozenset("p li dt dd td th tr".split())
 COMMENTS = frozenset("comment comments reply replies".split())
 ARTICLE_TAGS = frozenset("article main".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
-NAMED = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+WORDS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "aside")
 
 
-def _says_aside(tag: str, attributes: str, in_article: bool) -> bool:
+# What an element says of its content: main text; an aside around blocks, but not around an article; an aside.
+TEXT, WRAPPER, ASIDE = range(3)
+
+
+def _named(name: str, aside: frozenset[str]) -> int:
+    """What one class, id or role says."""
+    words = [w.lower() for w in WORDS.split(name) if w and not w.isdigit()]
+    hits = aside.intersection(words)
+    if not hits or (len(words) > 1 and words[0] in NOT_ITSELF):
+        return TEXT
+    if words[-1] not in hits and not all(w in hits or w in LAYOUT for w in words):
+        return TEXT
+    return WRAPPER if hits <= WRAPPERS else ASIDE
+
+
+def _says(tag: str, attributes: str, in_article: bool) -> int:
+    """What an element says of its content."""
+    says = TEXT
     if tag in ASIDE_TAGS or (tag == "header" and not in_article):
-        return True
-    if not attributes.strip() or tag in {"html", "body", "main"}:
-        return False
-    aside = COMMENTS if tag == "article" else ASIDE_WORDS - {"header"} if in_article else ASIDE_WORDS
-    for name, *values in NAMED.findall(attributes):
-        name, value = name.lower(), "".join(values)
+        says = WRAPPER if tag == "form" else ASIDE
+    if says == ASIDE or not attributes.strip() or tag in {"html", "body", "main"}:
+        return says
+    aside = COMMENTS if tag == "article" else ASIDE_WORDS - SUBJECTS if in_article else ASIDE_WORDS
+    for found in ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return ASIDE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in {"class", "id", "role"}:
-            words = {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value)}
-            if words & aside:
-                return True
-    return False
+            return ASIDE
+        if name in {"class", "id", "role"} and tag not in HEADINGS:
+            says = max([says, *(_named(n, aside) for n in value.split())])
+    return says
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """Text, words, words in links, in an article, in an aside: of each block that has text."""
     out: list[tuple[str, int, int, bool, bool]] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, in an article, in an aside
+    stack: list[tuple[str, bool, int]] = []  # tag, in an article, what its elements say
     links = at = 0
 
     def close() -> None:
         text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
         if text:
             linked = sum(len(html.unescape(t).split()) for t, inside in parts if inside)
-            out.append((text, len(text.split()), linked, *inside_of()))
+            article, says = inside_of()
+            out.append((text, len(text.split()), linked, article, says > TEXT))
         parts.clear()
 
-    def inside_of() -> tuple[bool, bool]:
-        return stack[-1][1:] if stack else (False, False)
+    def inside_of() -> tuple[bool, int]:
+        return stack[-1][1:] if stack else (False, TEXT)
 
     def leave(tag: str) -> None:
         if any(s[0] == tag for s in stack):
@@ -110,7 +145,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 links = max(0, links + (-1 if closing else 1))
             elif tag in VOID:
                 parts.append((" ", links > 0))
-            own = any(s[0] == tag for s in stack) if closing else tag not in VOID and _says_aside(tag, attributes, True)
+            own = any(s[0] == tag for s in stack) if closing else tag not in VOID and _says(tag, attributes, True)
             if not own:
                 continue
         else:
@@ -123,8 +158,10 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         elif tag not in VOID:
             if tag in SIBLINGS and stack and stack[-1][0] == tag:
                 stack.pop()  # closed by the next of its kind
-            article, aside = inside_of()
-            stack.append((tag, article or tag in ARTICLE_TAGS, aside or _says_aside(tag, attributes, article)))
+            article, says = inside_of()
+            if tag in ARTICLE_TAGS and says == WRAPPER:
+                says = TEXT
+            stack.append((tag, article or tag in ARTICLE_TAGS, max(says, _says(tag, attributes, article))))
     if at < len(page):
         parts.append((page[at:], links > 0))
     close()
