@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from tidemark.llm import licenses
+from tidemark.llm import licenses, queries
 
 MIT = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 100)
 
@@ -58,6 +58,8 @@ def test_counts_gaps_and_clean_texts():
         ("Released under the BSD License.", ["BSD"]),
         ("Released under the Apache License.", ["Apache"]),
         ("Released under the Foo License.", []),
+        ("Released under the MIT-0 License.", ["MIT-0"]),
+        ("Permitted by the MIT-0 License.", []),
         ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
         ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
         ("Licensed under CC BY-NC 3.0.", []),
@@ -89,3 +91,20 @@ def test_rows(spark):
     assert [[n.license for n in r.notices] for r in got] == [[], [], *[["CC-BY-NC-4.0"]] * 4]
     assert got[2].notices[0].first_word == 200_000 and got[2].notices[0].matched == 7
     assert licenses.scan(df.filter("i > 9"), "t").count() == 0
+
+
+def test_query_equals_a_scan_around_every_word(spark):
+    """A scanner without chosen keys, which aligns the stretch around every word of a template."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    scanner.keys.clear()
+    for k, (_, words) in enumerate(scanner.templates):
+        for i, word in enumerate(words):
+            scanner.keys[word].append((k, i))
+    scanner.known = frozenset(scanner.keys)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {}
+    for r in docs.collect():
+        found = scanner.scan(r.text or "")
+        want[r.doc_id] = (len(found), ",".join(sorted({f[0] for f in found})), max((f[1] for f in found), default=0.0))
+    got = {r.doc_id: (r.n_notices, r.licenses, r.best_coverage) for r in queries.op5_license_scan(spark, "/root/testdata/sf0.001").collect()}
+    assert got == want and any(n for n, _, _ in want.values())

@@ -6,8 +6,9 @@ alignment; the gaps between neighbouring anchors are aligned the same way, after
 ends of a gap are matched outright. Coverage is the share of the template's words that the alignment
 matches, in order.
 
-Which stretches are aligned: a template's key words are those that the fewest templates share. Around each
-occurrence of a key in the text, the stretch is as long as the template would reach there, and a quarter
+Which stretches are aligned: a template's key is a word that every match must hold (see below), of several the one
+that the fewest templates share; a template without such a word has as many rare words as keys as a match may miss,
+and one more. Around each occurrence of a key in the text, the stretch is as long as the template would reach there, and a quarter
 more. A match beyond ``least`` counts; occurrences inside an accepted match are not aligned again, the
 template's next occurrence is. Of matches that overlap, the template with more matched words stays.
 
@@ -41,6 +42,8 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license."),
+    ("MIT-0", "Released under the MIT-0 License."),
+    ("MIT-0", "Licensed under the MIT-0 license."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("BSD", "Released under the BSD License."),
     ("Apache", "Released under the Apache License."),
@@ -143,9 +146,13 @@ class Scanner:
             naming = RIVALS if len(words) > SHORT else NAMING
             own = {w for w in words if len(words) <= SHORT and len(owners[w]) == 1}
             self.needed.append(own | {w for w in words if w in naming or w.isdigit()})
-            # More rare words than a match may miss, so that a match always holds one of them.
             rare = sorted(range(len(words)), key=lambda i: (spread[words[i]], -len(words[i]), i))
-            for i in rare[: len(words) - self.enough[k] + 1]:
+            sure = next((words[i] for i in rare if words[i] in self.needed[k] and not words[i].isdigit()), None)
+            if sure is not None:
+                rare = [i for i, w in enumerate(words) if w == sure]
+            else:  # more rare words than a match may miss, so that a match always holds one of them
+                rare = rare[: len(words) - self.enough[k] + 1]
+            for i in rare:
                 self.keys[words[i]].append((k, i))
         self.known = frozenset(self.keys)
 
@@ -155,8 +162,10 @@ class Scanner:
         if not self.needed[k] <= {template[j] for _, j in matched}:
             return False
         places = {i for i, _ in matched}
-        between = (i for i in range(matched[0][0], matched[-1][0]) if i not in places)
-        return not any(words[begin + i] in RIVALS - self.needed[k] for i in between)
+        between = [words[begin + i] for i in range(matched[0][0], matched[-1][0]) if i not in places]
+        if self.templates[k][0] == "MIT" and "0" in between:  # another licence
+            return False
+        return not any(w in RIVALS - self.needed[k] for w in between)
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """License, coverage, first and last word, and matched words of every notice in the text."""
