@@ -69,6 +69,31 @@ def test_empty_table_and_damage(spark, archive):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     index = warc.write(warc.with_revisits(none, "page_id", "url", "html"), folder)
     assert index.count() == 0 and warc.read(index, folder).count() == 0
-    record = warc._record(1, "u", 3, "0" * 64, None, b"abc")
+    record = warc._record("2024-05-01T12:00:00Z", 1, "u", 3, "0" * 64, None, b"abc")
     with pytest.raises(ValueError, match="digest"):
         list(warc._parsed(record))
+
+
+def test_records_have_the_mandatory_fields(spark):
+    """The four fields that the format asks of every record, and those it asks of revisits."""
+    folder = "file://" + work_dir(spark, "warc-fields")
+    df = spark.createDataFrame(pages(), "page_id bigint, url string, html string")
+    index = warc.write(warc.with_revisits(df, "page_id", "url", "html"), folder, date="2024-05-01T12:00:00Z")
+    system, path = fs.FileSystem.from_uri(folder)
+    seen = set()
+    for (name,) in index.select("bundle").distinct().collect():
+        with system.open_input_file(f"{path}/{name}") as file:
+            plain = zstandard.ZstdDecompressor().stream_reader(file.read(), read_across_frames=True).read()
+        while plain:
+            head, _, rest = plain.partition(b"\r\n\r\n")
+            version, *lines = head.decode().split("\r\n")
+            fields = dict(line.split(": ", 1) for line in lines)
+            assert version == "WARC/1.1" and {"WARC-Record-ID", "Content-Length", "WARC-Date", "WARC-Type"} <= set(fields)
+            assert fields["WARC-Date"] == "2024-05-01T12:00:00Z" and len(fields) == len(lines)
+            if fields["WARC-Type"] == "revisit":
+                assert "WARC-Profile" in fields and "WARC-Payload-Digest" in fields
+            seen.add(fields["WARC-Type"])
+            plain = rest[int(fields["Content-Length"]) + 4 :]
+    assert seen == {"response", "revisit"}
+    now = warc.write(warc.with_revisits(df.limit(1), "page_id", "url", "html"), "file://" + work_dir(spark, "warc-now"))
+    assert now.count() == 1

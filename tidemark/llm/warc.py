@@ -22,6 +22,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs
@@ -68,8 +69,8 @@ def with_revisits(df: DataFrame, record_id: str, target: str, payload: str, *, l
     )
 
 
-def _record(record_id: int | None, target: str | None, size: int, digest: str, refers_to: int | None, payload: bytes | None) -> bytes:
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}"]
+def _record(date: str, record_id: int | None, target: str | None, size: int, digest: str, refers_to: int | None, payload: bytes | None) -> bytes:
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {date}"]
     head.append(f"WARC-Record-ID: <urn:row:{'' if record_id is None else record_id}>")
     if target:
         head.append("WARC-Target-URI: " + target.encode("unicode_escape").decode("ascii"))
@@ -130,6 +131,8 @@ class BundleWriter:
         if not self.open:
             return
         packed = self.pack.compress(b"".join(self.open))
+        if max(self.size, len(packed)) >= 1 << 32:
+            raise ValueError("a frame of 4 GB or more has no place in a seek table")
         self.out.write(packed)
         for record_id, at, size in self.ids:
             self.index.append((self.name, record_id, len(self.frames), self.at, len(packed), at, size))
@@ -149,8 +152,12 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def write(records: DataFrame, folder: str, *, frame_bytes: int = 256 << 10, bundle_bytes: int = 256 << 20, level: int = 3) -> DataFrame:
-    """Write the rows of ``with_revisits`` as bundles in ``folder``; the stored index is the result."""
+def write(records: DataFrame, folder: str, *, frame_bytes: int = 256 << 10, bundle_bytes: int = 256 << 20, level: int = 3, date: str | None = None) -> DataFrame:
+    """Write the rows of ``with_revisits`` as bundles in ``folder``; the stored index is the result.
+
+    ``date`` is that of all records, as ``2024-05-01T12:00:00Z``; the time of the call if none is given.
+    """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     schema = pa.schema([("bundle", pa.string()), ("record_id", pa.int64()), ("frame", pa.int32()), ("frame_at", pa.int64()), ("frame_bytes", pa.int64()), ("record_at", pa.int64()), ("record_bytes", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +168,7 @@ def write(records: DataFrame, folder: str, *, frame_bytes: int = 256 << 10, bund
             for i in range(batch.num_rows):
                 row = [batch.column(k)[i].as_py() for k in range(6)]
                 writer = writer or BundleWriter(folder, frame_bytes, level)
-                writer.add(row[0], _record(*row))
+                writer.add(row[0], _record(date, *row))
                 if writer.at >= bundle_bytes:
                     yield _rows(writer.close(), schema)
                     writer = None
