@@ -1,8 +1,9 @@
 import random
+import zlib
 
 import numpy as np
 
-from tidemark.llm import language
+from tidemark.llm import language, queries
 
 WORDS = {
     "en": "the and that with from this have which their would about there other people water".split(),
@@ -64,3 +65,14 @@ def test_vectors_follow_the_definition():
     got = bundler.bundle(["x", "  AbA, 12 é!", "", "abab"])
     assert np.allclose(got[1], want / np.linalg.norm(want), atol=1e-5)
     assert not got[2].any() and np.allclose(bundler.bundle(["abab"])[0], got[3], atol=1e-6)
+
+
+def test_query_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.op7_language_id(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in docs[r.doc_id].text or "")) for r in rows)
+    held = [r.lang_pred == docs[r.doc_id].lang for r in rows if r.held_out and r.lang_pred != "und" and docs[r.doc_id].lang]
+    assert len(held) > 100 and sum(held) >= 0.98 * len(held)

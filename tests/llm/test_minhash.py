@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import graph, minhash
 
@@ -120,3 +121,39 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(1, 401)} | {1000 + i: 1000 for i in range(1, 300)} | {5001: 5000}
     assert got == want and Counter(got.values())[0] == 400
     assert graph.components(df.filter("a < 0")).count() == 0
+
+
+def thue_morse(letters, places):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(places))
+
+
+@pytest.mark.parametrize("places", [1024, 2048, 4096])
+def test_words_that_collide_modulo_powers_of_two(spark, places):
+    words = [thue_morse("ab", places), thue_morse("ba", places)]
+    hashes, _ = minhash.word_hashes([w.encode() for w in words])
+    assert hashes[0] != hashes[1]
+    df = spark.createDataFrame([(i, f"{w} and more") for i, w in enumerate(words)], "i int, t string")
+    assert all(r.kept for r in minhash.near_duplicates(df, "i", "t").collect())
+
+
+def test_hashes_of_words_do_not_depend_on_place():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    texts = [" ".join(words[k : k + n]).encode() for k, n in ((0, 3000), (5, 1), (9, 700))]
+    hashes, owner = minhash.word_hashes(texts)
+    alone = {w: int(minhash.word_hashes([w.encode()])[0][0]) for w in words}
+    assert len(set(alone.values())) == len(set(words))
+    assert [int(h) for h in hashes] == [alone[w] for w in words + words[5:6] + words[9:709]] and list(np.bincount(owner)) == [3000, 1, 700]
+
+
+def test_ids_that_several_texts_share(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, one), (1, two), (1, two + " more"), (2, one + " more"), (2, one + " more"), (3, two), (4, three), (4, None), (4, ""), (None, one)]
+    df = spark.createDataFrame(rows, "i bigint, t string")
+    got = minhash.near_duplicates(df, "i", "t")
+    got = got.join(df.select(F.xxhash64("t").alias("text_hash"), "t").distinct(), "text_hash")
+    found = {(r.id, r.t): (r.component_id, r.kept) for r in got.collect()}
+    assert got.count() == len(rows)
+    assert found[1, one] == (1, True) and found[2, one + " more"] == (1, False) and found[3, two] == (1, False)
+    assert sorted(found[1, t][1] for t in (two, two + " more")) == [False, True]
+    assert found[4, three] == (4, True) and found[4, ""] == (4, True) and found[4, None] == (4, True) and found[None, one] == (None, True)

@@ -98,3 +98,15 @@ def test_held_out_shares(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     held = languages.join(docs, "doc_id").filter("held_out")
     assert held.filter(F.col("lang") == F.col("lang_pred")).count() >= 0.95 * held.count() > 0
+
+
+def test_texts_that_share_an_id_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    one, two = (" ".join(f"{x}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(90)) for x in ("al", "be"))
+    new = [(10**9, one), (10**9, two), (10**9, two), (10**9, f"Some words before. {item} And some words after it."), (10**9 + 1, one)]
+    rows = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in new], docs.schema).coalesce(1)
+    left = stored(corpus_pipeline.one_of_each_group(spark, rows, SF), "unique")
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted({(i, t) for i, t in new if i == 10**9})
+    clean = corpus_pipeline.without_benchmark(spark, left, SF)
+    assert sorted(r.text for r in clean.collect()) == sorted([one, two]) and clean.columns == docs.columns

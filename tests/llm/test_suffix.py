@@ -104,3 +104,13 @@ def test_nulls_repeated_rows_and_cut_characters(spark):
     assert suffix.remove_repeats(df.filter("i > 9"), "i", "t").count() == 0
     with pytest.raises(ValueError):
         suffix.remove_repeats(df, "i", "t", length=210)
+
+
+def test_ids_that_several_texts_share(spark):
+    rng = random.Random(6)
+    letters = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    one, two = letters(600), letters(700)
+    rows = [(1, one), (1, two), (2, one), (3, two[:150])]
+    df = spark.createDataFrame(rows, "i bigint, t string")
+    got = sorted((r.i, r.n_bytes, r.n_removed, bytes(r.kept).decode()) for r in suffix.remove_repeats(df, "i", "t").collect())
+    assert got == [(1, 600, 600, ""), (1, 700, 0, two), (2, 600, 600, ""), (3, 150, 0, two[:150])]

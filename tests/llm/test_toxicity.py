@@ -1,8 +1,9 @@
 import random
+import zlib
 
 import numpy as np
 
-from tidemark.llm import toxicity
+from tidemark.llm import queries, toxicity
 
 FILLER = "the of and to in is was for on that with as at by from this have or had not but".split()
 
@@ -64,3 +65,16 @@ def test_nulls_empty_tables_and_one_label(spark):
     machine = toxicity.fit(both, "doc_id", "text", labels, "doc_id", "toxic")
     scores = [r.score for r in toxicity.score(docs, "text", machine).collect()]
     assert scores[0] == scores[2] < 0.5 < scores[3] == scores[4]
+
+
+def test_query_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.toxic is not None}
+    ids = [r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()]
+    rows = queries.op4_toxicity(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(ids)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    hits, found, toxic = sum(p and y for p, y in held), sum(p for p, _ in held), sum(y for _, y in held)
+    assert toxic and hits >= 0.9 * toxic and hits >= 0.9 * found

@@ -70,6 +70,19 @@ def id_part(column: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(-1))
 
 
+def with_text_key(df: DataFrame, record_id: str, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the column ``key``, a long of every document, and the ids that several texts share.
+
+    The key is the id; where rows share an id but not the text, a hash of both. Null where the id is null.
+    """
+    own, other = F.col(record_id).cast("long"), f"{key}_shared"
+    found = df.select(own.alias(other), F.xxhash64(text).alias("hash")).filter(F.col(other).isNotNull())
+    found = found.groupBy(other).agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    shared = stored(found.filter("low != high").select(other), "shared-ids")
+    rows = df.join(shared, own == F.col(other), "left")
+    return rows.withColumn(key, F.when(F.col(other).isNull(), own).otherwise(F.xxhash64(own, text))).drop(other), shared
+
+
 def parts_of(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about ``most`` bytes of a text column; a longer row is a slice of its own."""
     for batch in batches:

@@ -13,8 +13,12 @@ crowded buckets block by block, where a product of incidence matrices counts wha
 links become rows. No candidate pair of a bucket is passed over unless its documents are in one
 component, so no link is lost that any band has found.
 
-Null or blank text has an empty set and is linked with nothing. Rows with the same id are one document.
-A null id is linked with nothing, has a null component and is kept. An empty table gives an empty result.
+Sets are compared as sets of 64-bit hashes of their shingles.
+
+Null or blank text has an empty set and is linked with nothing. Rows of equal id and text are one document; rows that
+share an id but not the text are documents of their own, told apart by ``text_hash``, and of those with the component's
+smallest id one is kept. A null id is linked with nothing, has a null component and is kept. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, parts_of, stored
+from tidemark.llm.common import bounded_batches, parts_of, stored, with_text_key
 from tidemark.llm.graph import components
 
 SPACE = np.zeros(256, bool)
@@ -45,16 +49,58 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+PRIME = (1 << 31) - 1
+BASES = (1_482_907_561, 837_461_029)  # drawn at random
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^62 modulo PRIME, but for PRIME itself, which may stand for 0."""
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    x = (x & p) + (x >> bits)
+    return (x & p) + (x >> bits)
+
+
+def _powers(base: int, places: int) -> np.ndarray:
+    """The first powers of the base modulo PRIME, by doubling."""
+    out = np.ones(places, np.uint64)
+    done = 1
+    while done < places:
+        more = min(done, places - done)
+        out[done : done + more] = _modulo(out[:more] * np.uint64(pow(base, done, PRIME)))
+        done += more
+    return out
+
+
+class Substrings:
+    """Hashes of any substrings of some bytes.
+
+    Two polynomials modulo a prime, with drawn bases: unlike sums modulo a power of two, they have no strings that
+    collide for every base. Strings of n bytes collide with probability (n / 2^31)^2.
+    """
+
+    def __init__(self, data: np.ndarray):
+        self.sums, self.back = [], []
+        for base in BASES:
+            terms = (data.astype(np.uint64) + np.uint64(1)) * _powers(base, len(data))
+            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(_modulo(terms))]))
+            self.back.append(_powers(pow(base, -1, PRIME), len(data) + 1))
+
+    def hashes(self, starts: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
+        out = None
+        for sums, back in zip(self.sums, self.back, strict=True):
+            part = _modulo(_modulo(sums[ends] - sums[starts]) * back[starts])
+            part = np.where(part == PRIME, np.uint64(0), part)
+            out = part if out is None else (out << np.uint64(31)) | part
+        return mixed(out)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts, and the text it belongs to."""
     data = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
     blank = SPACE[data]
     before = np.concatenate([[True], blank[:-1]])
     starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
-    powers = np.cumprod(np.full(len(data), ODD, np.uint64))
-    back = np.cumprod(np.full(len(data), pow(int(ODD), -1, 1 << 64), np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers)])
-    hashes = mixed((sums[ends] - sums[starts]) * back[starts]) if len(starts) else np.zeros(0, np.uint64)
+    hashes = Substrings(data).hashes(starts, ends)
     borders = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
     return hashes, np.searchsorted(borders, starts, side="right")
 
@@ -119,7 +165,7 @@ def _int64(lists: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(df: DataFrame, record_id: str, text: str, *, width: int, bands: int, rows: int, slice_bytes: int = 1 << 20) -> DataFrame:
-    """``(id, n_shingles, content, buckets)`` of every row; rows of equal sets have equal content."""
+    """``(id, text_hash, n_shingles, content, buckets)`` of every row; rows of equal sets have equal content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches, "text", slice_bytes):
@@ -130,12 +176,12 @@ def sketches(df: DataFrame, record_id: str, text: str, *, width: int, bands: int
                 keys = mixed(keys * ODD + found[:, :, k])
             content = [b"".join(np.uint64(mixed(s + np.uint64(k)).sum()).tobytes() for k in (1, 2)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(content, pa.binary()), _int64(list(keys))],
-                names=["id", "n_shingles", "content", "buckets"],
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(content, pa.binary()), _int64(list(keys))],
+                names=["id", "text_hash", "n_shingles", "content", "buckets"],
             )
 
-    columns = (F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return bounded_batches(df).select(*columns).mapInArrow(run, "id bigint, n_shingles bigint, content binary, buckets array<bigint>")
+    columns = (F.col(record_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    return bounded_batches(df).select(*columns).mapInArrow(run, "id bigint, text_hash bigint, n_shingles bigint, content binary, buckets array<bigint>")
 
 
 def full_sets(df: DataFrame, *, width: int, slice_bytes: int = 1 << 20) -> DataFrame:
@@ -265,12 +311,14 @@ def _across(now: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFr
 def near_duplicates(
     df: DataFrame, record_id: str, text: str, *, width: int = 5, percent: int = 80, bands: int = 25, rows: int = 4, first_bands: int = 5, steps: int = 1, block: int = 1024
 ) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` of every row; the smallest id of a component is kept.
+    """``(id, text_hash, n_shingles, component_id, kept)`` of every row; the smallest id of a component is kept.
 
     Documents are linked with ``100 * intersection >= percent * union`` of their sets. A pair of similarity
     s shares a band with probability ``1 - (1 - s ** rows) ** bands``: 0.999998 at 0.8 as given.
     """
-    docs = stored(sketches(df, record_id, text, width=width, bands=bands, rows=rows), "sketches")
+    df = df.select(F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
+    df, shared = with_text_key(df, "id", "text", "key")
+    docs = stored(sketches(df, "key", "text", width=width, bands=bands, rows=rows), "sketches")
     nodes = (
         docs.filter("n_shingles > 0 AND id IS NOT NULL")
         .groupBy("content")
@@ -282,7 +330,7 @@ def near_duplicates(
     # Counts are written before they are joined: Spark splits a hot key only between plain shuffles.
     crowded = stored(crowded, "crowded")
     candidates = stored(places.join(crowded, "bucket").select("id").distinct(), "candidates")
-    texts = df.select(F.col(record_id).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = df.select(F.col("key").alias("id"), "text")
     texts = texts.join(_small(candidates), "id", "left_semi")
     sets = stored(full_sets(texts, width=width).dropDuplicates(["id"]), "sets")
     first = nodes.select("content", F.col("id").alias("first"))
@@ -317,4 +365,15 @@ def near_duplicates(
         named = named.withColumn("root", F.lit(None).cast("long"))
     own = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("root", "first"))
     named = named.withColumn("component_id", F.coalesce(own, F.col("id")))
-    return named.select("id", "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = named.select("id", "text_hash", "n_shingles", "component_id")
+    kept = F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    if shared.isEmpty():
+        return named.select("*", kept)
+    # Keys back to ids: a component is named by its smallest id, whatever keys its documents have.
+    own = stored(df.filter("key != id").select("key", F.col("id").alias("own")).distinct(), "shared-keys")
+    named = named.join(own, named["id"] == own["key"], "left").withColumn("own", F.coalesce("own", "id")).drop("key")
+    first = named.groupBy("component_id").agg(F.min(F.struct("own", "id")).alias("first")).withColumnRenamed("component_id", "root")
+    named = named.join(first, named["component_id"] == first["root"], "left")
+    return named.select(
+        F.col("own").alias("id"), "text_hash", "n_shingles", F.col("first.own").alias("component_id"), F.col("id").eqNullSafe(F.col("first.id")).alias("kept")
+    )

@@ -81,7 +81,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 85 % of common three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.near_duplicates(docs, "doc_id", "text", width=3, percent=85, bands=20, rows=5)
-    return found.withColumnRenamed("id", "doc_id")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

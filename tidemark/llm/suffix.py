@@ -23,8 +23,8 @@ hash, which fall to the texts around the passage as often as to the passage: so
 settled by counting or meet in many buckets, and what is still crowded is cut again, ``LEVELS`` times. Windows that are
 crowded even then are counted as rows, which aggregates before the shuffle.
 
-Null text is empty. Texts shorter than ``length`` bytes have no window. Rows of one id are one document and
-must hold one text; a row without id is known by the hash of its text. Very long texts are cut into overlapping blocks of windows. An
+Null text is empty. Texts shorter than ``length`` bytes have no window. Every row is a document: repeated rows repeat each
+other, and rows may share an id with other texts; a row without id is known by the hash of its text. Very long texts are cut into overlapping blocks of windows. An
 empty table gives an empty result. Other columns are kept; input columns named like the results are replaced.
 """
 
@@ -39,21 +39,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches, dropped, parts_of, stored
-from tidemark.llm.minhash import ODD, mixed
+from tidemark.llm.common import bounded_batches, dropped, parts_of, stored, with_text_key
+from tidemark.llm.minhash import Substrings, mixed
 
 LEVELS = 4  # of anchors beyond the first
 STEP = 25  # bytes of a symbol; a window is a whole number of symbols
 
 
-def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums and scale factors, from which any substring's hash follows."""
-    powers = np.cumprod(np.full(len(data), ODD, np.uint64))
-    back = np.cumprod(np.full(len(data), pow(int(ODD), -1, 1 << 64), np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers)])
-    return sums, back
-
-
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every ``width`` neighbours."""
     size = 1
@@ -69,8 +61,8 @@ def segments_of(texts: list[bytes], length: int, gram: int, level: int = 0) -> t
     nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if len(data) < length:
         return nothing
-    sums, back = _sums(data)
-    grams = mixed((sums[gram:] - sums[:-gram]) * back[: len(data) - gram + 1])
+    strings = Substrings(data)
+    grams = strings.hashes(slice(None, -gram), slice(gram, None))
     for k in range(level):
         grams = mixed(grams ^ np.uint64(k + 1))
     low = np.uint64((1 << max(16, len(grams).bit_length())) - 1)
@@ -86,8 +78,7 @@ def segments_of(texts: list[bytes], length: int, gram: int, level: int = 0) -> t
     if not len(first):
         return nothing
     offset = (anchor[first] - first).astype(np.uint64)
-    content = (sums[last + length] - sums[first]) * back[first]
-    content = mixed(content ^ mixed(offset * np.uint64(1 << 20) + (last - first).astype(np.uint64)))
+    content = mixed(strings.hashes(first, last + length) ^ mixed(offset * np.uint64(1 << 20) + (last - first).astype(np.uint64)))
     begin = np.concatenate([[0], ends[:-1]])[owner[first]]
     return owner[first], first - begin, last - first + 1, grams[anchor[first]], content
 
@@ -206,8 +197,7 @@ def repeated_windows(texts: list[bytes], length: int, *, shard_symbols: int = 1
     ends = np.cumsum([len(t) for t in texts])
     if not len(texts) or len(data) < length:
         return out
-    sums, back = _sums(data)
-    hashes = mixed((sums[STEP:] - sums[:-STEP]) * back[: len(data) - STEP + 1])
+    hashes = Substrings(data).hashes(slice(None, -STEP), slice(STEP, None))
     text = np.searchsorted(ends, np.arange(len(data)), side="right")
     left = ends[text] - np.arange(len(data))  # bytes from here to the text's end
     whole = left[: len(hashes)] >= STEP
@@ -351,13 +341,14 @@ def remove_repeats(
         raise ValueError(f"length must be a multiple of {STEP}")
     named = {"kept", "n_bytes", "n_removed", "n_spans"}
     keep = [f for f in df.schema.fields if f.name not in named]
-    known = F.coalesce(F.col(record_id).cast("long"), F.xxhash64(F.col(text)))
-    rows = df.select(known.alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    key = "_" + "_".join(df.columns)  # a name no column has
+    df, _ = with_text_key(df, record_id, text, key)
+    df = df.withColumn(key, F.coalesce(key, F.xxhash64(text)))
+    rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = repeated_spans(rows, length=length, gram=gram, most=most, bucket_bytes=bucket_bytes, slice_bytes=slice_bytes)
     spans = stored(spans.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
 
-    key = "_" + "_".join(f.name for f in keep)  # a name no column has
-    joined = df.select(*(f.name for f in keep)).withColumn(key, known)
+    joined = df.select(*(f.name for f in keep), key)
     spans = spans.select(F.col("id").alias(key), F.col("spans").alias(f"{key}_spans"))
     joined = joined.join(spans, key, "left").drop(key)
     new = T.StructType([*keep, T.StructField("kept", T.StringType() if decode else T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))])
