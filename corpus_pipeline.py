@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, minhash, sentencepiece, suffix
-from tidemark.llm.common import read_table, stored
+from tidemark.llm.common import read_table, stored, with_text_key
 
 #: Below this cosine a text of enough letters has next to no letter groups in common with any language. Of fewer
 #: letters, counted over its distinct words, nothing is said: chance moves a cosine by 0.03, and a few groups are no more.
@@ -36,14 +36,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, 80 %; and one row of each id."""
+    """One document of each group of near duplicates: five-word shingles, 80 %; and one row of each id and text."""
     found = stored(minhash.near_duplicates(docs, "doc_id", "text"), "groups")
-    gone = found.filter("NOT kept").select(F.col("id").alias("doc_id"))
-    rows = docs.join(gone, "doc_id", "left_anti")
-    again = found.filter("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).count().filter("count > 1").select("doc_id")
+    which = ["doc_id", "text_hash"]
+    named = found.select(F.col("id").alias("doc_id"), "text_hash", "kept")
+    rows = docs.withColumn("text_hash", F.xxhash64("text"))
+    again = stored(named.filter("doc_id IS NOT NULL").groupBy(which).count().filter("count > 1").select(which), "again")
+    rows = rows.join(named.filter("NOT kept").select(which), which, "left_anti")
     if not again.isEmpty():
-        once = rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        rows = rows.join(again, "doc_id", "left_anti").unionByName(once)
+        once = rows.join(again, which, "left_semi").dropDuplicates(which)
+        rows = rows.join(again, which, "left_anti").unionByName(once)
     return rows.select(docs.columns)
 
 
@@ -58,9 +60,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, nor one with other numbers or names."""
     items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = stored(decontaminate.contaminated(docs, "doc_id", "text", items, "item_id", "text"), "leaks")
-    same = docs["doc_id"].eqNullSafe(found["id"])
-    return docs.join(found, same, "left_anti")
+    keyed, _ = with_text_key(docs, "doc_id", "text", "text_key")
+    keyed = keyed.withColumn("text_key", F.coalesce("text_key", F.xxhash64("text")))
+    found = stored(decontaminate.contaminated(keyed, "text_key", "text", items, "item_id", "text"), "leaks")
+    return keyed.join(found, keyed["text_key"] == found["id"], "left_anti").select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
