@@ -68,7 +68,7 @@ def test_nulls_empty_tables_and_one_label(spark):
 
 
 def test_query_on_held_out_rows(spark):
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = "/root/testdata/sf0.1"  # of sf0.01 only 18 toxic documents are held out
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.toxic is not None}
     ids = [r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()]
     rows = queries.op4_toxicity(spark, sf_dir).collect()
