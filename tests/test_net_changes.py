@@ -96,3 +96,34 @@ def test_deletes_are_forgotten_in_time(spark, folder):
         net.start_net_changes(source, f"{folder}/out", f"{folder}/ck", keep_deletes_ms=10).awaitTermination()
     found = spark.read.schema(net.NET).parquet(f"{folder}/out").orderBy("scn").collect()
     assert [(r[0], r.kind, r.scn) for r in found] == [("a", "+I", 3), ("a", "+I", 5), ("a", "-D", 9), ("other", "+I", 20)]
+
+
+def test_many_batches_and_many_keys(spark, folder):
+    """Over a list of all keys and beyond; a Python call per key and batch would take minutes."""
+    for b in range(net.SNAPSHOT_EVERY + 3):
+        rows = [(f"k{k}", "+I" if b != 11 or k else "-D", f'{{"v":{b // 4 if k % 2 else 0}}}', b, k, 0) for k in range(3)]
+        spark.createDataFrame(rows, DECODED).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(DECODED).parquet(f"{folder}/in")
+        net.start_net_changes(source, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    found = sorted((r[0], r.scn, r.kind) for r in spark.read.schema(net.NET).parquet(f"{folder}/out").collect())
+    moved = [("k1", 0, "+I"), *(("k1", b, k) for b in (4, 8, 12) for k in ("+U", "-U"))]
+    assert found == sorted([("k0", 0, "+I"), ("k0", 11, "-D"), ("k0", 12, "+I"), ("k2", 0, "+I"), *moved])
+
+
+def test_no_python_per_key(spark):
+    df = spark.createDataFrame([("a", "+I", "{}", 1, 1, 0)], DECODED)
+    plan = net.net_changes(df, spark.createDataFrame([], net._STORED), 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_a_batch_that_is_run_again_is_sent_once(spark, folder):
+    """As after a failure between the batch's write and its commit."""
+    from pathlib import Path
+
+    spark.createDataFrame([("a", "+I", "{}", 1, 1, 0)], DECODED).write.parquet(f"{folder}/in")
+    for _ in range(2):
+        source = spark.readStream.schema(DECODED).parquet(f"{folder}/in")
+        net.start_net_changes(source, f"{folder}/out", f"{folder}/ck").awaitTermination()
+        for commit in Path(f"{folder}/ck/commits").glob("*0*"):
+            commit.unlink()
+    assert spark.read.schema(net.NET).parquet(f"{folder}/out").count() == 1

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +42,20 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+
+
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession, most: int = 8) -> Iterator[None]:
+    """Writes begun here put rows into up to ``most`` folders as they come, where Spark would sort a whole task by folder first.
+
+    A task that meets more folders sorts the rows that are left.
+    """
+    before = spark.conf.get(_WRITERS, "0")
+    spark.conf.set(_WRITERS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
