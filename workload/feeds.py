@@ -46,13 +46,17 @@ VIEW_TYPES = (
 )
 
 
+#: Rows whose messages one task makes.
+ROWS_PER_PARTITION = 500_000
+
+
 def _messages(df: DataFrame, *messages: Column) -> DataFrame:
     """One row per message that applies; each is a struct of pos and value, or null.
 
     The messages of a row lie in one of as many partitions as there are cores, as in a topic that is dealt by key: a table's
-    single row group would else be one task.
+    single row group would else be one task. A larger table has more partitions, none more than about ``ROWS_PER_PARTITION``.
     """
-    partitions = df.sparkSession.sparkContext.defaultParallelism
+    partitions = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_PARTITION))
     return df.repartition(partitions, df.columns[0]).select(F.inline(F.array_compact(F.array(*messages))))
 
 
