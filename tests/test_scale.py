@@ -21,3 +21,23 @@ def test_larger_feeds_have_more_partitions(spark, folder, monkeypatch):
     monkeypatch.setattr(feeds, "ROWS_PER_PARTITION", 10)
     orders(spark, folder, 205)
     assert feeds.orders(spark, folder).rdd.getNumPartitions() == 21
+
+
+def test_messages_are_not_sorted_by_topic(spark, folder, monkeypatch):
+    """More topics than writers too, and the session's setting is as before."""
+    df = spark.range(0, 300, 1, 1).select(
+        F.concat(F.lit("t"), F.col("id") % 3).alias("topic"), F.lit(None).cast("string").alias("key"), F.lit("v").alias("value"),
+        F.col("id").alias("scn"), F.col("id").alias("pos"), F.lit(0).alias("seq"),
+    )
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    set_to, save = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda *a, **k: (set_to.append(int(spark.conf.get(name, "0"))), save(*a, **k)))
+    msg.write_messages(df, "parquet", path=f"{folder}/few")
+    assert set_to and min(set_to) > 0
+    with unsorted_folders(spark, 2):
+        df.write.partitionBy("topic").parquet(f"{folder}/many")
+    assert spark.conf.get(name, "0") == before
+    for place in ("few", "many"):
+        assert spark.read.parquet(f"{folder}/{place}").select("topic").distinct().count() == 3
+        assert spark.read.parquet(f"{folder}/{place}").count() == 300
