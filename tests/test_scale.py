@@ -23,6 +23,19 @@ def test_larger_feeds_have_more_partitions(spark, folder, monkeypatch):
     assert feeds.orders(spark, folder).rdd.getNumPartitions() == 21
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "lines"])
+def test_tables_are_the_same_in_many_batches(spark, folder, monkeypatch, fmt):
+    orders(spark, folder, 40)
+    monkeypatch.setattr(msg, "BATCH_BYTES", dict.fromkeys(msg.BATCH_BYTES, 1))
+    monkeypatch.setattr(queries, "work_dir", lambda _spark, purpose: f"{folder}/{purpose}")
+    plan = queries._plan("ORDERS", queries.ORDERS_SCHEMA)
+    queries._publish(feeds.orders(spark, folder), plan.source_topic, f"{folder}/w/source")
+    queries._sync(spark, f"{folder}/w", [plan], fmt)
+    rows = queries.KeyedTable(f"{folder}/w/tables/{plan.keyed_table}", plan.schema)
+    assert rows.changes(spark).select("batch").distinct().count() > 1
+    assert [r.O_ORDERSTATUS for r in rows.current(spark).collect()] == ["X"] * 40
+
+
 def test_messages_are_not_sorted_by_topic(spark, folder, monkeypatch):
     """More topics than writers too, and the session's setting is as before."""
     df = spark.range(0, 300, 1, 1).select(
@@ -41,3 +54,15 @@ def test_messages_are_not_sorted_by_topic(spark, folder, monkeypatch):
     for place in ("few", "many"):
         assert spark.read.parquet(f"{folder}/{place}").select("topic").distinct().count() == 3
         assert spark.read.parquet(f"{folder}/{place}").count() == 300
+
+
+def test_good_messages_are_held_without_their_text(spark, folder, monkeypatch):
+    seen = []
+    write = msg.write_messages
+    monkeypatch.setattr(jobs.msg, "write_messages", lambda df, *a, **k: (seen.append(df.count()), write(df, *a, **k)))
+    good = '{"scn":1,"payload":{"op":"c","schema":{"owner":"A","table":"B"},"after":{"a":1}}}'
+    rows = [("t", None, v, None, i, None) for i, v in enumerate([good, "{"])]
+    spark.createDataFrame(rows, "topic string, key string, value string, scn bigint, pos bigint, seq int").write.partitionBy("topic").parquet(f"{folder}/in")
+    jobs.start_normaliser(msg.read_messages(spark, "parquet", path=f"{folder}/in"), "parquet", f"{folder}/ck", path=f"{folder}/out", quarantine=f"{folder}/bad").awaitTermination()
+    bad = spark.read.parquet(f"{folder}/bad").collect()
+    assert seen == [1] and [(r.value, r.reason) for r in bad] == [("{", "bad_json")]
