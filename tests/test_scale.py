@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from tidemark.functions import typemap
+from tidemark.operators import typed
 from tidemark.session import unsorted_folders
 from tidemark.sources import messages as msg
 from tidemark.streaming import jobs
@@ -66,3 +68,13 @@ def test_good_messages_are_held_without_their_text(spark, folder, monkeypatch):
     jobs.start_normaliser(msg.read_messages(spark, "parquet", path=f"{folder}/in"), "parquet", f"{folder}/ck", path=f"{folder}/out", quarantine=f"{folder}/bad").awaitTermination()
     bad = spark.read.parquet(f"{folder}/bad").collect()
     assert seen == [1] and [(r.value, r.reason) for r in bad] == [("{", "bad_json")]
+
+
+def test_common_numbers_are_checked_without_patterns(spark, monkeypatch):
+    numbers = [("1",), ("1.5",), ("-173665.47",), ("123456789012",), (None,)]
+    df = spark.createDataFrame(numbers, "t string")
+    stop = F.raise_error(F.lit("a pattern")).cast("string")
+    for name in ("regexp_extract", "regexp_replace"):
+        monkeypatch.setattr(F, name, lambda *a: stop)
+    rows = df.select(typemap.is_cut(F.col("t"), 2).alias("cut"), typed._many_digits(F.col("t")).alias("many"))
+    assert [(r.cut, r.many) for r in rows.collect() if r.cut is not None] == [(False, False)] * 5

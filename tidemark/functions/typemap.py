@@ -74,7 +74,11 @@ def is_cut(text: Column, scale: int) -> Column:
     zeros = F.length(F.regexp_extract(whole, "(0*)$", 1))
     # Places behind the point: of a fraction all its digits, of a whole number none or, with an exponent, less.
     places = F.when(F.length(fraction) > 0, F.length(fraction)).when(F.coalesce(whole.rlike("^0*$"), F.lit(True)), -400).otherwise(-zeros) - exponent
-    return F.coalesce(places > scale, F.lit(False))
+    cut = F.coalesce(places > scale, F.lit(False))
+    # Most numbers have no exponent and no more characters behind the point than that: no pattern is needed for those.
+    point = F.instr(text, ".")
+    kept = ~F.contains(text, F.lit("E")) & ((point == 0) | (F.length(text) - point <= scale))
+    return F.when(text.isNull() | kept, False).otherwise(cut) if scale >= 0 else cut
 
 
 def parse_type(text: str) -> T.DataType:

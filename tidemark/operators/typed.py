@@ -80,4 +80,5 @@ def _many_digits(number: Column) -> Column:
     """Has a number more digits than a double surely holds? Whole numbers without an exponent never were one."""
     digits = F.regexp_replace(F.regexp_replace(number, r"E.*$", ""), r"[-.]|\.0$", "")
     digits = F.regexp_replace(digits, "^0+|0+$", "")
-    return F.coalesce(number.rlike(r"[.E]") & (F.length(digits) > SURE_DIGITS), F.lit(False))
+    many = F.coalesce(number.rlike(r"[.E]") & (F.length(digits) > SURE_DIGITS), F.lit(False))
+    return F.when(number.isNull() | (F.length(number) <= SURE_DIGITS), False).otherwise(many)
