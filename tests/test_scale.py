@@ -5,7 +5,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.functions import typemap
-from tidemark.operators import typed
+from tidemark.operators import identity, typed
 from tidemark.session import unsorted_folders
 from tidemark.sources import messages as msg
 from tidemark.streaming import jobs
@@ -78,3 +78,10 @@ def test_common_numbers_are_checked_without_patterns(spark, monkeypatch):
         monkeypatch.setattr(F, name, lambda *a: stop)
     rows = df.select(typemap.is_cut(F.col("t"), 2).alias("cut"), typed._many_digits(F.col("t")).alias("many"))
     assert [(r.cut, r.many) for r in rows.collect() if r.cut is not None] == [(False, False)] * 5
+
+
+def test_rows_are_copied_few_times_for_their_ids(spark):
+    df = spark.range(5).selectExpr("'u' as op", "concat('{\"A\":', id, '}') as before", "'{}' as after").repartition(2)
+    plan = identity.add_row_ids(df)._jdf.queryExecution().sparkPlan().toString()
+    # Both images step by step together; one step more makes the rows.
+    assert plan.count("Project [") <= 5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,35 +26,57 @@ def has_inner_repeats(image: str) -> str:
 
 
 def add_row_id(df: DataFrame, image: str, when: str) -> DataFrame:
-    """Give the ``image`` column a row id where the SQL condition ``when`` holds; adds ``<image>_id``.
+    """:func:`add_row_ids` for one image."""
+    return add_row_ids(df, {image: when})
+
+
+def add_row_ids(df: DataFrame, images: Mapping[str, str]) -> DataFrame:
+    """Give each image column a row id where its SQL condition holds; adds ``<image>_id``.
 
     The id is the MD5 of the image printed as a map. It becomes the first key of the image; an id
     the image already has wins, even a null one. Repeated keys keep their first place and last value.
     """
-    keys = "map_keys(_entries)"
-    distinct_keys = f"array_distinct({keys})"
-    kinds = jsontext.as_map(image, "variant")
-    has_id = f"array_contains({keys}, '{ROW_ID}')"
-    id_first = f"concat(array('{ROW_ID}'), array_remove({distinct_keys}, '{ROW_ID}'))"
-    # The object with repeats resolved. Rare, so its cost is only paid by the rows that need it.
-    single = f"if(_repeats, {jsontext.rebuild(distinct_keys, '_entries', kinds)}, {image})"
+    # All images step by step together: each step that parses copies whole rows.
+    df = df.withColumns({f"_{i}_entries": F.expr(f"if({when}, {jsontext.as_map(i)}, null)") for i, when in images.items()})
+    df = df.withColumns({f"_{i}_repeats": F.expr(_repeats(f"_{i}_entries")) for i in images})
+    df = df.withColumns({f"_{i}_hash": F.expr(_hash(i, f"_{i}_entries", f"_{i}_repeats")) for i in images})
+    out = {}
+    for i in images:
+        own_id = jsontext.last_value(f"_{i}_entries", ROW_ID)
+        out[f"{i}_id"] = F.expr(f"if({_has_id(f'_{i}_entries')}, {own_id}, _{i}_hash)")
+        out[i] = F.expr(_enriched(i, f"_{i}_entries", f"_{i}_repeats", f"_{i}_hash"))
+    return df.withColumns(out).drop(*(f"_{i}_{step}" for i in images for step in ("entries", "repeats", "hash")))
+
+
+def _distinct_keys(entries: str) -> str:
+    return f"array_distinct(map_keys({entries}))"
+
+
+def _repeats(entries: str) -> str:
+    return f"size({_distinct_keys(entries)}) < size(map_keys({entries}))"
+
+
+def _has_id(entries: str) -> str:
+    return f"array_contains(map_keys({entries}), '{ROW_ID}')"
+
+
+def _single(image: str, entries: str) -> str:
+    """The object with repeats resolved. Rare, so its cost is only paid by the rows that need it."""
+    return jsontext.rebuild(_distinct_keys(entries), entries, jsontext.as_map(image, "variant"))
+
+
+def _hash(image: str, entries: str, repeats: str) -> str:
     text = f"""CASE
-      WHEN _repeats THEN {jsontext.map_text('_single')}
+      WHEN {repeats} THEN {jsontext.map_text(_single(image, entries))}
       WHEN {is_nested(image)} THEN {jsontext.map_text(image)}
-      ELSE {jsontext.flat_map_text('_entries', image)} END"""
-    with_hash = f"""concat('{{"{ROW_ID}":"', _hash, if(_single = '{{}}', '"', '",'), substring(_single, 2))"""
-    enriched = f"if({has_id}, {jsontext.rebuild(id_first, '_entries', kinds)}, {with_hash})"
-    own_id = jsontext.last_value("_entries", ROW_ID)
-    return (
-        df.withColumn("_entries", F.expr(f"if({when}, {jsontext.as_map(image)}, null)"))
-        .withColumn("_repeats", F.expr(f"size({distinct_keys}) < size({keys})"))
-        .withColumn("_single", F.expr(single))
-        .withColumn("_hash", F.expr(f"if(_entries is null, null, md5({text}))"))
-        .withColumns(
-            {
-                f"{image}_id": F.expr(f"if({has_id}, {own_id}, _hash)"),
-                image: F.expr(f"if(_entries is null, {image}, {enriched})"),
-            }
-        )
-        .drop("_entries", "_repeats", "_single", "_hash")
-    )
+      ELSE {jsontext.flat_map_text(entries, image)} END"""
+    return f"if({entries} is null, null, md5({text}))"
+
+
+def _enriched(image: str, entries: str, repeats: str, hashed: str) -> str:
+    id_first = f"concat(array('{ROW_ID}'), array_remove({_distinct_keys(entries)}, '{ROW_ID}'))"
+    rebuilt = jsontext.rebuild(id_first, entries, jsontext.as_map(image, "variant"))
+    head = f"""'{{"{ROW_ID}":"', {hashed}"""
+    with_hash = f"""if({repeats}, concat({head}, '",', substring({_single(image, entries)}, 2)),
+      concat({head}, if({image} = '{{}}', '"', '",'), substring({image}, 2)))"""
+    return f"if({entries} is null, {image}, if({_has_id(entries)}, {rebuilt}, {with_hash}))"

@@ -16,5 +16,4 @@ def add_row_ids(changes: DataFrame) -> DataFrame:
     """
     real = "not is_dummy and " if "is_dummy" in changes.columns else ""
     before, after = (M.UPDATE, M.DELETE), (M.INSERT, M.UPDATE)
-    changes = images.add_row_id(changes, "before", f"{real}lower(op) in {before}")
-    return images.add_row_id(changes, "after", f"{real}lower(op) in {after}")
+    return images.add_row_ids(changes, {"before": f"{real}lower(op) in {before}", "after": f"{real}lower(op) in {after}"})
