@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import typemap
 from tidemark.operators import identity, typed
-from tidemark.session import unsorted_folders
+from tidemark.session import small_arrow_batches, unsorted_folders
 from tidemark.sources import messages as msg
 from tidemark.streaming import jobs
 from workload import feeds, queries
@@ -70,6 +70,18 @@ def test_good_messages_are_held_without_their_text(spark, folder, monkeypatch):
     assert seen == [1] and [(r.value, r.reason) for r in bad] == [("{", "bad_json")]
 
 
+def test_scored_texts_go_to_python_in_small_batches(spark, folder, monkeypatch):
+    spark.range(0, 1300, 1, 1).selectExpr("id as doc_id", "'t' as text", "'en' as lang").write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(queries, "work_dir", lambda _spark, purpose: f"{folder}/{purpose}")
+    monkeypatch.setattr(queries, "length_scorer", lambda: lambda requests: [(200, str(len(requests)))] * len(requests))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    sizes = {int(r.value) for r in queries.score_stream(spark, folder).collect()}
+    assert sum(sizes) and max(sizes) <= 500 and spark.conf.get(name) == before
+    with small_arrow_batches(spark, 20_000):
+        assert spark.conf.get(name) == before
+
+
 def test_common_numbers_are_checked_without_patterns(spark, monkeypatch):
     numbers = [("1",), ("1.5",), ("-173665.47",), ("123456789012",), (None,)]
     df = spark.createDataFrame(numbers, "t string")

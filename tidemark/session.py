@@ -59,3 +59,21 @@ def unsorted_folders(spark: SparkSession, most: int = 8) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_WRITERS, before)
+
+
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_arrow_batches(spark: SparkSession, most: int = 500) -> Iterator[None]:
+    """Streams started and jobs run here hand Python workers at most ``most`` rows at once, where Spark's 10,000 long texts fill them.
+
+    A setting that is smaller stays. Zero or less means no limit to Spark.
+    """
+    before = spark.conf.get(_ARROW_ROWS)
+    if not 0 < int(before) <= most:
+        spark.conf.set(_ARROW_ROWS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
