@@ -90,3 +90,8 @@ def test_common_numbers_are_checked_without_patterns(spark, monkeypatch):
         monkeypatch.setattr(F, name, lambda *a: stop)
     rows = df.select(typemap.is_cut(F.col("t"), 2).alias("cut"), typed._many_digits(F.col("t")).alias("many"))
     assert [(r.cut, r.many) for r in rows.collect() if r.cut is not None] == [(False, False)] * 5
+
+
+def test_the_last_round_of_tasks_is_short(spark, folder):
+    spark.range(1_000_000).selectExpr("id as s_suppkey", "'n' as s_name").write.parquet(f"{folder}/supplier.parquet")
+    assert feeds.supplier(spark, folder).rdd.getNumPartitions() == 10
