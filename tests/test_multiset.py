@@ -88,3 +88,11 @@ def test_hot_id_is_summed_before_the_shuffle(spark):
     df = spark.createDataFrame(random_changes(100), CHANGES).drop_duplicates([ROW_ID]).withColumn("op", F.lit("c"))
     plan = keyed.current_multiset(df, ["V"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
+
+
+def test_changes_are_sorted_once_before_they_are_summed(spark):
+    """And a row's columns are taken as one, however many there are."""
+    df = spark.createDataFrame(random_changes(10), CHANGES)
+    plan = keyed.signed_counts(df, ["V", "W"])._jdf.queryExecution().executedPlan().toString()
+    assert sum("Sort [" in line for line in plan.splitlines()) == 2
+    assert "first(V" not in plan and "first(W" not in plan
