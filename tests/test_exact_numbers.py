@@ -116,3 +116,17 @@ def test_identity_is_untouched_by_exact_columns(messages):
     rows = identity.add_row_ids(envelope.parse_changes(messages(change('{"A":1.10}')), exact=True)).collect()
     assert rows[0].after.endswith('"A":1.1}') and rows[0].after_exact == '{"A":1.1}'
     assert typed.SURE_DIGITS == 15
+
+
+def test_a_hash_is_cut_out_of_an_image_and_other_ids_are_searched(messages):
+    own = ('"ab"', '"' + "0f" * 16 + '"', '"' + "0F" * 16 + '"', '"a\\"b"', "17", "null", '{"x":1}')
+    rows = messages(change('{"A":1.10}'), change('{"B":"AUTO_MD5_ID"}'), *(change(f'{{"A":1.10,"{ROW_ID}":{i}}}') for i in own))
+    changes = jobs.row_changes(rows, exact=True).filter("after_exact is not null")
+    got = {r.pos: (r.id, r.image) for r in changes.select("pos", F.col(ROW_ID).alias("id"), split.exact_image("after").alias("image")).collect()}
+    assert got[0][1] == f'{{"{ROW_ID}":"{got[0][0]}","A":1.1}}'
+    assert got[1][1] == f'{{"{ROW_ID}":"{got[1][0]}","B":"{ROW_ID}"}}'
+    assert [got[i + 2][1] for i in range(len(own))] == [f'{{"A":1.1,"{ROW_ID}":{i}}}' for i in own]
+    # Only an image without a hash in front is parsed for its id, only one that names an id of its own for its keys.
+    plan = str(split.exact_image("after")._jc.toString())
+    assert plan.index("rlike") < plan.lower().index("get_json_object")
+    assert "contains(after_exact" in plan

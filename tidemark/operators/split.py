@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +51,16 @@ def split_updates(changes: DataFrame, *, order: str = "delete_first") -> DataFra
 
 def exact_image(image: str) -> Column:
     """An image whose numbers have all their digits, with the row id that the image in double form has; else that image."""
-    exact = F.col(f"{image}_exact")
-    row_id = F.get_json_object(image, f"$.{ROW_ID}")
-    has_id = F.array_contains(F.json_object_keys(exact), ROW_ID)
-    with_id = F.concat(F.lit(f'{{"{ROW_ID}":'), F.to_json(row_id.cast("variant")), F.lit(","), F.substring(exact, F.lit(2), F.length(exact)))
-    with_id = F.when(exact == "{}", F.col(image)).otherwise(with_id)
-    return F.when(exact.isNull(), F.col(image)).when(has_id | row_id.isNull(), exact).otherwise(with_id)
+    exact, plain = F.col(f"{image}_exact"), F.col(image)
+    # A hash is cut out of the text; an image is searched for an id of another form only, and parsed for one of its own only if its text names one.
+    start = f'{{"{ROW_ID}":"'
+    hashed = plain.rlike("^" + re.escape(start) + '[0-9a-f]{32}"')
+    found = F.to_json(F.get_json_object(image, f"$.{ROW_ID}").cast("variant"))
+    row_id = F.when(hashed, F.substring(plain, len(start), 34)).otherwise(found)
+    has_id = F.contains(exact, F.lit(ROW_ID)) & F.array_contains(F.json_object_keys(exact), ROW_ID)
+    with_id = F.concat(F.lit(f'{{"{ROW_ID}":'), row_id, F.lit(","), F.substring(exact, F.lit(2), F.length(exact)))
+    with_id = F.when(exact == "{}", plain).otherwise(with_id)
+    return F.when(exact.isNull(), plain).when(has_id | row_id.isNull(), exact).otherwise(with_id)
 
 
 def target_value(exact: bool = False) -> Column:
