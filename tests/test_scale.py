@@ -104,3 +104,36 @@ def test_counted_batches_use_all_cores(spark, folder, monkeypatch):
     monkeypatch.setattr(msg, "read_messages", lambda *a, **k: (asked.append(k["options"]), read(*a, **k))[1])
     counted = {r.metric: r.n for r in queries.stream_counters(spark, folder).collect()}
     assert asked == [{"maxFilesPerTrigger": "8"}] and counted["read"] == 960
+
+
+LINES = [
+    (1, 10, 7, 1, 17.0, 12345678.9, 0.04, 0.02, "R", "F", "1996-03-13"),
+    (1, 11, 8, 2, None, 1.1, None, 0.05, "A", 'O"\\', None),
+    (2, 12, 9, 1, 3.0, 2.0, 0.1, 0.03, None, "@", "1997-01-28"),
+]
+LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"
+)
+
+
+@pytest.mark.parametrize("feed", [feeds.lineitem, feeds.lineitem_twice])
+def test_a_line_is_written_as_text_once_for_all_its_messages(spark, folder, feed):
+    df = spark.createDataFrame(LINES, LINEITEM)
+    df.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(f"{folder}/lineitem.parquet")
+    messages = feed(spark, folder)
+    df = feeds.table(spark, folder, "lineitem")
+    day = {"l_shipdate": feeds._day_text("l_shipdate")}
+    row, closed = feeds.row_image(df, **day), feeds.row_image(df, **day, l_linestatus=F.lit("X"))
+    first = 3 if feed is feeds.lineitem_twice else 1
+    want = set()
+    for flag, op, step, images in (("R", "u", 1, {"before": row, "after": closed}), ("A", "d", 2, {"before": row})):
+        message = feeds.envelope(op, feeds.OWNER, "LINEITEM", F.lit(first + step).cast("bigint"), **images)
+        want |= {r.m for r in df.filter(F.col("l_returnflag") == flag).select(message.alias("m")).collect()}
+    for step in range(1, first + 1):
+        message = feeds.envelope("c", feeds.OWNER, "LINEITEM", F.lit(step).cast("bigint"), after=row)
+        loaded = df.filter(F.round(F.col("l_tax") * 100) % 3 >= step - 1)
+        want |= {r.m for r in loaded.select(message.alias("m")).collect()}
+    assert {r.value for r in messages.collect()} == want
+    plan = messages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") + plan.count("to_json") == 2
